@@ -26,6 +26,5 @@ def quality_score(text: Column | str, pattern: str = EMAIL_PATTERN) -> Column:
 
 def message_key(fields: list[str], payload: Column | str = "value") -> Column:
     """The named payload fields as one JSON key, in the given order; absent ones are left out."""
-    return F.to_json(
-        F.struct(*[F.get_json_object(payload, f"$.{name}").alias(name) for name in fields])
-    )
+    schema = ", ".join(f"`{name}` STRING" for name in fields)
+    return F.to_json(F.from_json(payload, schema))

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def _require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """A null in a key column stops the job, as a primary key would."""
+    """A null in a key column stops the job, as a primary key would.
+
+    The filter on the checked columns never drops a row. It is the one Spark would add on the
+    join's side only; with it on both uses of the rows their shuffle is done once.
+    """
     types = dict(df.dtypes)
-    return df.withColumns(
+    checked = df.withColumns(
         {
             k: F.coalesce(F.col(k), F.raise_error(F.lit(f"null in key column {k}")).cast(types[k]))
             for k in keys
         }
     )
+    return checked.filter(reduce(and_, [F.col(k).isNotNull() for k in keys]))
 
 
 def newest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
@@ -23,8 +31,10 @@ def newest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
     Ties go by the other columns, so a task that is run again picks the same row. Spark cuts
     each task's rows to one per key before the shuffle; a hot key stays small.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    best = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by + rest])
+    order = order_by + [c for c in df.columns if c not in keys and c not in order_by]
+    if not order:
+        return df.dropDuplicates(keys)
+    best = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     return df.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")
 
 
@@ -47,7 +57,6 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str]) -> Data
     The target is first cut to the keys that also occur in ``new``: a small ``new`` is
     broadcast for that, so a large target is read by key column only and not shuffled.
     """
-    rest = [c for c in new.columns if c not in keys]
-    one = newest_per_key(_require_keys(new, keys), keys, rest)
+    one = newest_per_key(_require_keys(new, keys), keys, [])
     known = target.select(*keys).join(one.select(*keys), keys, "left_semi")
     return one.join(known, keys, "left_anti").select(*new.columns)

@@ -1,6 +1,7 @@
 """Data quality: checks, reports, the policy that gates a job, and row annotation.
 
-Every report is one aggregation over its input, whatever the number of columns or rules.
+A report is one aggregation over its input, whatever the number of columns or rules; only
+exact distinct counts read their own columns once more.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StructType
+from pyspark.sql.types import NumericType, StructField, StructType
 
 from tristrata.operators.silver import decode_payload
 from tristrata.schemas import CORRUPT, struct
@@ -118,25 +119,25 @@ def _against(report: DataFrame, part: str, into: str, threshold: float) -> DataF
 def uniqueness(
     df: DataFrame, keys: list[str | tuple[str, ...]], threshold: float = 0.95
 ) -> DataFrame:
-    """Distinct values over rows, exactly, per column or per tuple of columns."""
+    """Distinct values over rows, exactly, per column or per tuple of columns.
+
+    Each key is counted on its own and reads its own columns only. Counting all of them in
+    one aggregation would shuffle every row once per key with all the keys' columns.
+    """
     groups = [(k,) if isinstance(k, str) else tuple(k) for k in keys]
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_distinct(*[F.col(c) for c in g]).alias(f"_{i}") for i, g in enumerate(groups)],
-    )
-    report = counts.select(
-        _rows(
-            *[
-                F.struct(
-                    F.lit(",".join(g)).alias("column_name"),
-                    F.col("_n").alias("total_rows"),
-                    F.col(f"_{i}").alias("distinct_values"),
-                )
-                for i, g in enumerate(groups)
-            ]
+    reports = [
+        df.agg(
+            F.lit(",".join(g)).alias("column_name"),
+            F.count(F.lit(1)).alias("total_rows"),
+            F.count_distinct(*[F.col(c) for c in g]).alias("distinct_values"),
         )
-    )
-    return _against(report, "distinct_values", "uniqueness", threshold)
+        for g in groups
+    ]
+    return _against(_stacked(reports), "distinct_values", "uniqueness", threshold)
+
+
+def _stacked(reports: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionAll(b), reports)
 
 
 def rule_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -224,14 +225,32 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
+def _profile_line(
+    name: str, kind: str, rows: Column, filled: Column, distinct: Column, low: Column,
+    high: Column, mean: Column | None,
+) -> Column:
+    return F.struct(
+        F.lit(name).alias("column_name"),
+        F.lit(kind).alias("data_type"),
+        rows.alias("total_rows"),
+        (rows - filled).alias("null_rows"),
+        distinct.alias("distinct_values"),
+        low.cast("string").alias("min_value"),
+        high.cast("string").alias("max_value"),
+        (F.lit(None) if mean is None else mean).cast("double").alias("avg_value"),
+    )
+
+
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Per column: type, nulls, distinct values, least and greatest (as text), average.
 
-    Distinct values are estimated unless ``exact``, which carries every row once per column
-    through the aggregation.
+    Distinct values are estimated in one scan of all columns, with nothing but one row per
+    task to shuffle. ``exact`` counts how often each value occurs instead, column by column:
+    each column is read on its own, and a value is shuffled once per task at most.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
     fields = df.schema.fields
+    if exact:
+        return _stacked([_exact_profile(df, f) for f in fields])
     counts = df.agg(
         F.count(F.lit(1)).alias("_n"),
         *[
@@ -239,34 +258,49 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
             for i, f in enumerate(fields)
             for agg in (
                 F.count(F.col(f.name)).alias(f"_filled{i}"),
-                distinct(F.col(f.name)).alias(f"_distinct{i}"),
+                F.approx_count_distinct(F.col(f.name)).alias(f"_distinct{i}"),
                 F.min(f.name).alias(f"_min{i}"),
                 F.max(f.name).alias(f"_max{i}"),
                 *([F.avg(f.name).alias(f"_avg{i}")] if isinstance(f.dataType, NumericType) else []),
             )
         ],
     )
-    return counts.select(
+    lines = [
+        _profile_line(
+            f.name,
+            f.dataType.simpleString(),
+            F.col("_n"),
+            *[F.col(f"_{part}{i}") for part in ("filled", "distinct", "min", "max")],
+            F.col(f"_avg{i}") if isinstance(f.dataType, NumericType) else None,
+        )
+        for i, f in enumerate(fields)
+    ]
+    return counts.select(_rows(*lines))
+
+
+def _exact_profile(df: DataFrame, field: StructField) -> DataFrame:
+    values = df.groupBy(F.col(field.name).alias("_v")).agg(F.count(F.lit(1)).alias("_times"))
+    value, times = F.col("_v"), F.col("_times")
+    number = isinstance(field.dataType, NumericType)
+    filled = F.sum(F.when(value.isNotNull(), times).otherwise(F.lit(0)))
+    line = values.agg(
+        F.coalesce(F.sum(times), F.lit(0)).alias("_n"),
+        F.coalesce(filled, F.lit(0)).alias("_filled"),
+        F.count(value).alias("_distinct"),
+        F.min(value).alias("_min"),
+        F.max(value).alias("_max"),
+        *([F.sum(value.cast("double") * times).alias("_sum")] if number else []),
+    ).select(
         _rows(
-            *[
-                F.struct(
-                    F.lit(f.name).alias("column_name"),
-                    F.lit(f.dataType.simpleString()).alias("data_type"),
-                    F.col("_n").alias("total_rows"),
-                    (F.col("_n") - F.col(f"_filled{i}")).alias("null_rows"),
-                    F.col(f"_distinct{i}").alias("distinct_values"),
-                    F.col(f"_min{i}").cast("string").alias("min_value"),
-                    F.col(f"_max{i}").cast("string").alias("max_value"),
-                    (
-                        F.col(f"_avg{i}").cast("double")
-                        if isinstance(f.dataType, NumericType)
-                        else F.lit(None).cast("double")
-                    ).alias("avg_value"),
-                )
-                for i, f in enumerate(fields)
-            ]
+            _profile_line(
+                field.name,
+                field.dataType.simpleString(),
+                *[F.col(f"_{part}") for part in ("n", "filled", "distinct", "min", "max")],
+                F.try_divide("_sum", "_filled") if number else None,
+            )
         )
     )
+    return line
 
 
 def annotate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -286,6 +320,16 @@ def annotate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     )
 
 
+def _line(metric: str, value: Column, limit: float, at_least: bool = True) -> Column:
+    met = value >= limit if at_least else value <= limit
+    return F.struct(
+        F.lit(metric).alias("metric"),
+        value.alias("value"),
+        F.lit(float(limit)).alias("threshold"),
+        F.coalesce(met, F.lit(False)).alias("passed"),
+    )
+
+
 _REPORT = "metric STRING, value DOUBLE, threshold DOUBLE, passed BOOLEAN"
 
 
@@ -297,7 +341,10 @@ def apply_policy(
     custom: dict[str, Column] | None = None,
     unique: list[str] | None = None,
 ) -> DataFrame:
-    """Measure the rows against the policy: one line per metric, from one aggregation.
+    """Measure the rows against the policy, one line per metric.
+
+    One scan gives the error rate and completeness; uniqueness, if asked for, reads its key
+    columns again and shuffles nothing else.
 
     A row is bad if a switched-on rule fails on it; a null fails the null check only. When
     ``fail_on_error`` is set a missed threshold raises ``DataQualityError``. A policy that is
@@ -316,30 +363,18 @@ def apply_policy(
     bad = reduce(or_, failures) if failures else F.lit(False)
     aggregates = {"_n": F.count(F.lit(1)), "_bad": F.count_if(bad)}
     rows = F.col("_n").cast("double")
-    lines = [("error_rate", F.try_divide(F.col("_bad"), rows), policy.error_rate, False)]
+    lines = [_line("error_rate", F.try_divide("_bad", rows), policy.error_rate, at_least=False)]
     if policy.null_check:
         aggregates["_filled"] = reduce(lambda a, b: a + b, [F.count(F.col(c)) for c in df.columns])
-        share = F.try_divide(F.col("_filled"), rows * len(df.columns))
-        lines.append(("completeness", share, policy.completeness, True))
+        share = F.try_divide("_filled", rows * len(df.columns))
+        lines.append(_line("completeness", share, policy.completeness))
+    report = df.agg(*[agg.alias(name) for name, agg in aggregates.items()]).select(_rows(*lines))
     if policy.uniqueness_check and unique:
-        aggregates["_distinct"] = F.count_distinct(*[F.col(c) for c in unique])
-        share = F.try_divide(F.col("_distinct"), rows)
-        lines.append(("uniqueness", share, policy.uniqueness, True))
-    report = df.agg(*[agg.alias(name) for name, agg in aggregates.items()]).select(
-        _rows(
-            *[
-                F.struct(
-                    F.lit(name).alias("metric"),
-                    value.alias("value"),
-                    F.lit(float(limit)).alias("threshold"),
-                    F.coalesce(value >= limit if at_least else value <= limit, F.lit(False)).alias(
-                        "passed"
-                    ),
-                )
-                for name, value, limit, at_least in lines
-            ]
+        share = F.col("uniqueness")
+        distinct = uniqueness(df, [tuple(unique)], policy.uniqueness)
+        report = report.unionAll(
+            distinct.select(_rows(_line("uniqueness", share, policy.uniqueness)))
         )
-    )
     if policy.fail_on_error:
         measured = report.collect()  # at most three lines
         missed = [f"{r.metric}={r.value}" for r in measured if not r.passed]

@@ -40,11 +40,13 @@ def to_files(
     partition_by: list[str] | None = None,
     trigger: str | None = None,
     name: str | None = None,
+    **options: str,
 ) -> StreamingQuery:
-    """Append to files, by directory of the keys given."""
+    """Append to files, by directory of the keys given; ``options`` go to the format."""
     out = writer(df, checkpoint, trigger, name=name).format(fmt)
     if fmt in ("json", "csv"):
         out = out.option("timestampFormat", MICROS)
+    out = out.options(**options)
     if partition_by:
         out = out.partitionBy(*partition_by)
     return out.start(path)
