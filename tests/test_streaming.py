@@ -1,0 +1,201 @@
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tristrata.operators.bronze import to_bronze
+from tristrata.plans import jobs
+from tristrata.schemas import BRONZE_KEYS, ENVELOPE, PAYLOADS
+from tristrata.sinks.files import write_partitioned
+from tristrata.sinks.merge import write_target
+from tristrata.sources.catalog import read_table
+from tristrata.sources.files import read_json_stream, read_parquet_stream, read_topic_stream
+from tristrata.streaming.dedupe import dedupe_stream
+from tristrata.streaming.fanout import fan_out
+from tristrata.streaming.merge import merge_stream
+from tristrata.streaming.quarantine import batch_files, to_marked_files, with_dead_letters
+from tristrata.streaming.run import AVAILABLE_NOW, drain, to_console, to_files, writer
+
+START = datetime(2024, 5, 6)
+
+
+def kafka(spark, path, first, count, topic="sensors.temperature"):
+    data = []
+    for i in range(first, first + count):
+        at = START + timedelta(minutes=i)
+        value = {"device_id": f"d{i % 3}", "timestamp": at.isoformat() + "+00:00", "temperature": 1.0 * i}
+        data.append((json.dumps(value), topic, i % 3, i, at))
+    spark.createDataFrame(data, ENVELOPE).write.mode("append").parquet(path)
+
+
+def test_replay_to_bronze_goes_on_where_it_stopped(spark, tmp_path, rows):
+    def run():
+        stream = read_parquet_stream(spark, f"{tmp_path}/in", ENVELOPE)
+        drain(
+            to_files(
+                to_bronze(stream), f"{tmp_path}/out", f"{tmp_path}/cp", "json", BRONZE_KEYS,
+                AVAILABLE_NOW,
+            )
+        )
+
+    kafka(spark, f"{tmp_path}/in", 0, 5)
+    run()
+    assert spark.read.json(f"{tmp_path}/out").count() == 5
+    kafka(spark, f"{tmp_path}/in", 5, 5)
+    run()
+    run()
+    offsets = rows(spark.read.json(f"{tmp_path}/out"), "offset")
+    assert offsets == sorted([(i,) for i in range(10)], key=repr)
+
+
+def test_rate_limit_by_files(spark, tmp_path):
+    for i in range(5):
+        spark.range(i, i + 1).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+    stream = read_json_stream(spark, f"{tmp_path}/in", "id BIGINT", max_files=2)
+    query = to_files(stream, f"{tmp_path}/out", f"{tmp_path}/cp", trigger=AVAILABLE_NOW)
+    drain(query)
+    sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert max(sizes) <= 2 and sum(sizes) == 5
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    spark.range(3).write.json(f"{tmp_path}/in")
+    stream = read_json_stream(spark, f"{tmp_path}/in", "id BIGINT")
+    query = to_files(stream, f"{tmp_path}/out", f"{tmp_path}/cp", trigger="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 3
+
+
+def test_console(spark, tmp_path):
+    spark.range(3).write.json(f"{tmp_path}/in")
+    query = to_console(read_json_stream(spark, f"{tmp_path}/in", "id BIGINT"), AVAILABLE_NOW)
+    drain(query)
+    assert query.exception() is None
+
+
+def test_failure_is_raised(spark, tmp_path):
+    spark.range(1).write.json(f"{tmp_path}/in")
+    stream = read_json_stream(spark, f"{tmp_path}/in", "id BIGINT")
+    broken = stream.select(F.raise_error(F.lit("bad batch")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="bad batch"):
+        drain(to_files(broken, f"{tmp_path}/out", f"{tmp_path}/cp", trigger=AVAILABLE_NOW))
+
+
+def test_silver_table_appends(spark, tmp_path):
+    kafka(spark, f"{tmp_path}/in", 0, 6)
+    kafka(spark, f"{tmp_path}/in", 6, 4, "sensors.motion")
+    bronze = to_bronze(spark.read.parquet(f"{tmp_path}/in"))
+    write_partitioned(bronze, f"{tmp_path}/bronze", BRONZE_KEYS, "json")
+    for _ in range(2):
+        drain(
+            jobs.bronze_to_silver(
+                spark, f"{tmp_path}/bronze", "silver_stream_test", f"{tmp_path}/cp",
+                trigger=AVAILABLE_NOW, location=f"{tmp_path}/table",
+            )
+        )
+    table = read_table(spark, "silver_stream_test")
+    assert table.count() == 6
+    assert table.agg(F.max("temperature")).first()[0] == 5.0
+    spark.sql("DROP TABLE silver_stream_test")
+
+
+def test_fan_out_runs_every_topic(spark, tmp_path):
+    topics = ["sensors.temperature", "sensors.motion"]
+    for i, topic in enumerate(topics):
+        kafka(spark, f"{tmp_path}/in", 10 * i, 4 + i, topic)
+    bronze = to_bronze(spark.read.parquet(f"{tmp_path}/in"))
+    write_partitioned(bronze, f"{tmp_path}/bronze", BRONZE_KEYS, "json")
+    schemas = {t: PAYLOADS[t] for t in topics}
+
+    def by_directory(topic):
+        return read_topic_stream(spark, f"{tmp_path}/bronze", topic)
+
+    whole = read_json_stream(
+        spark, f"{tmp_path}/bronze", "value STRING, topic STRING, year INT, month INT, day INT"
+    )
+    for name, source in (("a", by_directory), ("b", whole)):
+        queries = fan_out(
+            source, schemas, f"{tmp_path}/{name}", f"{tmp_path}/cp{name}", AVAILABLE_NOW
+        )
+        assert list(queries) == topics
+        drain(*queries.values())
+        assert [spark.read.parquet(f"{tmp_path}/{name}/{t}").count() for t in topics] == [4, 5]
+
+
+LINES = ['{"id": 1}', '{"id": "x"}', "{broken", '{"id": 2}', ""]
+
+
+def lines(tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(LINES))
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_path, rows):
+    lines(tmp_path)
+    stream = read_json_stream(spark, f"{tmp_path}/in", "id BIGINT", keep_corrupt=True)
+    drain(to_marked_files(stream, f"{tmp_path}/out", f"{tmp_path}/cp", trigger=AVAILABLE_NOW))
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert rows(out.filter("validation_status = 'valid'"), "id") == [(1,), (2,)]
+    assert rows(out.filter("validation_status = 'invalid'"), "_corrupt_record") == [('{"id": "x"}',), ("{broken",)]
+
+
+def test_bad_lines_are_null_rows_without_the_column(spark, tmp_path, rows):
+    lines(tmp_path)
+    stream = read_json_stream(spark, f"{tmp_path}/in", "id BIGINT")
+    drain(to_files(stream, f"{tmp_path}/out", f"{tmp_path}/cp", trigger=AVAILABLE_NOW))
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == [(1,), (2,), (None,), (None,)]
+
+
+def test_dead_letters_and_replay_of_a_batch(spark, tmp_path, rows):
+    lines(tmp_path)
+    stream = read_json_stream(spark, f"{tmp_path}/in", "id BIGINT", keep_corrupt=True)
+    good, bad = batch_files(f"{tmp_path}/good"), batch_files(f"{tmp_path}/bad", "json")
+
+    def twice(df, number):
+        good(df, number)
+        good(df, number)
+
+    drain(with_dead_letters(stream, twice, bad, f"{tmp_path}/cp", trigger=AVAILABLE_NOW))
+    assert rows(spark.read.parquet(f"{tmp_path}/good"), "id") == [(1,), (2,)]
+    assert spark.read.json(f"{tmp_path}/bad").count() == 2
+
+
+@pytest.mark.parametrize("delay", [None, "1 hour"])
+def test_repeats_in_later_batches_go(spark, tmp_path, delay):
+    for _ in range(2):
+        kafka(spark, f"{tmp_path}/in", 0, 5)
+    stream = read_parquet_stream(spark, f"{tmp_path}/in", ENVELOPE, max_files=1)
+    once = dedupe_stream(stream, ["topic", "partition", "offset"], delay=delay)
+    drain(to_files(once, f"{tmp_path}/out", f"{tmp_path}/cp", trigger=AVAILABLE_NOW))
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 5
+
+
+def test_merge_stream(spark, tmp_path, rows):
+    schema = "p STRING, k INT, at INT, v STRING"
+    target = spark.createDataFrame([("x", 1, 0, "a"), ("y", 1, 0, "b")], schema)
+    write_target(target, f"{tmp_path}/t", "overwrite", ["p"])
+    for row in (("x", 1, 1, "A"), ("x", 2, 1, "N"), ("x", 1, 2, "AA")):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(
+            f"{tmp_path}/in"
+        )
+    changes = read_parquet_stream(spark, f"{tmp_path}/in", schema, max_files=1)
+    drain(
+        merge_stream(
+            changes, f"{tmp_path}/t", ["p", "k"], ["at"], ["p"], f"{tmp_path}/cp", AVAILABLE_NOW
+        )
+    )
+    assert rows(spark.read.parquet(f"{tmp_path}/t"), "p", "k", "at", "v") == [
+        ("x", 1, 2, "AA"), ("x", 2, 1, "N"), ("y", 1, 0, "b"),
+    ]
+
+
+def test_named_query_and_default_trigger(spark, tmp_path):
+    spark.range(1).write.json(f"{tmp_path}/in")
+    stream = read_json_stream(spark, f"{tmp_path}/in", "id BIGINT")
+    out = writer(stream, f"{tmp_path}/cp", name="named").format("parquet")
+    query = out.start(f"{tmp_path}/out")
+    assert query.name == "named"
+    query.processAllAvailable()
+    query.stop()

@@ -43,8 +43,8 @@ def upsert(
 ) -> DataFrame:
     """The target with each changed key's row replaced, and new keys added.
 
-    Only the target takes part in one join with the changed keys; it is not shuffled when
-    those are few enough to broadcast, which Spark decides by their size.
+    The target meets the changed keys in one join. It is not shuffled for that when Spark
+    knows from their size that they can be broadcast, as it does for stored changes.
     """
     newest = newest_per_key(_require_keys(changes, keys), keys, order_by)
     kept = target.join(newest.select(*keys), keys, "left_anti").select(*target.columns)

@@ -20,7 +20,12 @@ from tristrata.sinks.merge import write_target
 from tristrata.streaming.dedupe import dedupe_stream
 from tristrata.streaming.fanout import fan_out
 from tristrata.streaming.merge import merge_stream
-from tristrata.streaming.quarantine import batch_files, to_flagged_files, with_dead_letters
+from tristrata.streaming.quarantine import (
+    batch_files,
+    mark_corrupt,
+    to_marked_files,
+    with_dead_letters,
+)
 from tristrata.streaming.run import AVAILABLE_NOW, drain, to_files
 
 
@@ -125,7 +130,7 @@ QUARANTINE_SQL = """
 SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
        CASE WHEN event_type <> 'error' THEN user_id END AS user_id,
        CASE WHEN event_type <> 'error' THEN value END AS value,
-       event_type = 'error' AS is_corrupt,
+       CASE WHEN event_type <> 'error' THEN 'valid' ELSE 'invalid' END AS validation_status,
        CASE WHEN event_type = 'error' THEN '{"broken": ' || event_id END AS _corrupt_record
 FROM events"""
 
@@ -136,9 +141,8 @@ def stream_quarantine(spark, sf_dir):
     work = scratch(spark, "stream-quarantine")
     untidy_lines(spark, sf_dir, f"{work}/in")
     rows = read_json_stream(spark, f"{work}/in", LINES, glob="*.txt", keep_corrupt=True)
-    drain(to_flagged_files(rows, f"{work}/out", f"{work}/cp", trigger=AVAILABLE_NOW))
-    flag = F.col("is_corrupt").cast("boolean")
-    return spark.read.parquet(f"{work}/out").withColumn("is_corrupt", flag)
+    drain(to_marked_files(rows, f"{work}/out", f"{work}/cp", trigger=AVAILABLE_NOW))
+    return spark.read.parquet(f"{work}/out")
 
 
 @query(QUARANTINE_SQL)
@@ -156,9 +160,8 @@ def stream_dead_letters(spark, sf_dir):
             trigger=AVAILABLE_NOW,
         )
     )
-    good = spark.read.parquet(f"{work}/good").withColumn("is_corrupt", F.lit(False))
-    bad = spark.read.parquet(f"{work}/bad").withColumn("is_corrupt", F.lit(True))
-    return good.unionByName(bad, allowMissingColumns=True).drop("batch_id")
+    good, bad = spark.read.parquet(f"{work}/good"), spark.read.parquet(f"{work}/bad")
+    return mark_corrupt(good.unionByName(bad, allowMissingColumns=True)).drop("batch_id")
 
 
 @query(

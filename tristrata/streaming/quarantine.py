@@ -13,11 +13,13 @@ from tristrata.schemas import CORRUPT
 from tristrata.streaming.run import to_files, writer
 
 
-def flag_corrupt(df: DataFrame, column: str = CORRUPT, into: str = "is_corrupt") -> DataFrame:
-    return df.withColumn(into, F.col(column).isNotNull())
+def mark_corrupt(df: DataFrame, column: str = CORRUPT) -> DataFrame:
+    """Add ``validation_status``: ``valid``, or ``invalid`` where text was kept as corrupt."""
+    status = F.when(F.col(column).isNull(), "valid").otherwise("invalid")
+    return df.withColumn("validation_status", status)
 
 
-def to_flagged_files(
+def to_marked_files(
     df: DataFrame,
     path: str,
     checkpoint: str,
@@ -26,18 +28,12 @@ def to_flagged_files(
     partition_by: list[str] | None = None,
     trigger: str | None = None,
 ) -> StreamingQuery:
-    """Write good and bad rows in one pass, under ``is_corrupt=false`` and ``=true``.
+    """Write good and bad rows in one pass, in directories by ``validation_status``.
 
-    Each row is parsed and written once; a reader of good rows skips the other directory.
+    Each row is parsed and written once; a reader of valid rows skips the other directory.
     """
-    return to_files(
-        flag_corrupt(df, column),
-        path,
-        checkpoint,
-        fmt,
-        ["is_corrupt", *(partition_by or [])],
-        trigger,
-    )
+    keys = ["validation_status", *(partition_by or [])]
+    return to_files(mark_corrupt(df, column), path, checkpoint, fmt, keys, trigger)
 
 
 def with_dead_letters(
