@@ -177,3 +177,20 @@ def test_large_changes_are_not_broadcast(spark, plan):
         assert "BroadcastHashJoin" not in text and "Join" in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def test_directory_names_keep_their_type(spark, tmp_path, rows):
+    path = f"{tmp_path}/t"
+    target = spark.createDataFrame([("007", 1, 0, "a"), ("1e1", 1, 0, "b")], PARTED)
+    write_target(target, path, "overwrite", ["p"])
+    changes = spark.createDataFrame([("007", 2, 1, "n")], PARTED)
+    merge_partitions(path, changes, ["p", "k"], ["at"], ["p"])
+    assert sorted(d.name for d in (tmp_path / "t").iterdir() if d.is_dir()) == ["p=007", "p=1e1"]
+    back = spark.read.schema(PARTED).parquet(path)
+    assert rows(back, "p", "k") == [("007", 1), ("007", 2), ("1e1", 1)]
+
+
+def test_rows_with_maps(spark):
+    df = spark.sql("SELECT 1 AS k, 1 AS at, map('a', id) AS m FROM range(5)")
+    for parts in (1, 4):
+        assert newest_per_key(df.repartition(parts), ["k"], ["at"]).first().m == {"a": 4}

@@ -208,3 +208,21 @@ def test_distinct_counts_read_their_own_columns(people, plan, spark, tmp_path):
         assert "ReadSchema: struct<id:int>" in text
         assert "ReadSchema: struct<age:int>" in text
         assert "Expand" not in text
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_profile_of_columns_that_do_not_compare(spark, rows, exact):
+    df = spark.range(2).selectExpr("map('a', id) AS m", "named_struct('x', id) AS s", "id AS `d.o`")
+    assert rows(q.profile(df, exact)) == [
+        ("d.o", "bigint", 2, 0, 2, "0", "1", 0.5),
+        ("m", "map<string,bigint>", 2, 0, None, None, None, None),
+        ("s", "struct<x:bigint>", 2, 0, 2, "{0}", "{1}", None),
+    ]
+
+
+def test_names_with_dots(spark, rows):
+    df = spark.createDataFrame([(1, None)], "`a.b` INT, `c.d` INT")
+    assert q.require_rows(q.basic_report(df)) == (1, 1)
+    assert rows(q.completeness(df), "column_name", "non_null_rows") == [
+        ("*", 1), ("a.b", 1), ("c.d", 0),
+    ]

@@ -11,6 +11,7 @@ from tristrata.functions.timefns import (
     now,
     parse_ts,
     to_event_time,
+    truncate_ntz,
 )
 
 
@@ -60,7 +61,6 @@ def test_add(spark):
 
 def test_a_day_is_a_wall_clock_day(spark):
     """Also across a change of clocks."""
-    at = datetime(2024, 3, 30, 2, 30)
     spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
     try:
         t = F.lit("2024-03-30 02:30:00").cast("timestamp_ntz")
@@ -68,7 +68,29 @@ def test_a_day_is_a_wall_clock_day(spark):
         assert tuple(got) == (datetime(2024, 3, 31, 2, 30),) * 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert at.day == 30
+
+
+@pytest.mark.parametrize(
+    ("unit", "want"),
+    [
+        ("hour", datetime(2024, 3, 31, 2)),
+        ("day", datetime(2024, 3, 31)),
+        ("month", datetime(2024, 3, 1)),
+    ],
+)
+def test_hours_that_a_zone_lacks(spark, unit, want):
+    """Half past two does not exist on that day in Paris, but is a wall-clock time."""
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        text = "2024-03-31 02:30:15"
+        t = F.lit(text).cast("timestamp_ntz")
+        df = spark.range(1)
+        assert df.select(truncate_ntz(t, unit)).first()[0] == want
+        assert df.select(parse_ts(F.lit(text), strict=False)).first()[0] == datetime(
+            2024, 3, 31, 2, 30, 15
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_now(spark):

@@ -1,4 +1,4 @@
-"""Wall-clock time functions. All work on TIMESTAMP_NTZ, so no zone shifts a value."""
+"""Time functions on wall-clock timestamps (TIMESTAMP_NTZ), which no time zone shifts."""
 
 from __future__ import annotations
 
@@ -16,15 +16,33 @@ def _column(value: Column | str) -> Column:
 
 def parse_ts(value: Column | str, fmt: str = DEFAULT_FORMAT, strict: bool = True) -> Column:
     """Text to wall-clock timestamp. ``strict`` raises on bad text, else it gives null."""
+    parsed = F.to_timestamp_ntz(_column(value), F.lit(fmt))
     if strict:
-        return F.to_timestamp_ntz(_column(value), F.lit(fmt))
-    return F.try_to_timestamp(_column(value), F.lit(fmt)).cast("timestamp_ntz")
+        return parsed
+    return F.when(F.try_to_timestamp(_column(value), F.lit(fmt)).isNotNull(), parsed)
 
 
 def format_ts(value: Column | str, fmt: str = DEFAULT_FORMAT) -> Column:
+    """Timestamp to text; an instant is shown in the session time zone."""
     return F.date_format(_column(value), fmt)
 
 
+def truncate_ntz(value: Column | str, unit: str) -> Column:
+    """Wall-clock timestamp cut to its ``hour``, ``day`` or ``month``.
+
+    ``date_trunc`` goes through the session time zone, which has hours that do not exist.
+    """
+    day = _column(value).cast("date")
+    if unit == "month":
+        return F.trunc(day, "month").cast("timestamp_ntz")
+    midnight = day.cast("timestamp_ntz")
+    if unit == "day":
+        return midnight
+    if unit == "hour":
+        return midnight + F.make_dt_interval(hours=F.hour(_column(value)))
+    raise ValueError(f"unknown unit: {unit}")
+
+
 def add_days(value: Column | str, days: Column | int) -> Column:
     """``days`` may be negative, and may be a column."""
     n = days if isinstance(days, Column) else F.lit(days)

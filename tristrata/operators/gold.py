@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
+from tristrata.functions.timefns import truncate_ntz
+
 # Label -> truncation unit.
 UNITS = {"hourly": "hour", "daily": "day", "monthly": "month"}
 
@@ -24,9 +26,9 @@ def period_rollup(
     shuffle and by period only after that, so one period holding most of the rows is spread
     over all customers' tasks.
     """
-    period = F.date_trunc(UNITS.get(kind, "day"), F.col(ts))
-    if isinstance(df.schema[ts].dataType, TimestampNTZType):
-        period = period.cast("timestamp_ntz")
+    unit = UNITS.get(kind, "day")
+    wall_clock = isinstance(df.schema[ts].dataType, TimestampNTZType)
+    period = truncate_ntz(ts, unit) if wall_clock else F.date_trunc(unit, F.col(ts))
     totals = df.groupBy(period.alias("period")).agg(
         F.count(F.lit(1)).alias("total_records"),
         F.sum(amount).alias("total_amount"),

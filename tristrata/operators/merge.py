@@ -8,6 +8,8 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tristrata.schemas import orderable
+
 
 def _require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """A null in a key column stops the job, as a primary key would.
@@ -31,10 +33,13 @@ def newest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
     Ties go by the other columns, so a task that is run again picks the same row. Spark cuts
     each task's rows to one per key before the shuffle; a hot key stays small.
     """
-    order = order_by + [c for c in df.columns if c not in keys and c not in order_by]
+    ties = [f for f in df.schema.fields if f.name not in keys and f.name not in order_by]
+    order = [F.col(c) for c in order_by] + [
+        F.col(f.name) if orderable(f.dataType) else F.to_json(f.name) for f in ties
+    ]
     if not order:
         return df.dropDuplicates(keys)
-    best = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    best = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order])
     return df.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")
 
 

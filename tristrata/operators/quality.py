@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StructField, StructType
 
 from tristrata.operators.silver import decode_payload
-from tristrata.schemas import CORRUPT, struct
+from tristrata.schemas import CORRUPT, orderable, struct
 
 
 class DataQualityError(RuntimeError):
@@ -54,7 +54,12 @@ def any_null(df: DataFrame, columns: list[str] | None = None) -> Column:
     names = df.columns if columns is None else columns
     if not names:
         raise ValueError("no columns to test for nulls")
-    return reduce(or_, [F.col(c).isNull() for c in names])
+    return reduce(or_, [_named(c).isNull() for c in names])
+
+
+def _named(column: str) -> Column:
+    """The column of exactly this name, also when it has a dot in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def _holds(rule: Column) -> Column:
@@ -89,7 +94,7 @@ def completeness(
     names = df.columns if columns is None else columns
     counts = df.agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(names)],
+        *[F.count(_named(c)).alias(f"_{i}") for i, c in enumerate(names)],
     )
     filled = [F.col(f"_{i}") for i in range(len(names))]
     lines = [(c, F.col("_n"), n) for c, n in zip(names, filled)]
@@ -129,7 +134,7 @@ def uniqueness(
         df.agg(
             F.lit(",".join(g)).alias("column_name"),
             F.count(F.lit(1)).alias("total_rows"),
-            F.count_distinct(*[F.col(c) for c in g]).alias("distinct_values"),
+            F.count_distinct(*[_named(c) for c in g]).alias("distinct_values"),
         )
         for g in groups
     ]
@@ -225,82 +230,67 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def _profile_line(
-    name: str, kind: str, rows: Column, filled: Column, distinct: Column, low: Column,
-    high: Column, mean: Column | None,
-) -> Column:
-    return F.struct(
-        F.lit(name).alias("column_name"),
-        F.lit(kind).alias("data_type"),
-        rows.alias("total_rows"),
-        (rows - filled).alias("null_rows"),
-        distinct.alias("distinct_values"),
-        low.cast("string").alias("min_value"),
-        high.cast("string").alias("max_value"),
-        (F.lit(None) if mean is None else mean).cast("double").alias("avg_value"),
-    )
-
-
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Per column: type, nulls, distinct values, least and greatest (as text), average.
 
     Distinct values are estimated in one scan of all columns, with nothing but one row per
     task to shuffle. ``exact`` counts how often each value occurs instead, column by column:
-    each column is read on its own, and a value is shuffled once per task at most.
+    each column is read on its own, and a value is shuffled once per task at most. Columns
+    that Spark cannot compare, such as maps, get their nulls counted only.
     """
     fields = df.schema.fields
     if exact:
         return _stacked([_exact_profile(df, f) for f in fields])
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[
-            agg
-            for i, f in enumerate(fields)
-            for agg in (
-                F.count(F.col(f.name)).alias(f"_filled{i}"),
-                F.approx_count_distinct(F.col(f.name)).alias(f"_distinct{i}"),
-                F.min(f.name).alias(f"_min{i}"),
-                F.max(f.name).alias(f"_max{i}"),
-                *([F.avg(f.name).alias(f"_avg{i}")] if isinstance(f.dataType, NumericType) else []),
-            )
-        ],
-    )
-    lines = [
-        _profile_line(
-            f.name,
-            f.dataType.simpleString(),
-            F.col("_n"),
-            *[F.col(f"_{part}{i}") for part in ("filled", "distinct", "min", "max")],
-            F.col(f"_avg{i}") if isinstance(f.dataType, NumericType) else None,
-        )
-        for i, f in enumerate(fields)
-    ]
-    return counts.select(_rows(*lines))
+    measures = {"_n": F.count(F.lit(1))}
+    lines = []
+    for i, f in enumerate(fields):
+        value = _named(f.name)
+        mine = {"filled": F.count(value)}
+        if orderable(f.dataType):
+            distinct = F.approx_count_distinct(value)
+            mine |= {"distinct": distinct, "min": F.min(value), "max": F.max(value)}
+        if isinstance(f.dataType, NumericType):
+            mine["avg"] = F.avg(value)
+        measures |= {f"_{part}{i}": agg for part, agg in mine.items()}
+        lines.append(_profile_line(f, F.col("_n"), {part: F.col(f"_{part}{i}") for part in mine}))
+    totals = df.agg(*[agg.alias(name) for name, agg in measures.items()])
+    return totals.select(_rows(*lines))
 
 
 def _exact_profile(df: DataFrame, field: StructField) -> DataFrame:
-    values = df.groupBy(F.col(field.name).alias("_v")).agg(F.count(F.lit(1)).alias("_times"))
+    if not orderable(field.dataType):
+        return profile(df.select(_named(field.name)))
+    values = df.groupBy(_named(field.name).alias("_v")).agg(F.count(F.lit(1)).alias("_times"))
     value, times = F.col("_v"), F.col("_times")
-    number = isinstance(field.dataType, NumericType)
-    filled = F.sum(F.when(value.isNotNull(), times).otherwise(F.lit(0)))
-    line = values.agg(
-        F.coalesce(F.sum(times), F.lit(0)).alias("_n"),
-        F.coalesce(filled, F.lit(0)).alias("_filled"),
-        F.count(value).alias("_distinct"),
-        F.min(value).alias("_min"),
-        F.max(value).alias("_max"),
-        *([F.sum(value.cast("double") * times).alias("_sum")] if number else []),
-    ).select(
-        _rows(
-            _profile_line(
-                field.name,
-                field.dataType.simpleString(),
-                *[F.col(f"_{part}") for part in ("n", "filled", "distinct", "min", "max")],
-                F.try_divide("_sum", "_filled") if number else None,
-            )
-        )
+    mine = {
+        "filled": F.coalesce(F.sum(F.when(value.isNotNull(), times)), F.lit(0)),
+        "distinct": F.count(value),
+        "min": F.min(value),
+        "max": F.max(value),
+    }
+    if isinstance(field.dataType, NumericType):
+        mine["sum"] = F.sum(value.cast("double") * times)
+    totals = values.agg(
+        F.coalesce(F.sum(times), F.lit(0)).alias("_n"), *[agg.alias(k) for k, agg in mine.items()]
+    )
+    parts = {k: F.col(k) for k in mine}
+    if "sum" in parts:
+        parts["avg"] = F.try_divide(parts.pop("sum"), parts["filled"])
+    return totals.select(_rows(_profile_line(field, F.col("_n"), parts)))
+
+
+def _profile_line(field: StructField, rows: Column, parts: dict[str, Column]) -> Column:
+    nothing = F.lit(None)
+    return F.struct(
+        F.lit(field.name).alias("column_name"),
+        F.lit(field.dataType.simpleString()).alias("data_type"),
+        rows.alias("total_rows"),
+        (rows - parts["filled"]).alias("null_rows"),
+        parts.get("distinct", nothing).cast("bigint").alias("distinct_values"),
+        parts.get("min", nothing).cast("string").alias("min_value"),
+        parts.get("max", nothing).cast("string").alias("max_value"),
+        parts.get("avg", nothing).cast("double").alias("avg_value"),
     )
-    return line
 
 
 def annotate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -365,7 +355,7 @@ def apply_policy(
     rows = F.col("_n").cast("double")
     lines = [_line("error_rate", F.try_divide("_bad", rows), policy.error_rate, at_least=False)]
     if policy.null_check:
-        aggregates["_filled"] = reduce(lambda a, b: a + b, [F.count(F.col(c)) for c in df.columns])
+        aggregates["_filled"] = reduce(lambda a, b: a + b, [F.count(_named(c)) for c in df.columns])
         share = F.try_divide("_filled", rows * len(df.columns))
         lines.append(_line("completeness", share, policy.completeness))
     report = df.agg(*[agg.alias(name) for name, agg in aggregates.items()]).select(_rows(*lines))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 # Field names, types, topic names and seed rows of the data model.
 
@@ -102,3 +102,12 @@ def with_corrupt(schema: str | StructType) -> StructType:
     if CORRUPT in base.names:
         return base
     return StructType(list(base.fields)).add(CORRUPT, "string")
+
+
+def orderable(kind: DataType) -> bool:
+    """Whether Spark can sort and group by values of the type."""
+    if isinstance(kind, StructType):
+        return all(orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return orderable(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType))

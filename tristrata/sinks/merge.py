@@ -7,6 +7,7 @@ from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tristrata.operators.merge import newest_per_key, upsert
 from tristrata.scratch import scratch
@@ -33,6 +34,19 @@ def _touched(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFram
     )
 
 
+def _stored(path: str, changes: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The table, its directory names read with the types that the changes have.
+
+    Spark would otherwise guess them, and take ``p=007`` for the number 7.
+    """
+    spark = changes.sparkSession
+    fields = [
+        changes.schema[f.name] if f.name in partition_by else f
+        for f in spark.read.parquet(path).schema.fields
+    ]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def _finished(path: str, spark: SparkSession) -> bool:
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
@@ -62,7 +76,7 @@ def merge_partitions(
     if not _finished(rows, spark):
         newest_per_key(changes, keys, order_by).write.mode("overwrite").parquet(f"{work}/changes")
         newest = spark.read.parquet(f"{work}/changes")
-        target = _touched(spark.read.parquet(path), newest, partition_by)
+        target = _touched(_stored(path, changes, partition_by), newest, partition_by)
         upsert(target, newest, keys, order_by).write.mode("overwrite").parquet(rows)
     (
         gather(spark.read.parquet(rows), partition_by)
