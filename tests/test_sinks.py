@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tristrata.operators.bronze import to_bronze
 from tristrata.schemas import BRONZE, BRONZE_KEYS, ENVELOPE
+from tristrata.sources.files import read_parquet_stream
+from tristrata.streaming.run import AVAILABLE_NOW, drain, to_files
 from tristrata.sinks.files import gather, write_cleansed, write_parquet, write_partitioned
 
 
@@ -82,3 +84,19 @@ def test_formats(spark, tmp_path, fmt):
     df = spark.range(4).withColumn("p", F.col("id") % 2)
     write_partitioned(df, f"{tmp_path}/{fmt}", ["p"], fmt)
     assert spark.read.format(fmt).load(f"{tmp_path}/{fmt}").filter("p = 1").count() == 2
+
+
+def test_gather_on_a_stream(spark, tmp_path):
+    df = spark.range(0, 8000, 1, 8).withColumn("p", F.col("id") % 5)
+    df.write.parquet(f"{tmp_path}/in")
+    stream = read_parquet_stream(spark, f"{tmp_path}/in", "id BIGINT, p BIGINT")
+    for name, rows in (("plain", stream.repartition(8)), ("gathered", gather(stream.repartition(8), ["p"]))):
+        drain(
+            to_files(
+                rows, f"{tmp_path}/{name}", f"{tmp_path}/cp-{name}", partition_by=["p"],
+                trigger=AVAILABLE_NOW,
+            )
+        )
+    assert len(files(tmp_path / "plain")) == 40
+    assert len(files(tmp_path / "gathered")) == 5
+    assert spark.read.parquet(f"{tmp_path}/gathered").count() == 8000

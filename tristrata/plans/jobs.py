@@ -12,8 +12,8 @@ from tristrata.operators.cleanse import cleanse_contacts
 from tristrata.operators.gold import period_rollup
 from tristrata.operators.quality import DataQualityError, any_null
 from tristrata.operators.silver import to_silver
-from tristrata.schemas import BRONZE, BRONZE_KEYS, INGEST_TOPICS
-from tristrata.sinks.files import write_cleansed, write_parquet, write_rollup
+from tristrata.schemas import BRONZE, BRONZE_KEYS, INGEST_TOPICS, SILVER_KEYS
+from tristrata.sinks.files import gather, write_cleansed, write_parquet, write_rollup
 from tristrata.sources.catalog import create_table
 from tristrata.sources.files import read_files, read_json_stream
 from tristrata.sources.kafka import read_kafka_stream
@@ -83,10 +83,17 @@ def kafka_to_bronze(
     topics: list[str] | str = INGEST_TOPICS,
     trigger: str | None = None,
     strict: bool = False,
+    gather_files: bool = False,
     **kafka,
 ) -> StreamingQuery:
-    """Kafka to partitioned JSON."""
+    """Kafka to partitioned JSON.
+
+    A task holds a stretch of one topic, mostly of one day, and so writes few files.
+    ``gather_files`` shuffles each batch by directory first, for a backlog of many days.
+    """
     rows = to_bronze(read_kafka_stream(spark, servers, topics, **kafka), strict)
+    if gather_files:
+        rows = gather(rows, BRONZE_KEYS)
     return to_files(rows, output_path, checkpoint, "json", BRONZE_KEYS, trigger)
 
 
@@ -99,10 +106,17 @@ def bronze_to_silver(
     fmt: str = "parquet",
     trigger: str | None = None,
     location: str | None = None,
+    gather_files: bool = False,
     **stream,
 ) -> StreamingQuery:
-    """Bronze JSON to the silver table, which is created if it is absent."""
+    """Bronze JSON to the silver table, which is created if it is absent.
+
+    ``gather_files`` shuffles each batch by day first, for a backlog of many days whose small
+    files share tasks.
+    """
     create_table(spark, table, fmt=fmt, location=location)
     schema = f"{BRONZE}, topic STRING"
     rows = to_silver(read_json_stream(spark, input_path, schema, **stream), topic)
+    if gather_files:
+        rows = gather(rows, SILVER_KEYS)
     return to_table(rows, table, checkpoint, fmt, trigger)

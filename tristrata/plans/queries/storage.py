@@ -115,6 +115,7 @@ def table_append(spark, sf_dir):
             f"{work}/checkpoint",
             topic=None,
             trigger=AVAILABLE_NOW,
+            gather_files=True,
             max_bytes=BATCH_BYTES,
         )
     )

@@ -16,6 +16,7 @@ from tristrata.plans.tables import BATCH_BYTES, kafka_rows, ntz, table, table_st
 from tristrata.schemas import BRONZE, BRONZE_KEYS, PAYLOADS, SILVER_KEYS
 from tristrata.scratch import scratch
 from tristrata.sources.files import read_files, read_json_stream, read_topic_stream
+from tristrata.sinks.files import gather
 from tristrata.sinks.merge import write_target
 from tristrata.streaming.dedupe import dedupe_stream
 from tristrata.streaming.fanout import fan_out
@@ -44,7 +45,7 @@ def _bronze_back(spark, path):
 def stream_bronze(spark, sf_dir):
     """Kafka-shaped rows streamed to JSON by topic and day."""
     work = scratch(spark, "stream-bronze")
-    rows = to_bronze(kafka_rows(table_stream(spark, sf_dir, "events")))
+    rows = gather(to_bronze(kafka_rows(table_stream(spark, sf_dir, "events"))), BRONZE_KEYS)
     drain(to_files(rows, f"{work}/out", f"{work}/cp", "json", BRONZE_KEYS, AVAILABLE_NOW))
     return _bronze_back(spark, f"{work}/out")
 
@@ -54,7 +55,7 @@ def stream_restart(spark, sf_dir):
     """The same query run twice on one checkpoint writes each record once."""
     work = scratch(spark, "stream-restart")
     for _ in range(2):
-        rows = to_bronze(kafka_rows(table_stream(spark, sf_dir, "events")))
+        rows = gather(to_bronze(kafka_rows(table_stream(spark, sf_dir, "events"))), BRONZE_KEYS)
         drain(to_files(rows, f"{work}/out", f"{work}/cp", "json", BRONZE_KEYS, AVAILABLE_NOW))
     return _bronze_back(spark, f"{work}/out")
 
@@ -67,7 +68,7 @@ def stream_silver(spark, sf_dir):
     bronze = read_json_stream(
         spark, f"{work}/bronze", f"{BRONZE}, topic STRING", max_bytes=BATCH_BYTES
     )
-    rows = to_silver(bronze, topic=None)
+    rows = gather(to_silver(bronze, topic=None), SILVER_KEYS)
     drain(
         to_files(rows, f"{work}/out", f"{work}/cp", partition_by=SILVER_KEYS, trigger=AVAILABLE_NOW)
     )
