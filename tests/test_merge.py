@@ -194,3 +194,26 @@ def test_rows_with_maps(spark):
     df = spark.sql("SELECT 1 AS k, 1 AS at, map('a', id) AS m FROM range(5)")
     for parts in (1, 4):
         assert newest_per_key(df.repartition(parts), ["k"], ["at"]).first().m == {"a": 4}
+
+
+def test_key_held_many_times_is_reduced_before_the_shuffle(spark, plan):
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(3000).select((F.col("id") % 3 * F.col("id")).alias("k"))
+        new = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+        out = insert_if_absent(target, new, ["k"])
+        assert plan(out).count("Exchange hashpartitioning") == 3
+        held = {i % 3 * i for i in range(3000)}
+        assert {r.k for r in out.collect()} == set(range(100)) - held
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def test_few_stored_new_rows_do_not_shuffle_the_target(spark, plan, tmp_path):
+    spark.createDataFrame([(1, "x")], "k BIGINT, v STRING").write.parquet(f"{tmp_path}/n")
+    target = spark.range(1_000_000).select(F.col("id").alias("k"))
+    text = plan(insert_if_absent(target, spark.read.parquet(f"{tmp_path}/n"), ["k"]))
+    scan = text.splitlines().index(next(t for t in text.splitlines() if "Range" in t))
+    above = text.splitlines()[scan - 2 : scan]
+    assert any("BroadcastHashJoin" in line for line in above)

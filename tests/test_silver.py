@@ -64,6 +64,13 @@ def test_garbage_and_wrong_types_null_the_fields(spark):
     assert out[1].humidity == 40.0
 
 
+def test_strict_silver_raises_on_bad_time(spark):
+    rows = bronze(spark, {**READING, "timestamp": "soon"})
+    assert to_silver(rows).first().device_ts is None
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast|malformed"):
+        to_silver(rows, strict=True).collect()
+
+
 def test_lineage(spark):
     out = to_silver(bronze(spark, READING), lineage=True)
     assert out.columns[-3:] == ["partition", "offset", "timestamp"]

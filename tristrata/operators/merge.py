@@ -59,9 +59,11 @@ def upsert(
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``new`` whose key the target lacks, one per key; append them to the target.
 
-    The target is first cut to the keys that also occur in ``new``: a small ``new`` is
-    broadcast for that, so a large target is read by key column only and not shuffled.
+    The target is first cut to the distinct keys that also occur in ``new``. When Spark can
+    broadcast those of ``new`` it does that before it reduces the target's keys, so a large
+    target is read by key column and not shuffled; otherwise it reduces them first, so a key
+    that the target holds many times is shuffled once per task.
     """
     one = newest_per_key(_require_keys(new, keys), keys, [])
-    known = target.select(*keys).join(one.select(*keys), keys, "left_semi")
+    known = target.select(*keys).dropDuplicates(keys).join(one.select(*keys), keys, "left_semi")
     return one.join(known, keys, "left_anti").select(*new.columns)

@@ -64,18 +64,22 @@ def add_partition_date(
     return df.withColumn(into, F.to_date(to_event_time(ts_col)))
 
 
-def conform_silver(df: DataFrame, lineage: bool = False) -> DataFrame:
-    """The silver columns in table order, with both times typed; bad text gives null.
+def conform_silver(df: DataFrame, lineage: bool = False, strict: bool = False) -> DataFrame:
+    """The silver columns in table order, with both times typed.
 
-    ``lineage`` appends the record's partition, offset and broker timestamp.
+    Bad time text gives null, or an error if ``strict``. ``lineage`` appends the record's
+    partition, offset and broker timestamp.
     """
     extra = ["partition", "offset", "timestamp"] if lineage else []
-    times = {name: to_event_time(name) for name in ("device_ts", "event_time")}
+    times = {name: to_event_time(name, strict) for name in ("device_ts", "event_time")}
     return df.select(*struct(SILVER).names, *extra).withColumns(times)
 
 
 def to_silver(
-    df: DataFrame, topic: str | None = "sensors.temperature", lineage: bool = False
+    df: DataFrame,
+    topic: str | None = "sensors.temperature",
+    lineage: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """Bronze rows to temperature readings, batch or stream.
 
@@ -83,7 +87,7 @@ def to_silver(
     """
     rows = df if topic is None else for_topic(df, topic)
     decoded = decode_payload(rows, PAYLOADS["sensors.temperature"])
-    return conform_silver(flatten(decoded, TEMPERATURE_FIELDS), lineage)
+    return conform_silver(flatten(decoded, TEMPERATURE_FIELDS), lineage, strict)
 
 
 def clean_topic(

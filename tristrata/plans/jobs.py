@@ -106,6 +106,7 @@ def bronze_to_silver(
     fmt: str = "parquet",
     trigger: str | None = None,
     location: str | None = None,
+    strict: bool = False,
     gather_files: bool = False,
     **stream,
 ) -> StreamingQuery:
@@ -116,7 +117,7 @@ def bronze_to_silver(
     """
     create_table(spark, table, fmt=fmt, location=location)
     schema = f"{BRONZE}, topic STRING"
-    rows = to_silver(read_json_stream(spark, input_path, schema, **stream), topic)
+    rows = to_silver(read_json_stream(spark, input_path, schema, **stream), topic, strict=strict)
     if gather_files:
         rows = gather(rows, SILVER_KEYS)
     return to_table(rows, table, checkpoint, fmt, trigger)
