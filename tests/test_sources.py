@@ -107,3 +107,25 @@ def test_scratch_is_fresh_and_below_the_shared_folder(spark):
     first, second = scratch(spark, "x"), scratch(spark, "x")
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+
+
+class Session:
+    """As much of a session as the scratch folder asks for."""
+
+    def __init__(self, master, folder=None):
+        self.conf, self.sparkContext = {}, self
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_without_the_setting():
+    local = Session("local[2]")
+    assert scratch(local, "x").startswith(local.folder)
+    assert scratch(Session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/tristrata/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch(Session("yarn"), "x")

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from tristrata.functions.text import message_key as key_of
-from tristrata.operators.bronze import to_bronze
+from tristrata.functions.timefns import now
+from tristrata.operators.bronze import project_envelope, stamp_ingest, to_bronze
+from tristrata.operators.cleanse import add_audit_columns
 from tristrata.operators.routing import route
 from tristrata.operators.silver import for_topic, list_topics
 from tristrata.plans.registry import query
@@ -100,3 +102,22 @@ def topic_filter(spark, sf_dir):
 @query("SELECT DISTINCT event_type AS topic FROM events")
 def distinct_topics(spark, sf_dir):
     return list_topics(table(spark, sf_dir, "events").withColumnRenamed("event_type", "topic"))
+
+
+@query(
+    """
+SELECT event_id AS "offset", true AS kafka_time_kept, true AS ingested, true AS dated_by_run,
+       true AS local_clock_runs
+FROM events"""
+)
+def clock_stamps(spark, sf_dir):
+    """The run's stamps: set on every row, and in line with each other."""
+    rows = stamp_ingest(project_envelope(kafka_rows(table(spark, sf_dir, "events"))))
+    stamped = add_audit_columns(rows).withColumn("local_now", now())
+    return stamped.select(
+        "offset",
+        (F.col("kafka_timestamp") == F.col("timestamp")).alias("kafka_time_kept"),
+        (F.col("ingestion_ts") == F.col("created_at")).alias("ingested"),
+        (F.col("processing_date") == F.to_date("created_at")).alias("dated_by_run"),
+        (F.col("local_now").cast("timestamp") == F.col("created_at")).alias("local_clock_runs"),
+    )

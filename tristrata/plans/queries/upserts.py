@@ -90,3 +90,16 @@ def merge_partitions(spark, sf_dir):
         ["ts", "event_id"],
     )
     return spark.read.parquet(path)
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders")
+def write_modes(spark, sf_dir):
+    """Open orders written, written again in their place, and the others appended."""
+    path = scratch(spark, "modes")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"
+    )
+    for _ in range(2):
+        write_target(orders.filter("o_orderstatus = 'O'"), path, "overwrite", ["o_orderstatus"])
+    write_target(orders.filter("o_orderstatus <> 'O'"), path, partition_by=["o_orderstatus"])
+    return spark.read.parquet(path)

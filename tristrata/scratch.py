@@ -11,13 +11,14 @@ from pyspark.sql import SparkSession
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; on a cluster a folder of one
-    machine would be lost with it, so that is refused.
+    Only a local session may go without the setting; on a cluster a folder of one machine
+    would be lost with it, so that is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/tristrata/{name}-{uuid.uuid4().hex}"
