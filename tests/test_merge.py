@@ -100,7 +100,7 @@ def merged(spark, path, rows):
     return rows(spark.read.parquet(path), "p", "k", "at", "v")
 
 
-WANT = [("x", 1, 0, "a"), ("x", 2, 1, "B"), ("y", 1, 0, "c"), ("z", 5, 1, "N"), (None, 1, 1, "D")]
+WANT = [("x", 1, 0, "a"), ("x", 2, 1, "B"), ("y", 1, 0, "c"), ("z", 5, 1, "N"), (None, 1, 0, "d")]
 CHANGES = [("x", 2, 1, "B"), ("z", 5, 1, "N")]
 
 
@@ -110,9 +110,7 @@ def test_merge_touches_its_own_directories(spark, stored, tmp_path, rows, named,
     before = {f.name for f in (tmp_path / "t" / "p=y").iterdir()}
     changes = spark.createDataFrame(CHANGES, PARTED)
     write_target(changes, stored, "merge", ["p"], ["p", "k"], ["at"])
-    assert merged(spark, stored, rows) == sorted(
-        [*WANT[:4], (None, 1, 0, "d")], key=repr
-    )
+    assert merged(spark, stored, rows) == sorted(WANT, key=repr)
     assert {f.name for f in (tmp_path / "t" / "p=y").iterdir()} == before
 
 
@@ -123,20 +121,37 @@ def test_merge_of_no_changes(spark, stored, rows):
     assert merged(spark, stored, rows) == before
 
 
-def test_merge_cut_short_is_made_good(spark, stored, tmp_path, rows):
-    """The new rows were written, but the table lost a directory before they were moved in."""
+def test_merge_cut_short_is_made_good(spark, stored, tmp_path, rows, monkeypatch):
+    """The new rows are written, but the table has lost a directory when the move stops."""
     work = f"{tmp_path}/work"
     changes = spark.createDataFrame(CHANGES, PARTED)
+    with monkeypatch.context() as broken:
+
+        def stop(df, keys):
+            for file in (tmp_path / "t" / "p=x").iterdir():
+                file.unlink()
+            raise OSError("driver lost")
+
+        broken.setattr(sink, "gather", stop)
+        with pytest.raises(OSError):
+            merge_partitions(stored, changes, ["p", "k"], ["at"], ["p"], work)
+    assert spark.read.parquet(stored).count() == 2
     merge_partitions(stored, changes, ["p", "k"], ["at"], ["p"], work)
-    want = merged(spark, stored, rows)
-    for file in (tmp_path / "t" / "p=x").iterdir():
-        file.unlink()
-    spark.catalog.refreshByPath(stored)
-    assert merged(spark, stored, rows) != want
+    want = sorted(WANT, key=repr)
+    assert merged(spark, stored, rows) == want
+    assert not (tmp_path / "work").exists()
     merge_partitions(stored, changes, ["p", "k"], ["at"], ["p"], work)
     assert merged(spark, stored, rows) == want
 
 
+def test_null_key_leaves_the_table_as_it_is(spark, stored, rows):
+    before = merged(spark, stored, rows)
+    changes = spark.createDataFrame([(None, 1, 1, "D")], PARTED)
+    with pytest.raises(Exception, match="null in key column p"):
+        merge_partitions(stored, changes, ["p", "k"], ["at"], ["p"])
+    assert merged(spark, stored, rows) == before
+
+
 def test_partition_must_be_part_of_the_key(spark, stored):
     with pytest.raises(ValueError, match="part of the key"):
         merge_partitions(stored, spark.createDataFrame(CHANGES, PARTED), ["k"], ["at"], ["p"])

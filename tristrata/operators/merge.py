@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tristrata.schemas import orderable
 
 
-def _require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """A null in a key column stops the job, as a primary key would.
 
     The filter on the checked columns never drops a row. It is the one Spark would add on the
@@ -43,19 +43,24 @@ def newest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
     return df.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")
 
 
-def upsert(
-    target: DataFrame, changes: DataFrame, keys: list[str], order_by: list[str]
-) -> DataFrame:
-    """The target with each changed key's row replaced, and new keys added.
+def replace_keys(target: DataFrame, newest: DataFrame, keys: list[str]) -> DataFrame:
+    """The target with the rows of ``newest``, one per key, in place of its own.
 
-    The target meets the changed keys in one join. It is not shuffled for that when Spark
-    knows from their size that they can be broadcast, as it does for stored changes.
+    The target meets the new keys in one join. It is not shuffled for that when Spark knows
+    from their size that they can be broadcast, as it does for stored rows.
     """
-    newest = newest_per_key(_require_keys(changes, keys), keys, order_by)
     kept = target.join(newest.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(newest.select(*target.columns))
 
 
+def upsert(
+    target: DataFrame, changes: DataFrame, keys: list[str], order_by: list[str]
+) -> DataFrame:
+    """The target with each changed key's row replaced by its newest change, and new keys added."""
+    newest = newest_per_key(require_keys(changes, keys), keys, order_by)
+    return replace_keys(target, newest, keys)
+
+
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``new`` whose key the target lacks, one per key; append them to the target.
 
@@ -64,6 +69,6 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str]) -> Data
     target is read by key column and not shuffled; otherwise it reduces them first, so a key
     that the target holds many times is shuffled once per task.
     """
-    one = newest_per_key(_require_keys(new, keys), keys, [])
+    one = newest_per_key(require_keys(new, keys), keys, [])
     known = target.select(*keys).dropDuplicates(keys).join(one.select(*keys), keys, "left_semi")
     return one.join(known, keys, "left_anti").select(*new.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tristrata.operators.merge import newest_per_key, upsert
+from tristrata.operators.merge import newest_per_key, replace_keys, require_keys
 from tristrata.scratch import scratch
 from tristrata.sinks.files import gather
 
@@ -22,14 +22,13 @@ def _touched(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFram
     hit = changes.select(*keys).distinct()
     named = hit.limit(MAX_NAMED + 1).collect()
     if len(named) > MAX_NAMED:
-        both = reduce(and_, [target[k].eqNullSafe(hit[k]) for k in keys])
-        return target.join(hit, both, "left_semi")
+        return target.join(hit, keys, "left_semi").select(*target.columns)
     if not named:
         return target.limit(0)
     return target.filter(
         reduce(
             or_,
-            [reduce(and_, [F.col(k).eqNullSafe(F.lit(row[k])) for k in keys]) for row in named],
+            [reduce(and_, [F.col(k) == F.lit(row[k]) for k in keys]) for row in named],
         )
     )
 
@@ -47,9 +46,22 @@ def _stored(path: str, changes: DataFrame, partition_by: list[str]) -> DataFrame
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
-def _finished(path: str, spark: SparkSession) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+def _file(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path, as Hadoop has them."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    files, marker = _file(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
+def _discard(spark: SparkSession, rows: str, work: str) -> None:
+    """Delete the marker first: rows that are half deleted must not look finished."""
+    for path in (f"{rows}/_SUCCESS", work):
+        files, name = _file(spark, path)
+        files.delete(name, True)
 
 
 def merge_partitions(
@@ -65,19 +77,20 @@ def merge_partitions(
     The partition columns must belong to the key, so that a row cannot change directory. The
     new content is first written whole under ``work``, by default in the shared scratch
     folder, and moved in from there: no plan reads and overwrites the table at once. A merge
-    run again with the same ``work`` moves that content in again, so one that was cut short
-    while directories were being replaced is made good.
+    that was cut short while directories were being replaced is made good when it is run again
+    with the same ``work``, which is deleted at the end.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the key")
     spark = changes.sparkSession
     work = work or scratch(spark, "merge")
     rows = f"{work}/rows"
-    if not _finished(rows, spark):
-        newest_per_key(changes, keys, order_by).write.mode("overwrite").parquet(f"{work}/changes")
+    if not _finished(spark, rows):
+        once = newest_per_key(require_keys(changes, keys), keys, order_by)
+        once.write.mode("overwrite").parquet(f"{work}/changes")
         newest = spark.read.parquet(f"{work}/changes")
         target = _touched(_stored(path, changes, partition_by), newest, partition_by)
-        upsert(target, newest, keys, order_by).write.mode("overwrite").parquet(rows)
+        replace_keys(target, newest, keys).write.mode("overwrite").parquet(rows)
     (
         gather(spark.read.parquet(rows), partition_by)
         .write.mode("overwrite")
@@ -85,6 +98,7 @@ def merge_partitions(
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    _discard(spark, rows, work)
 
 
 def write_target(
