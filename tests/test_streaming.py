@@ -199,3 +199,15 @@ def test_named_query_and_default_trigger(spark, tmp_path):
     assert query.name == "named"
     query.processAllAvailable()
     query.stop()
+
+
+def test_drain_sees_a_failure_behind_a_running_query(spark, tmp_path):
+    spark.range(1).write.json(f"{tmp_path}/in")
+    stream = read_json_stream(spark, f"{tmp_path}/in", "id BIGINT")
+    endless = to_files(stream, f"{tmp_path}/a", f"{tmp_path}/cpa")
+    broken = stream.select(F.raise_error(F.lit("bad batch")).cast("int").alias("x"))
+    try:
+        with pytest.raises(Exception, match="bad batch"):
+            drain(endless, to_files(broken, f"{tmp_path}/b", f"{tmp_path}/cpb"))
+    finally:
+        endless.stop()

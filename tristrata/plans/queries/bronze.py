@@ -36,6 +36,14 @@ def bronze_envelope(spark, sf_dir):
     return compared(to_bronze(kafka_rows(table(spark, sf_dir, "events"))))
 
 
+def bad_time_rows(events):
+    """Bronze rows whose payload holds no time, or text that is none, for two of the types."""
+    time = F.when(F.col("event_type") == "error", F.lit("not a time")).when(
+        F.col("event_type") != "view", iso_time()
+    )
+    return to_bronze(kafka_rows(events, sensor_payload(time)))
+
+
 @query(
     """
 SELECT 'sensors.' || event_type AS topic, event_id AS "offset",
@@ -47,11 +55,7 @@ FROM events"""
 )
 def bronze_bad_times(spark, sf_dir):
     """Malformed and missing times give null keys; no row is lost and nothing is raised."""
-    time = F.when(F.col("event_type") == "error", F.lit("not a time")).when(
-        F.col("event_type") != "view", iso_time()
-    )
-    events = table(spark, sf_dir, "events")
-    bronze = to_bronze(kafka_rows(events, sensor_payload(time)))
+    bronze = bad_time_rows(table(spark, sf_dir, "events"))
     return bronze.select("topic", "offset", "event_time", "year", "month", "day").withColumns(
         ntz("event_time")
     )

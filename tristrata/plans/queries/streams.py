@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tristrata.operators.bronze import to_bronze
 from tristrata.operators.silver import to_silver
-from tristrata.plans.queries.bronze import BRONZE_SQL
+from tristrata.plans.queries.bronze import BRONZE_SQL, bad_time_rows
 from tristrata.plans.queries.bronze import compared as bronze_compared
 from tristrata.plans.queries.silver import SILVER_SQL
 from tristrata.plans.queries.storage import write_bronze
@@ -23,7 +23,7 @@ from tristrata.streaming.fanout import fan_out
 from tristrata.streaming.merge import merge_stream
 from tristrata.streaming.quarantine import (
     batch_files,
-    mark_corrupt,
+    mark_invalid,
     to_marked_files,
     with_dead_letters,
 )
@@ -162,7 +162,7 @@ def stream_dead_letters(spark, sf_dir):
         )
     )
     good, bad = spark.read.parquet(f"{work}/good"), spark.read.parquet(f"{work}/bad")
-    return mark_corrupt(good.unionByName(bad, allowMissingColumns=True)).drop("batch_id")
+    return mark_invalid(good.unionByName(bad, allowMissingColumns=True)).drop("batch_id")
 
 
 @query(
@@ -202,3 +202,21 @@ def stream_merge(spark, sf_dir):
         )
     )
     return spark.read.parquet(f"{work}/state")
+
+
+@query(
+    """
+SELECT 'sensors.' || event_type AS topic, event_id AS "offset",
+       CASE WHEN event_type IN ('error', 'view') THEN 'invalid' ELSE 'valid' END
+         AS validation_status,
+       CASE WHEN event_type NOT IN ('error', 'view') THEN ts END AS event_time
+FROM events"""
+)
+def stream_untimed(spark, sf_dir):
+    """Records whose payload has no readable time are kept apart from the others."""
+    work = scratch(spark, "stream-untimed")
+    rows = bad_time_rows(table_stream(spark, sf_dir, "events"))
+    untimed = F.col("event_time").isNull()
+    drain(to_marked_files(rows, f"{work}/out", f"{work}/cp", untimed, trigger=AVAILABLE_NOW))
+    kept = spark.read.parquet(f"{work}/out").withColumns(ntz("event_time"))
+    return kept.select("topic", "offset", "validation_status", "event_time")

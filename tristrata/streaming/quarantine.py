@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -13,17 +13,20 @@ from tristrata.schemas import CORRUPT
 from tristrata.streaming.run import to_files, writer
 
 
-def mark_corrupt(df: DataFrame, column: str = CORRUPT) -> DataFrame:
-    """Add ``validation_status``: ``valid``, or ``invalid`` where text was kept as corrupt."""
-    status = F.when(F.col(column).isNull(), "valid").otherwise("invalid")
-    return df.withColumn("validation_status", status)
+def mark_invalid(df: DataFrame, bad: Column | None = None) -> DataFrame:
+    """Add ``validation_status``: ``invalid`` where ``bad`` holds, else ``valid``.
+
+    By default a row is bad whose text was kept as corrupt.
+    """
+    rule = F.col(CORRUPT).isNotNull() if bad is None else bad
+    return df.withColumn("validation_status", F.when(rule, "invalid").otherwise("valid"))
 
 
 def to_marked_files(
     df: DataFrame,
     path: str,
     checkpoint: str,
-    column: str = CORRUPT,
+    bad: Column | None = None,
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
     trigger: str | None = None,
@@ -33,7 +36,7 @@ def to_marked_files(
     Each row is parsed and written once; a reader of valid rows skips the other directory.
     """
     keys = ["validation_status", *(partition_by or [])]
-    return to_files(mark_corrupt(df, column), path, checkpoint, fmt, keys, trigger)
+    return to_files(mark_invalid(df, bad), path, checkpoint, fmt, keys, trigger)
 
 
 def with_dead_letters(

@@ -76,6 +76,7 @@ def to_console(df: DataFrame, trigger: str | None = None) -> StreamingQuery:
 
 
 def drain(*queries: StreamingQuery) -> None:
-    """Wait until every query has stopped; the first failure is raised."""
-    for query in queries:
-        query.awaitTermination()
+    """Wait until every query has stopped. The first failure is raised, whichever query it hits."""
+    running = list(queries)
+    while running:
+        running = [query for query in running if not query.awaitTermination(1)]
