@@ -1,11 +1,17 @@
 import json
+import threading
+import time
 from datetime import datetime
 
 import pytest
 
 from tristrata.__main__ import main
+from tristrata.operators.bronze import to_bronze
 from tristrata.operators.quality import DataQualityError
 from tristrata.plans import jobs
+from tristrata.schemas import BRONZE_KEYS, ENVELOPE
+from tristrata.sinks.files import write_partitioned
+from tristrata.sources.catalog import create_table, read_table
 
 
 def test_ingest(spark, tmp_path):
@@ -60,3 +66,27 @@ def test_command_line(spark, tmp_path, capsys):
 def test_unknown_format(spark, tmp_path):
     with pytest.raises(ValueError, match="Unsupported format: xml"):
         jobs.ingest_files(spark, str(tmp_path), str(tmp_path / "o"), "xml")
+
+
+def test_silver_command_line(spark, tmp_path):
+    """The stream is started by the command line and stopped from here."""
+    at = datetime(2024, 5, 6, 7)
+    value = json.dumps({"device_id": "d", "timestamp": "2024-05-06T07:00:00+00:00"})
+    rows = [(value, topic, 0, 1, at) for topic in ("sensors.temperature", "sensors.motion")]
+    bronze = to_bronze(spark.createDataFrame(rows, ENVELOPE))
+    write_partitioned(bronze, f"{tmp_path}/bronze", BRONZE_KEYS, "json")
+    create_table(spark, "silver_cli_test", location=f"{tmp_path}/table", recreate=True)
+
+    def stop_when_done():
+        while not spark.streams.active:
+            time.sleep(0.1)
+        query = spark.streams.active[0]
+        query.processAllAvailable()
+        query.stop()
+
+    stopper = threading.Thread(target=stop_when_done)
+    stopper.start()
+    main(["silver", f"{tmp_path}/bronze", "silver_cli_test", f"{tmp_path}/cp", "--max-bytes", "999"])
+    stopper.join(60)
+    assert read_table(spark, "silver_cli_test").count() == 1
+    spark.sql("DROP TABLE silver_cli_test")

@@ -31,14 +31,19 @@ def main(argv: list[str] | None = None) -> None:
     bronze.add_argument("checkpoint")
     bronze.add_argument("--topics", default=",".join(jobs.INGEST_TOPICS))
     bronze.add_argument("--starting", default="earliest")
+    bronze.add_argument("--min-partitions", type=int)
+    bronze.add_argument("--max-offsets", type=int)
     silver = commands.add_parser("silver", help="partitioned JSON to the silver table")
     silver.add_argument("input_path")
     silver.add_argument("table")
     silver.add_argument("checkpoint")
     silver.add_argument("--topic", default="sensors.temperature")
     silver.add_argument("--fmt", default="parquet")
+    silver.add_argument("--max-files", type=int, default=10)
+    silver.add_argument("--max-bytes", type=int)
     for stream in (bronze, silver):
         stream.add_argument("--trigger")
+        stream.add_argument("--gather-files", action="store_true")
     options = vars(parser.parse_args(argv))
     job = {
         "ingest": jobs.ingest_files,

@@ -15,7 +15,7 @@ from tristrata.operators.silver import to_silver
 from tristrata.schemas import BRONZE, BRONZE_KEYS, INGEST_TOPICS, SILVER_KEYS
 from tristrata.sinks.files import gather, write_cleansed, write_parquet, write_rollup
 from tristrata.sources.catalog import create_table
-from tristrata.sources.files import read_files, read_json_stream
+from tristrata.sources.files import read_files, read_json_stream, read_topic_stream
 from tristrata.sources.kafka import read_kafka_stream
 from tristrata.streaming.run import to_files, to_table
 
@@ -112,12 +112,16 @@ def bronze_to_silver(
 ) -> StreamingQuery:
     """Bronze JSON to the silver table, which is created if it is absent.
 
-    ``gather_files`` shuffles each batch by day first, for a backlog of many days whose small
-    files share tasks.
+    Only the topic's own directory is read; ``topic=None`` takes all of them. Give
+    ``max_bytes`` for a large backlog. ``gather_files`` shuffles each batch by day first, for
+    a backlog of many days whose small files share tasks.
     """
     create_table(spark, table, fmt=fmt, location=location)
-    schema = f"{BRONZE}, topic STRING"
-    rows = to_silver(read_json_stream(spark, input_path, schema, **stream), topic, strict=strict)
+    if topic is None:
+        bronze = read_json_stream(spark, input_path, f"{BRONZE}, topic STRING", **stream)
+    else:
+        bronze = read_topic_stream(spark, input_path, topic, **stream)
+    rows = to_silver(bronze, topic, strict=strict)
     if gather_files:
         rows = gather(rows, SILVER_KEYS)
     return to_table(rows, table, checkpoint, fmt, trigger)

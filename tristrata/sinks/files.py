@@ -16,8 +16,8 @@ def gather(df: DataFrame, keys: list[str]) -> DataFrame:
     """Bring rows of one output directory together, as whole files of sensible size.
 
     Without it every task writes a file into every directory it has rows for. Adaptive
-    execution joins small directories' rows into one task and splits a directory that holds a
-    large share of all rows over several.
+    execution, which must be on as it is by default, joins small directories' rows into one
+    task and splits a directory that holds a large share of all rows over several.
     """
     return df.hint("rebalance", *keys)
 
