@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # What one micro-batch of a backlog may read.
 BATCH_BYTES = 100 * 1024**3
 
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,8 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def iso_time(ts: str = "ts") -> Column:
-    return F.concat(F.date_format(ts, ISO_MICROS), F.lit("+00:00"))
+    """ISO-8601 text with microseconds and the offset of the session time zone."""
+    return F.date_format(ts, ISO_MICROS)
 
 
 def sensor_payload(time: Column | None = None) -> Column:
