@@ -94,7 +94,11 @@ def message_key(spark, sf_dir):
     return rows.select("offset", key_of(["device_id", "timestamp"], payload).alias("key"))
 
 
-@query("SELECT event_id, user_id, ts, value, event_type AS topic FROM events WHERE event_type = 'purchase'")
+@query(
+    """
+SELECT event_id, user_id, ts, value, event_type AS topic FROM events
+WHERE event_type = 'purchase'"""
+)
 def topic_filter(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return for_topic(

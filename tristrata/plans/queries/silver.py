@@ -49,7 +49,9 @@ def silver_star_expand(spark, sf_dir):
 
 
 @query(
-    "SELECT event_id, event_type AS topic, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+    """
+SELECT event_id, event_type AS topic, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events"""
 )
 def silver_inferred_schema(spark, sf_dir):
     """Infer each topic's payload schema from the payloads, then decode with it."""
@@ -160,8 +162,11 @@ def partition_date(spark, sf_dir):
     return add_partition_date(rows).drop("timestamp")
 
 
-def contacts(customer):
-    """Customers with an untidy e-mail, unusable in one segment, and phone; each row twice."""
+def contacts(customer, *keep):
+    """Customers with an untidy e-mail, unusable in one segment, and phone; each row twice.
+
+    ``keep`` names further columns to take along.
+    """
     name = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_name")).otherwise(
         F.translate("c_name", "#", ".")
     )
@@ -172,6 +177,7 @@ def contacts(customer):
             F.lit("+1 ("), F.col("c_nationkey").cast("string"), F.lit(") "),
             F.col("c_custkey").cast("string"), F.lit("-00"),
         ).alias("phone"),
+        *keep,
     )
     return rows.unionAll(rows)
 

@@ -26,7 +26,8 @@ def ingest_csv(spark, sf_dir):
     work = scratch(spark, "csv")
     table(spark, sf_dir, "customer").write.option("header", "true").csv(f"{work}/in")
     jobs.ingest_files(spark, f"{work}/in", f"{work}/out", "CSV")
-    return spark.read.parquet(f"{work}/out").withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+    key = F.col("c_custkey").cast("bigint")
+    return spark.read.parquet(f"{work}/out").withColumn("c_custkey", key)
 
 
 @query(CUSTOMER_SQL)
@@ -35,7 +36,8 @@ def ingest_json(spark, sf_dir):
     work = scratch(spark, "json")
     table(spark, sf_dir, "customer").write.json(f"{work}/in")
     jobs.ingest_files(spark, f"{work}/in", f"{work}/out", "json", glob="*.json")
-    return spark.read.parquet(f"{work}/out").withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+    nation = F.col("c_nationkey").cast("int")
+    return spark.read.parquet(f"{work}/out").withColumn("c_nationkey", nation)
 
 
 @query("SELECT * FROM lineitem")
@@ -51,19 +53,20 @@ def write_bronze(spark, sf_dir, path):
     write_partitioned(gather(rows, BRONZE_KEYS), path, BRONZE_KEYS, "json")
 
 
+def read_bronze(spark, path):
+    """Stored Bronze with its times and partition number typed again."""
+    times = ("event_time", "kafka_timestamp")
+    typed = {name: F.try_to_timestamp(name) for name in times}
+    rows = read_files(spark, path, "json", f"{BRONZE}, topic STRING")
+    return rows.withColumns({**typed, "partition": F.col("partition").cast("int")})
+
+
 @query(BRONZE_SQL)
 def partitioned_layout(spark, sf_dir):
     """Bronze by topic and day; the directories come back as columns."""
     path = scratch(spark, "bronze")
     write_bronze(spark, sf_dir, path)
-    back = read_files(spark, path, "json", f"{BRONZE}, topic STRING").withColumns(
-        {
-            "event_time": F.try_to_timestamp("event_time"),
-            "kafka_timestamp": F.try_to_timestamp("kafka_timestamp"),
-            "partition": F.col("partition").cast("int"),
-        }
-    )
-    return bronze_compared(back)
+    return bronze_compared(read_bronze(spark, path))
 
 
 @query(CONTACTS_SQL)

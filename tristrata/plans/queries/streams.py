@@ -9,13 +9,13 @@ from tristrata.operators.silver import to_silver
 from tristrata.plans.queries.bronze import BRONZE_SQL, bad_time_rows
 from tristrata.plans.queries.bronze import compared as bronze_compared
 from tristrata.plans.queries.silver import SILVER_SQL
-from tristrata.plans.queries.storage import write_bronze
+from tristrata.plans.queries.storage import read_bronze, write_bronze
 from tristrata.plans.queries.upserts import MERGED_SQL, first_state
 from tristrata.plans.registry import query
 from tristrata.plans.tables import BATCH_BYTES, kafka_rows, ntz, table, table_stream
 from tristrata.schemas import BRONZE, BRONZE_KEYS, PAYLOADS, SILVER_KEYS
 from tristrata.scratch import scratch
-from tristrata.sources.files import read_files, read_json_stream, read_topic_stream
+from tristrata.sources.files import read_json_stream, read_topic_stream
 from tristrata.sinks.files import gather
 from tristrata.sinks.merge import write_target
 from tristrata.streaming.dedupe import dedupe_stream
@@ -30,24 +30,13 @@ from tristrata.streaming.quarantine import (
 from tristrata.streaming.run import AVAILABLE_NOW, drain, to_files
 
 
-def _bronze_back(spark, path):
-    back = read_files(spark, path, "json", f"{BRONZE}, topic STRING").withColumns(
-        {
-            "event_time": F.try_to_timestamp("event_time"),
-            "kafka_timestamp": F.try_to_timestamp("kafka_timestamp"),
-            "partition": F.col("partition").cast("int"),
-        }
-    )
-    return bronze_compared(back)
-
-
 @query(BRONZE_SQL)
 def stream_bronze(spark, sf_dir):
     """Kafka-shaped rows streamed to JSON by topic and day."""
     work = scratch(spark, "stream-bronze")
     rows = gather(to_bronze(kafka_rows(table_stream(spark, sf_dir, "events"))), BRONZE_KEYS)
     drain(to_files(rows, f"{work}/out", f"{work}/cp", "json", BRONZE_KEYS, AVAILABLE_NOW))
-    return _bronze_back(spark, f"{work}/out")
+    return bronze_compared(read_bronze(spark, f"{work}/out"))
 
 
 @query(BRONZE_SQL)
@@ -57,7 +46,7 @@ def stream_restart(spark, sf_dir):
     for _ in range(2):
         rows = gather(to_bronze(kafka_rows(table_stream(spark, sf_dir, "events"))), BRONZE_KEYS)
         drain(to_files(rows, f"{work}/out", f"{work}/cp", "json", BRONZE_KEYS, AVAILABLE_NOW))
-    return _bronze_back(spark, f"{work}/out")
+    return bronze_compared(read_bronze(spark, f"{work}/out"))
 
 
 @query(SILVER_SQL)

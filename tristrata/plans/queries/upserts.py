@@ -79,7 +79,8 @@ def first_state(events):
 def merge_partitions(spark, sf_dir):
     """Every event merged into a stored state by type and user; one directory has no changes."""
     path = scratch(spark, "state")
-    events = table(spark, sf_dir, "events").select("event_type", "user_id", "ts", "event_id", "value")
+    names = ["event_type", "user_id", "ts", "event_id", "value"]
+    events = table(spark, sf_dir, "events").select(*names)
     write_target(first_state(events), path, "overwrite", ["event_type"])
     write_target(
         events.filter("event_type <> 'error'"),

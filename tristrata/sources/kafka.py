@@ -31,6 +31,5 @@ def read_kafka_stream(
     spark: SparkSession, servers: str, topics: list[str] | str, **settings
 ) -> DataFrame:
     """Subscribe to one or more topics; see ``kafka_options`` for the settings."""
-    return (
-        spark.readStream.format("kafka").options(**kafka_options(servers, topics, **settings)).load()
-    )
+    options = kafka_options(servers, topics, **settings)
+    return spark.readStream.format("kafka").options(**options).load()
