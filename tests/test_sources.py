@@ -1,7 +1,7 @@
 import pytest
 
 from tristrata.schemas import BRONZE
-from tristrata.scratch import scratch
+from tristrata.scratch import scratch, staged
 from tristrata.sources.catalog import create_table, read_table
 from tristrata.sources.files import read_files
 from tristrata.sources.jdbc import jdbc_options, read_table_jdbc
@@ -103,29 +103,21 @@ def test_table_is_created_once_and_recreated_when_told(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
-def test_scratch_is_fresh_and_below_the_shared_folder(spark):
-    first, second = scratch(spark, "x"), scratch(spark, "x")
-    assert first != second
-    assert first.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
-
-
 class Session:
     """As much of a session as the scratch folder asks for."""
 
-    def __init__(self, master, folder=None):
-        self.conf, self.sparkContext = {}, self
-        self.master, self.folder = master, folder
+    def __init__(self, **conf):
+        self.conf = conf
 
-    def getCheckpointDir(self):
-        return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+def test_scratch_is_fresh_and_below_a_shared_folder(spark):
+    assert scratch(spark, "x") != scratch(spark, "x")
+    plain = {"spark.sql.warehouse.dir": "hdfs:///house"}
+    assert scratch(Session(**plain), "x").startswith("hdfs:///house/tristrata/x-")
+    named = plain | {"spark.checkpoint.dir": "hdfs:///shared/"}
+    assert scratch(Session(**named), "x").startswith("hdfs:///shared/tristrata/x-")
 
 
-def test_scratch_without_the_setting():
-    local = Session("local[2]")
-    assert scratch(local, "x").startswith(local.folder)
-    assert scratch(Session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/tristrata/x-")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch(Session("yarn"), "x")
+def test_staged_rows_are_the_same(spark):
+    df = spark.range(3).withColumnRenamed("id", "k")
+    assert sorted(r.k for r in staged(df, "numbers").collect()) == [0, 1, 2]

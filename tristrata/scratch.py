@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared folder named in ``spark.checkpoint.dir``.
+    """A fresh folder that all executors share.
 
-    Only a local session may go without the setting; on a cluster a folder of one machine
-    would be lost with it, so that is refused.
+    It lies under ``spark.checkpoint.dir``, or, where that is unset, under the session's
+    warehouse, which every session shares with its executors. The session is not changed.
     """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-        root = context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tristrata/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a scratch folder and read back: its lineage is cut there."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
