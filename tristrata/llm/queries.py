@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import exactdup
+from tristrata.llm import exactdup, langid
 from tristrata.llm.common import table
 
 QUERIES = {}
@@ -40,3 +40,13 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The operator hashes survivors alone; the contract wants a digest of every text.
     digest = {"text_sha256": exactdup.text_digest(F.col("text"))}
     return exactdup.refine(docs, carry=digest).drop("full_hash")
+
+
+@query()
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the texts that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "held_out", langid.held_out(F.col("doc_id"), 5, 0)
+    )
+    model = langid.train(docs.where("NOT held_out"))
+    return langid.identify(docs, model, spans=False, keep=["doc_id", "held_out"])
