@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import exactdup, langid
+from tristrata.llm import decontaminate, exactdup, langid
 from tristrata.llm.common import table
 
 QUERIES = {}
@@ -26,6 +26,50 @@ def query(sql: str | None = None):
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query(
+    rf"""
+    WITH d AS (
+      SELECT row_number() OVER () AS rid, doc_id,
+             regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+    b AS (
+      SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[p : p + 12], ' ') AS k
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p
+            FROM b WHERE len(w) > 0)),
+    grams AS (
+      SELECT rid, n, p, array_to_string(w[p : p + n - 1], ' ') AS k
+      FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS p
+            FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+    hits AS (SELECT rid, p, n, item_id FROM grams JOIN windows USING (n, k)),
+    words AS (
+      SELECT rid, count(DISTINCT q) AS n_hit
+      FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM hits) GROUP BY rid),
+    items AS (
+      SELECT rid, count(*) AS n_items, sha256(string_agg(i, ',' ORDER BY i)) AS sha
+      FROM (SELECT DISTINCT rid, item_id::VARCHAR AS i FROM hits) GROUP BY rid)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, coalesce(sha, sha256('')) AS items_sha256,
+           coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+    FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+    """
+)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie inside windows of the benchmark."""
+    docs = table(spark, sf_dir, "documents")
+    found = decontaminate.search(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
 @query(
     f"""
     WITH t AS (SELECT doc_id, sha256({LOWER}) AS text_sha256 FROM documents)
