@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import decontaminate, exactdup, langid
+from tristrata.llm import decontaminate, exactdup, langid, mixing
 from tristrata.llm.common import table
 
 QUERIES = {}
@@ -86,6 +86,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.refine(docs, carry=digest).drop("full_hash")
 
 
+@query()
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix takes."""
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
 @query()
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learned from the texts that are not held out."""
