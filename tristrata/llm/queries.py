@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import decontaminate, exactdup, langid, mixing
+from tristrata.llm import decontaminate, exactdup, langid, mixing, neardup
 from tristrata.llm.common import table
 
 QUERIES = {}
@@ -70,6 +70,34 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    rf"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, array_to_string(w[p : p + 3], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS p
+            FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    links AS (
+      SELECT a.doc_id AS a, b.doc_id AS b
+      FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+      JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, x.n, y.n
+      HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+    e AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    r AS (SELECT doc_id, doc_id AS c FROM documents
+          UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id),
+    m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM m LEFT JOIN n USING (doc_id)
+    """
+)
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets are similar."""
+    return neardup.group(table(spark, sf_dir, "documents"))
+
+
 @query(
     f"""
     WITH t AS (SELECT doc_id, sha256({LOWER}) AS text_sha256 FROM documents)
