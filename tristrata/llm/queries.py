@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import decontaminate, exactdup, langid, mixing, neardup
+from tristrata.llm import decontaminate, exactdup, langid, mixing, neardup, warc
 from tristrata.llm.common import table
+from tristrata.scratch import scratch
 
 QUERIES = {}
 ORACLES = {}
@@ -70,6 +71,34 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    WITH p AS (
+      SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+    g AS (
+      SELECT *, max(page_id) OVER (PARTITION BY b) AS top FROM p),
+    d AS (
+      SELECT *, list_transform(range(0, 8),
+               lambda i: ('0x' || substr(h, CAST(5 * i + 1 AS BIGINT), 5))::BIGINT) AS v
+      FROM g)
+    SELECT page_id, octet_length(b) AS payload_bytes,
+           array_to_string(list_transform(range(0, 32),
+             lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((v[CAST(k // 4 + 1 AS BIGINT)] >> CAST(15 - 5 * (k % 4) AS BIGINT)) & 31), 1)),
+             '') AS payload_digest,
+           CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> top THEN top END AS refers_to
+    FROM d
+    """
+)
+def op2_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives and read back by the salvage reader."""
+    path = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    found = warc.pages_of(warc.read(spark, path, payloads=False))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query(
     rf"""
     WITH RECURSIVE d AS (
