@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import decontaminate, exactdup, langid, mixing, neardup, warc
+from tristrata.llm import decontaminate, exactdup, extract, langid, mixing, neardup, warc
 from tristrata.llm.common import table
 from tristrata.scratch import scratch
 
@@ -143,6 +143,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.refine(docs, carry=digest).drop("full_hash")
 
 
+@query()
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 @query()
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes."""
