@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import decontaminate, exactdup, extract, langid, mixing, neardup, warc
+from tristrata.llm import (
+    decontaminate,
+    exactdup,
+    extract,
+    langid,
+    mixing,
+    neardup,
+    quality,
+    warc,
+)
 from tristrata.llm.common import table
 from tristrata.scratch import scratch
 
@@ -99,6 +108,16 @@ def op2_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op3_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learned from labels of the rows that are not held out."""
+    return quality.classify(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        langid.held_out(F.col("doc_id"), 3, 1),
+    )
+
+
 @query(
     rf"""
     WITH RECURSIVE d AS (
