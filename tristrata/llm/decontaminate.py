@@ -353,7 +353,7 @@ def longest_matches(
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType.fromDDL("item_id string, item_word int, n_words int")
-    schema = schema.add("doc_id", id_type).add("doc_word", "int")
+    schema = schema.add("doc_id", id_type).add("doc_word", "integer")
     return (
         rows.mapInArrow(find, schema)
         .groupBy("item_id", "item_word")

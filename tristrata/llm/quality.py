@@ -251,7 +251,7 @@ def fit(rows: DataFrame) -> Model:
 def scored(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns ``keep`` with ``score`` and ``predicted`` of rows that have ``stats``."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    schema = rows.select(keep).schema.add("score", "double").add("predicted", "int")
+    schema = rows.select(keep).schema.add("score", "double").add("predicted", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
