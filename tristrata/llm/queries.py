@@ -12,6 +12,7 @@ from tristrata.llm import (
     langid,
     mixing,
     neardup,
+    pii,
     quality,
     warc,
 )
@@ -162,6 +163,33 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.refine(docs, carry=digest).drop("full_hash")
 
 
+@query()
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every text."""
+    found = pii.find(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def joined(spans):
+        return F.array_join(
+            F.transform(
+                spans,
+                lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+            ),
+            ",",
+        )
+
+    def of_kind(kind):
+        return F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 @query()
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
