@@ -14,6 +14,7 @@ from tristrata.llm import (
     neardup,
     pii,
     quality,
+    suffixdup,
     warc,
 )
 from tristrata.llm.common import table
@@ -190,6 +191,12 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every text that long strings repeat."""
+    return suffixdup.digest(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
