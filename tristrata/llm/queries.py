@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tristrata.llm import (
     decontaminate,
     exactdup,
@@ -217,3 +218,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     model = langid.train(docs.where("NOT held_out"))
     return langid.identify(docs, model, spans=False, keep=["doc_id", "held_out"])
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
