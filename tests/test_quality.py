@@ -226,3 +226,26 @@ def test_names_with_dots(spark, rows):
     assert rows(q.completeness(df), "column_name", "non_null_rows") == [
         ("*", 1), ("a.b", 1), ("c.d", 0),
     ]
+
+
+def test_no_rules_leave_every_row_valid(spark):
+    row = q.annotate(spark.range(1), {}).first()
+    assert (row.data_quality_score, row.validation_status, row.error_message) == (1.0, "valid", None)
+
+
+def test_schema_compliance_is_part_of_the_gate(spark):
+    df = spark.createDataFrame([('{"k": 1}',), ("no json",)], "value STRING")
+    report = {r.metric: (r.value, r.passed) for r in q.apply_policy(df, schema="k INT").collect()}
+    assert report["schema_compliance"] == (0.5, False)
+    policy = q.QualityPolicy.of({"checks": {"schema-validation": False}, "fail-on-error": True})
+    assert "schema_compliance" not in {r.metric for r in q.apply_policy(df, policy, schema="k INT").collect()}
+    with pytest.raises(q.DataQualityError, match="schema_compliance"):
+        q.apply_policy(df, q.QualityPolicy(fail_on_error=True), schema="k INT")
+
+
+def test_reports_that_the_policy_switches_on(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k INT")
+    assert q.policy_reports(df, q.QualityPolicy()) == {}
+    policy = q.QualityPolicy.of({"checks": {"duplicate-detection": True, "data-profiling": True}})
+    reports = q.policy_reports(df, policy)
+    assert reports["duplicates"].collect() == [(1, 2)] and reports["profile"].count() == 1

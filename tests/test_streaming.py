@@ -211,3 +211,48 @@ def test_drain_sees_a_failure_behind_a_running_query(spark, tmp_path):
             drain(endless, to_files(broken, f"{tmp_path}/b", f"{tmp_path}/cpb"))
     finally:
         endless.stop()
+
+
+def test_a_new_topic_gets_its_own_output(spark, tmp_path):
+    from tristrata.plans.queries.streams import fan_out_stored
+
+    kafka(spark, f"{tmp_path}/in", 0, 4)
+    kafka(spark, f"{tmp_path}/in", 4, 3, "sensors.never_seen")
+    bronze = to_bronze(spark.read.parquet(f"{tmp_path}/in"))
+    write_partitioned(bronze, f"{tmp_path}/bronze", BRONZE_KEYS, "json")
+    topics = fan_out_stored(spark, f"{tmp_path}/bronze", f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert sorted(topics) == ["sensors.never_seen", "sensors.temperature"]
+    assert spark.read.parquet(f"{tmp_path}/out/sensors.never_seen").count() == 3
+
+
+def test_newest_changes_first(spark, tmp_path, rows):
+    schema = "p STRING, k INT, at INT, v STRING"
+    for row in (("x", 1, 9, "NEW"), ("x", 1, 3, "OLD"), ("y", 2, 1, "N")):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    changes = read_parquet_stream(spark, f"{tmp_path}/in", schema, max_files=1)
+    drain(merge_stream(changes, f"{tmp_path}/t", ["p", "k"], ["at"], ["p"], f"{tmp_path}/cp", AVAILABLE_NOW))
+    assert rows(spark.read.parquet(f"{tmp_path}/t"), "p", "k", "at", "v") == [
+        ("x", 1, 9, "NEW"), ("y", 2, 1, "N"),
+    ]
+
+
+def test_state_of_the_deduplication_shrinks(spark, tmp_path):
+    for day in range(8):
+        kafka(spark, f"{tmp_path}/in", day * 1440, 20)
+    stream = read_parquet_stream(spark, f"{tmp_path}/in", ENVELOPE, max_files=1)
+    once = dedupe_stream(stream, ["topic", "partition", "offset"], delay="1 day")
+    query = to_files(once, f"{tmp_path}/out", f"{tmp_path}/cp", trigger=AVAILABLE_NOW)
+    drain(query)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 160
+    assert max(held) < 160 and held[-1] < max(held)
+
+
+def test_a_failure_stops_the_other_queries(spark, tmp_path):
+    spark.range(1).write.json(f"{tmp_path}/in")
+    stream = read_json_stream(spark, f"{tmp_path}/in", "id BIGINT")
+    endless = to_files(stream, f"{tmp_path}/a", f"{tmp_path}/cpa")
+    broken = stream.select(F.raise_error(F.lit("bad batch")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="bad batch"):
+        drain(endless, to_files(broken, f"{tmp_path}/b", f"{tmp_path}/cpb"))
+    assert not endless.isActive

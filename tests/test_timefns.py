@@ -100,3 +100,14 @@ def test_now(spark):
 def test_event_time(spark):
     assert one(spark, to_event_time("t"), t="2024-01-01T01:00:00+01:00") == datetime(2024, 1, 1)
     assert one(spark, to_event_time("t"), t="soon") is None
+
+
+def test_wall_clock_text_in_a_zone_with_summer_time(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00' AS t, TIMESTAMP'2024-03-10 12:00:00Z' AS i")
+        got = df.select(format_ts("t").alias("a"), format_ts("i").alias("b"), format_ts("t", "yyyy/MM").alias("c")).first()
+        assert tuple(got) == ("2024-03-10 02:30:00", "2024-03-10 08:00:00", "2024/03")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

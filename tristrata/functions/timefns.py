@@ -23,8 +23,14 @@ def parse_ts(value: Column | str, fmt: str = DEFAULT_FORMAT, strict: bool = True
 
 
 def format_ts(value: Column | str, fmt: str = DEFAULT_FORMAT) -> Column:
-    """Timestamp to text; an instant is shown in the session time zone."""
-    return F.date_format(_column(value), fmt)
+    """Timestamp to text; an instant is shown in the session time zone.
+
+    ``date_format`` would shift a wall-clock time that the session time zone does not have, so
+    this goes through the JSON writer, which formats either kind as it is.
+    """
+    formats = {"timestampFormat": fmt, "timestampNTZFormat": fmt, "dateFormat": fmt}
+    text = F.to_json(F.struct(_column(value).alias("t")), formats)
+    return F.get_json_object(text, "$.t")
 
 
 def truncate_ntz(value: Column | str, unit: str) -> Column:

@@ -53,22 +53,43 @@ def replace_keys(target: DataFrame, newest: DataFrame, keys: list[str]) -> DataF
     return kept.unionByName(newest.select(*target.columns))
 
 
+def keep_newer(
+    target: DataFrame, newest: DataFrame, keys: list[str], order_by: list[str]
+) -> DataFrame:
+    """Of each key the row with the greater ``order_by``, stored or new; on a tie the new one.
+
+    So the result does not depend on how changes are cut into batches, and a change that comes
+    late does not undo a newer one. A null is smaller than any value. Like ``replace_keys`` this
+    leaves the target where it is when the new keys can be broadcast; of the stored rows that
+    win, only keys and order are read a second time.
+    """
+    if not order_by:
+        return replace_keys(target, newest, keys)
+    came = newest.select(*keys, F.struct(*order_by).alias("_came"))
+    wins = F.struct(*order_by) > F.col("_came")
+    kept = target.join(came, keys, "left").filter(F.col("_came").isNull() | wins)
+    beaten = target.select(*keys, *[c for c in order_by if c not in keys]).join(came, keys)
+    fresh = newest.join(beaten.filter(wins).select(*keys), keys, "left_anti")
+    return kept.select(*target.columns).unionByName(fresh.select(*target.columns))
+
+
 def upsert(
     target: DataFrame, changes: DataFrame, keys: list[str], order_by: list[str]
 ) -> DataFrame:
-    """The target with each changed key's row replaced by its newest change, and new keys added."""
+    """The target with each changed key's row replaced by its newest change, and new keys added.
+
+    A stored row that is newer by ``order_by`` stays; without ``order_by`` the change wins.
+    """
     newest = newest_per_key(require_keys(changes, keys), keys, order_by)
-    return replace_keys(target, newest, keys)
+    return keep_newer(target, newest, keys, order_by)
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``new`` whose key the target lacks, one per key; append them to the target.
 
-    The target is first cut to the distinct keys that also occur in ``new``. When Spark can
-    broadcast those of ``new`` it does that before it reduces the target's keys, so a large
-    target is read by key column and not shuffled; otherwise it reduces them first, so a key
-    that the target holds many times is shuffled once per task.
+    Both sides are read once. Each task cuts the target's rows to distinct keys before they are
+    shuffled, so a key that the target holds many times is shuffled once per task.
     """
     one = newest_per_key(require_keys(new, keys), keys, [])
-    known = target.select(*keys).dropDuplicates(keys).join(one.select(*keys), keys, "left_semi")
+    known = target.select(*keys).dropDuplicates(keys)
     return one.join(known, keys, "left_anti").select(*new.columns)

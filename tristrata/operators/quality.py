@@ -25,7 +25,11 @@ class DataQualityError(RuntimeError):
 
 @dataclass(frozen=True)
 class QualityPolicy:
-    """Which checks run and what they must reach. The defaults are fixed values."""
+    """Which checks run and what they must reach. The defaults are fixed values.
+
+    ``apply_policy`` measures against the thresholds; ``policy_reports`` gives the reports that
+    ``duplicate_detection`` and ``data_profiling`` ask for.
+    """
 
     enabled: bool = True
     fail_on_error: bool = False
@@ -34,6 +38,9 @@ class QualityPolicy:
     range_validation: bool = True
     custom_validation: bool = True
     uniqueness_check: bool = False
+    schema_validation: bool = True
+    duplicate_detection: bool = False
+    data_profiling: bool = False
     error_rate: float = 0.05
     completeness: float = 0.95
     uniqueness: float = 0.95
@@ -127,7 +134,9 @@ def uniqueness(
     """Distinct values over rows, exactly, per column or per tuple of columns.
 
     Each key is counted on its own and reads its own columns only. Counting all of them in
-    one aggregation would shuffle every row once per key with all the keys' columns.
+    one aggregation would shuffle every row once per key with all the keys' columns. On an
+    input that is not columnar, or is itself computed, write it to Parquet once and pass that:
+    otherwise each key parses or computes all of it again.
     """
     groups = [(k,) if isinstance(k, str) else tuple(k) for k in keys]
     reports = [
@@ -235,7 +244,8 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
 
     Distinct values are estimated in one scan of all columns, with nothing but one row per
     task to shuffle. ``exact`` counts how often each value occurs instead, column by column:
-    each column is read on its own, and a value is shuffled once per task at most. Columns
+    each column is read on its own, and a value is shuffled once per task at most; write an
+    input that is not columnar to Parquet first, or each column parses all of it again. Columns
     that Spark cannot compare, such as maps, get their nulls counted only.
     """
     fields = df.schema.fields
@@ -294,7 +304,13 @@ def _profile_line(field: StructField, rows: Column, parts: dict[str, Column]) ->
 
 
 def annotate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Score each row by the share of rules that hold, with its status and the failed rules."""
+    """Score each row by the share of rules that hold, with its status and the failed rules.
+
+    Without rules every row is valid.
+    """
+    if not rules:
+        perfect = {"data_quality_score": F.lit(1.0), "validation_status": F.lit("valid")}
+        return df.withColumns(perfect | {"error_message": F.lit(None).cast("string")})
     failed = F.array_compact(F.array(*[F.when(~_holds(r), F.lit(n)) for n, r in rules.items()]))
     count = F.size("_failed")
     return (
@@ -330,11 +346,14 @@ def apply_policy(
     ranges: dict[str, tuple] | None = None,
     custom: dict[str, Column] | None = None,
     unique: list[str] | None = None,
+    schema: str | StructType | None = None,
+    payload: str = "value",
 ) -> DataFrame:
     """Measure the rows against the policy, one line per metric.
 
     One scan gives the error rate and completeness; uniqueness, if asked for, reads its key
-    columns again and shuffles nothing else.
+    columns again and shuffles nothing else. With a ``schema`` the share of payloads that parse
+    under it is measured, too, from the payload column.
 
     A row is bad if a switched-on rule fails on it; a null fails the null check only. When
     ``fail_on_error`` is set a missed threshold raises ``DataQualityError``. A policy that is
@@ -365,10 +384,29 @@ def apply_policy(
         report = report.unionAll(
             distinct.select(_rows(_line("uniqueness", share, policy.uniqueness)))
         )
+    if policy.schema_validation and schema is not None:
+        share = F.col("schema_compliance")
+        good = schema_compliance(df, schema, payload, policy.schema_compliance)
+        report = report.unionAll(
+            good.select(_rows(_line("schema_compliance", share, policy.schema_compliance)))
+        )
     if policy.fail_on_error:
-        measured = report.collect()  # at most three lines
+        measured = report.collect()  # at most four lines
         missed = [f"{r.metric}={r.value}" for r in measured if not r.passed]
         if missed:
             raise DataQualityError("thresholds missed: " + ", ".join(missed))
         return df.sparkSession.createDataFrame(measured, _REPORT)
     return report
+
+
+def policy_reports(
+    df: DataFrame, policy: QualityPolicy, keys: list[str] | None = None
+) -> dict[str, DataFrame]:
+    """The reports beside the gate that the policy switches on: ``duplicates`` of the keys (by
+    default of whole rows) and ``profile``."""
+    reports = {}
+    if policy.enabled and policy.duplicate_detection:
+        reports["duplicates"] = duplicates(df, keys or df.columns)
+    if policy.enabled and policy.data_profiling:
+        reports["profile"] = profile(df)
+    return reports

@@ -178,6 +178,26 @@ def dq_annotate(spark, sf_dir):
     )
 
 
+@query(
+    """
+SELECT column_name, expected_type, actual_type, passed, non_null_rows FROM (
+  SELECT 'event_id' AS column_name, 'bigint' AS expected_type, 'bigint' AS actual_type,
+         true AS passed, count(event_id) AS non_null_rows FROM events
+  UNION ALL SELECT 'ts', 'timestamp_ntz', 'timestamp_ntz', true, count(ts) FROM events
+  UNION ALL SELECT 'user_id', 'int', 'bigint', false, count(user_id) FROM events
+  UNION ALL SELECT 'city', 'string', NULL, false, NULL
+  UNION ALL SELECT 'event_type', NULL, 'string', false, count(event_type) FROM events
+  UNION ALL SELECT 'value', NULL, 'double', false, count(value) FROM events
+  UNION ALL SELECT 'props', NULL, 'string', false, count(props) FROM events) e"""
+)
+def dq_schema_check(spark, sf_dir):
+    """Expected against actual columns, with how many values each has."""
+    events = table(spark, sf_dir, "events")
+    wanted = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id INT, city STRING"
+    filled = q.completeness(events).select("column_name", "non_null_rows")
+    return q.schema_check(events, wanted).join(filled, "column_name", "left")
+
+
 @query(
     """
 SELECT total_rows, compliant_rows,

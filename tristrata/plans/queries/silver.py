@@ -1,5 +1,6 @@
 """Decode, flatten, conform and cleanse."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -17,12 +18,14 @@ from tristrata.operators.silver import (
     decode_by_topic as by_topic,
     drop_null_keys as without_null_keys,
     expand,
+    list_topics,
     to_silver,
 )
 from tristrata.plans.registry import query
 from tristrata.plans.tables import iso_time, kafka_rows, ntz, table
 from tristrata.schemas import PAYLOADS
 from tristrata.scratch import scratch
+from tristrata.sinks.files import gather, write_partitioned
 from tristrata.sources.inference import infer_schemas
 
 SILVER_SQL = """
@@ -54,11 +57,15 @@ SELECT event_id, event_type AS topic, CAST(json_extract(props, '$.k') AS BIGINT)
 FROM events"""
 )
 def silver_inferred_schema(spark, sf_dir):
-    """Infer each topic's payload schema from the payloads, then decode with it."""
+    """Rows stored by topic; each topic's schema inferred from its payloads and used on them."""
+    path = scratch(spark, "inferred")
     rows = table(spark, sf_dir, "events").select(
         "event_id", F.col("event_type").alias("topic"), F.col("props").alias("value")
     )
-    decoded = by_topic(rows, infer_schemas(rows))
+    write_partitioned(gather(rows, ["topic"]), path, ["topic"])
+    stored = spark.read.schema(rows.schema).parquet(path)
+    topics = [row.topic for row in list_topics(stored).collect()]
+    decoded = by_topic(stored, infer_schemas(stored, topics))
     return reduce(lambda a, b: a.unionByName(b), decoded.values())
 
 
@@ -69,27 +76,84 @@ def kind_of_event():
     )
 
 
+# Payload field -> what it holds, in SQL that both engines read alike.
+FIELDS = {
+    "device_id": "CAST(user_id AS STRING)",
+    "sensor_type": "event_type",
+    "location.latitude": "CAST(event_id % 180 AS DOUBLE) - 89.5",
+    "location.longitude": "CAST(event_id % 360 AS DOUBLE) - 179.5",
+    "location.city": "'city_' || user_id",
+    "temperature": "value",
+    "humidity": "CAST(event_id % 50 AS DOUBLE) + 30",
+    "unit": "'u' || (event_id % 3)",
+    "pm25": "value",
+    "pm10": "value * 2",
+    "co2": "CAST(event_id % 1700 + 300 AS INT)",
+    "aqi": "CAST(event_id AS INT)",
+    "motion_detected": "value > 100",
+    "confidence": "value",
+    "battery_level": "CAST(event_id AS INT)",
+    "power_consumption": "value / 4",
+    "voltage": "value",
+    "current": "CAST(event_id % 10 AS DOUBLE) / 4",
+    "vehicle_id": "'v' || user_id",
+    "speed": "value",
+    "fuel_level": "CAST(event_id % 91 + 10 AS DOUBLE)",
+    "engine_temp": "CAST(event_id % 26 + 80 AS DOUBLE)",
+    "mileage": "CAST(event_id AS INT)",
+    "pressure": "value",
+    "wind_speed": "CAST(event_id % 31 AS DOUBLE)",
+    "wind_direction": "CAST(event_id AS INT)",
+    "precipitation": "CAST(event_id % 51 AS DOUBLE)",
+    "user_id": "CAST(user_id AS STRING)",
+    "session_id": "'s' || event_id",
+    "event_type": "event_type",
+    "ip_address": "'10.0.' || (event_id % 256) || '.' || (user_id % 256)",
+    "user_agent": "'agent/' || (event_id % 7)",
+    "page": "'/p/' || (event_id % 50)",
+    "country": "'c' || (user_id % 20)",
+    "device_type": "CASE event_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END",
+    "transaction_id": "'t' || event_id",
+    "account_id": "CAST(user_id AS STRING)",
+    "amount": "value",
+    "currency": "'EUR'",
+    "transaction_type": "CASE event_id % 2 WHEN 0 THEN 'debit' ELSE 'credit' END",
+    "merchant": "'m' || (user_id % 30)",
+    "category": "CASE event_id % 2 WHEN 0 THEN 'food' ELSE 'transport' END",
+    "location": "'place_' || user_id",
+}
+TIME_SQL = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
+
+
+def payload_names(topic):
+    """The fields of a kind's payload; a place of its own for each part of a nested one."""
+    names = []
+    for name, kind in re.findall(r"(\w+) (STRUCT<[^>]*>|\w+)", PAYLOADS[topic]):
+        parts = re.findall(r"(\w+):", kind)
+        names += [f"{name}.{part}" for part in parts] or [name]
+    return names
+
+
+def payload_of(topic):
+    """An event as a message of a kind, with every field filled."""
+    fields, nested = {}, {}
+    for name in payload_names(topic):
+        whole, _, part = name.partition(".")
+        value = iso_time() if name == "timestamp" else F.expr(FIELDS[name])
+        if part:
+            nested.setdefault(whole, []).append(value.alias(part))
+            value = F.struct(*nested[whole])
+        fields[whole] = value
+    return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
+
+
 def mixed_rows(events):
     """Events as messages of all eight kinds, each with its own payload."""
-    fields = {"timestamp": iso_time()}
-    for name in ("device_id", "user_id", "account_id"):
-        fields[name] = F.col("user_id").cast("string")
-    for name in ("temperature", "pm25", "confidence", "voltage", "speed", "pressure", "amount"):
-        fields[name] = F.col("value")
-    for name in ("aqi", "battery_level", "mileage", "wind_direction"):
-        fields[name] = F.col("event_id")
-    fields["motion_detected"] = F.col("value") > 100
-    fields["event_type"] = F.col("event_type")
-    fields["currency"] = F.lit("EUR")
-    payload = None
-    for topic, schema in PAYLOADS.items():
-        names = [part.split()[0] for part in schema.split(", ")]
-        text = F.to_json(F.struct(*[fields[n].alias(n) for n in names if n in fields]))
-        here = F.col("topic") == topic
-        payload = F.when(here, text) if payload is None else payload.when(here, text)
-    return events.withColumn("topic", kind_of_event()).select(
-        "topic", F.col("event_id").alias("offset"), payload.alias("value")
-    )
+    payload = F.lit(None).cast("string")
+    for topic in PAYLOADS:
+        payload = F.when(F.col("topic") == topic, payload_of(topic)).otherwise(payload)
+    rows = events.withColumn("topic", kind_of_event())
+    return rows.select("topic", F.col("event_id").alias("offset"), payload.alias("value"))
 
 
 # Topic -> who sent it, and one field of its own.
@@ -123,9 +187,7 @@ FROM events"""
 )
 def decode_by_topic(spark, sf_dir):
     """All eight payload kinds, stored by topic and each read and decoded on its own."""
-    path = scratch(spark, "mixed")
-    mixed_rows(table(spark, sf_dir, "events")).write.partitionBy("topic").parquet(path)
-    decoded = by_topic(spark.read.parquet(path))
+    decoded = by_topic(stored_kinds(spark, sf_dir))
     return reduce(
         lambda a, b: a.unionByName(b),
         [
@@ -140,6 +202,37 @@ def decode_by_topic(spark, sf_dir):
     )
 
 
+def stored_kinds(spark, sf_dir):
+    """Messages of all kinds, stored by topic."""
+    path = scratch(spark, "mixed")
+    rows = mixed_rows(table(spark, sf_dir, "events"))
+    write_partitioned(gather(rows, ["topic"]), path, ["topic"])
+    return spark.read.parquet(path)
+
+
+def flat(name):
+    return name.replace(".", "_")
+
+
+def register_kind(number, topic):
+    """A query that decodes one kind and gives all fields of its payload."""
+    names = payload_names(topic)
+
+    def decode(spark, sf_dir):
+        decoded = by_topic(stored_kinds(spark, sf_dir), {topic: PAYLOADS[topic]})[topic]
+        return decoded.select("offset", *[F.col(n).alias(flat(n)) for n in names])
+
+    decode.__name__ = f"decode_{topic.rsplit('.', 1)[1]}"
+    decode.__doc__ = f"All fields of ``{topic}``."
+    values = [f'{TIME_SQL if n == "timestamp" else FIELDS[n]} AS "{flat(n)}"' for n in names]
+    where = f"event_id % {len(PAYLOADS)} = {number}"
+    query(f'SELECT event_id AS "offset", {", ".join(values)} FROM events WHERE {where}')(decode)
+
+
+for _number, _topic in enumerate(PAYLOADS):
+    register_kind(_number, _topic)
+
+
 @query(
     """
 SELECT event_id, CAST(user_id AS VARCHAR) AS device_id, ts, value FROM events

@@ -122,4 +122,24 @@ def table_append(spark, sf_dir):
             max_bytes=BATCH_BYTES,
         )
     )
-    return read_table(spark, name).withColumns(ntz("device_ts", "event_time"))
+    rows = read_table(spark, name).withColumns(ntz("device_ts", "event_time"))
+    spark.sql(f"DROP TABLE {name}")  # its files stay
+    return rows
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'O'")
+def table_recreate(spark, sf_dir):
+    """A table that is there is kept by a plain create, and dropped and made anew when told."""
+    work = scratch(spark, "recreated")
+    name = f"recreated_{work.rsplit('-', 1)[1]}"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    shape = "o_orderkey BIGINT, o_totalprice DOUBLE, o_orderstatus STRING"
+    create_table(spark, name, "o_orderkey BIGINT", [], location=f"{work}/old")
+    orders.select("o_orderkey").write.insertInto(name)
+    create_table(spark, name, shape, [], location=f"{work}/new")
+    assert read_table(spark, name).columns == ["o_orderkey"]
+    create_table(spark, name, shape, [], location=f"{work}/new", recreate=True)
+    orders.filter("o_orderstatus <> 'O'").write.insertInto(name)
+    rows = read_table(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # its files stay
+    return rows

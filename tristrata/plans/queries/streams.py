@@ -1,21 +1,31 @@
 """Structured Streaming: each query runs to the end of its input and gives what it wrote."""
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import functions as F
 
 from tristrata.operators.bronze import to_bronze
-from tristrata.operators.silver import to_silver
+from tristrata.operators.silver import list_topics, to_silver
 from tristrata.plans.queries.bronze import BRONZE_SQL, bad_time_rows
 from tristrata.plans.queries.bronze import compared as bronze_compared
 from tristrata.plans.queries.silver import SILVER_SQL
 from tristrata.plans.queries.storage import read_bronze, write_bronze
 from tristrata.plans.queries.upserts import MERGED_SQL, first_state
 from tristrata.plans.registry import query
-from tristrata.plans.tables import BATCH_BYTES, kafka_rows, ntz, table, table_stream
-from tristrata.schemas import BRONZE, BRONZE_KEYS, PAYLOADS, SILVER_KEYS
+from tristrata.plans.tables import (
+    BATCH_BYTES,
+    append_files,
+    kafka_rows,
+    ntz,
+    replay,
+    replayed,
+    table,
+)
+from tristrata.schemas import BRONZE, BRONZE_KEYS, SILVER_KEYS
 from tristrata.scratch import scratch
-from tristrata.sources.files import read_json_stream, read_topic_stream
+from tristrata.sources.files import read_files, read_json_stream, read_topic_stream
+from tristrata.sources.inference import infer_schemas
 from tristrata.sinks.files import gather
 from tristrata.sinks.merge import write_target
 from tristrata.streaming.dedupe import dedupe_stream
@@ -30,25 +40,56 @@ from tristrata.streaming.quarantine import (
 from tristrata.streaming.run import AVAILABLE_NOW, drain, to_files
 
 
+def event_records(spark, sf_dir):
+    return kafka_rows(table(spark, sf_dir, "events"))
+
+
 @query(BRONZE_SQL)
 def stream_bronze(spark, sf_dir):
-    """Kafka-shaped rows streamed to JSON by topic and day."""
+    """Kafka-shaped rows replayed to JSON by topic and day."""
     work = scratch(spark, "stream-bronze")
-    rows = gather(to_bronze(kafka_rows(table_stream(spark, sf_dir, "events"))), BRONZE_KEYS)
+    records = replayed(event_records(spark, sf_dir), f"{work}/in")
+    rows = gather(to_bronze(records), BRONZE_KEYS)
     drain(to_files(rows, f"{work}/out", f"{work}/cp", "json", BRONZE_KEYS, AVAILABLE_NOW))
     return bronze_compared(read_bronze(spark, f"{work}/out"))
 
 
 @query(BRONZE_SQL)
 def stream_restart(spark, sf_dir):
-    """The same query run twice on one checkpoint writes each record once."""
+    """A query started again on its checkpoint takes what has come since, and nothing twice."""
     work = scratch(spark, "stream-restart")
-    for _ in range(2):
-        rows = gather(to_bronze(kafka_rows(table_stream(spark, sf_dir, "events"))), BRONZE_KEYS)
+    records = event_records(spark, sf_dir)
+    late = F.col("offset") % 3 == 0
+    for news in (records.filter(~late), records.filter(late), None):
+        if news is not None:
+            append_files(news, f"{work}/in", 2)
+        rows = gather(to_bronze(replay(spark, records, f"{work}/in")), BRONZE_KEYS)
         drain(to_files(rows, f"{work}/out", f"{work}/cp", "json", BRONZE_KEYS, AVAILABLE_NOW))
     return bronze_compared(read_bronze(spark, f"{work}/out"))
 
 
+@query(
+    """
+SELECT 3 AS batches, count(*) AS records, count(DISTINCT event_id) AS offsets,
+       max(event_id) AS last_offset FROM events"""
+)
+def stream_rate_limit(spark, sf_dir):
+    """Six files, two to a micro-batch: three batches that hold each record once."""
+    work = scratch(spark, "stream-rate-limit")
+    records = event_records(spark, sf_dir)
+    append_files(records, f"{work}/in", 6)
+    rows = replay(spark, records, f"{work}/in", max_files=2)
+    run = to_files(rows, f"{work}/out", f"{work}/cp", trigger=AVAILABLE_NOW)
+    drain(run)
+    batches = sum(1 for progress in run.recentProgress if progress["numInputRows"])
+    return spark.read.parquet(f"{work}/out").agg(
+        F.lit(batches).alias("batches"),
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("offset").alias("offsets"),
+        F.max("offset").alias("last_offset"),
+    )
+
+
 @query(SILVER_SQL)
 def stream_silver(spark, sf_dir):
     """Bronze JSON streamed, decoded and typed, to Parquet by day."""
@@ -68,7 +109,7 @@ def stream_silver(spark, sf_dir):
 def stream_parquet(spark, sf_dir):
     """A stream appended to Parquet by event type."""
     work = scratch(spark, "stream-parquet")
-    rows = table_stream(spark, sf_dir, "events")
+    rows = gather(replayed(table(spark, sf_dir, "events"), f"{work}/in"), ["event_type"])
     drain(
         to_files(
             rows, f"{work}/out", f"{work}/cp", partition_by=["event_type"], trigger=AVAILABLE_NOW
@@ -87,22 +128,32 @@ SELECT 'sensors.' || event_type AS topic, CAST(user_id AS VARCHAR) AS device_id,
 FROM events"""
 )
 def stream_fanout(spark, sf_dir):
-    """One query per topic, each over its own directory, with its own output and checkpoint."""
+    """A query for each topic that the stored rows have, with the schema its payloads show, its
+    own directory to read, output and checkpoint."""
     work = scratch(spark, "stream-fanout")
     write_bronze(spark, sf_dir, f"{work}/bronze")
-    kinds = ["click", "error", "purchase", "signup", "view"]
-    topics = [f"sensors.{kind}" for kind in kinds]
+    outputs = [
+        spark.read.parquet(f"{work}/out/{topic}")
+        for topic in fan_out_stored(spark, f"{work}/bronze", f"{work}/out", f"{work}/cp")
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), outputs).select(
+        "topic", "device_id", "timestamp", F.col("location.city").alias("city"),
+        F.col("temperature").cast("double").alias("temperature"),
+        "partition_date", "year", "month", "day",
+    )
+
+
+def fan_out_stored(spark, bronze, out, checkpoint):
+    """Run a query per topic of stored Bronze to the end of its input; gives the topics."""
+    stored = read_files(spark, bronze, "json", f"{BRONZE}, topic STRING")
+    topics = [row.topic for row in list_topics(stored).collect()]
+    schemas = infer_schemas(stored, topics)
 
     def source(topic):
-        return read_topic_stream(spark, f"{work}/bronze", topic, max_bytes=BATCH_BYTES)
+        return read_topic_stream(spark, bronze, topic, max_bytes=BATCH_BYTES)
 
-    schemas = {topic: PAYLOADS["sensors.temperature"] for topic in topics}
-    drain(*fan_out(source, schemas, f"{work}/out", f"{work}/cp", AVAILABLE_NOW).values())
-    outputs = [spark.read.parquet(f"{work}/out/{topic}") for topic in topics]
-    return reduce(lambda a, b: a.unionByName(b), outputs).select(
-        "topic", "device_id", "timestamp", F.col("location.city").alias("city"), "temperature",
-        "partition_date", "year", "month", "day",
-    )
+    drain(*fan_out(source, schemas, out, checkpoint, AVAILABLE_NOW).values())
+    return list(schemas)
 
 
 def untidy_lines(spark, sf_dir, path):
@@ -161,24 +212,40 @@ SELECT 'sensors.' || event_type AS topic, CAST(event_id % 3 AS INTEGER) AS "part
 FROM events"""
 )
 def stream_dedupe(spark, sf_dir):
-    """Records that come twice on a stream, kept once; the span covers the whole table."""
+    """Records that come twice on a stream, kept once.
+
+    The days come in order, five to a file, each file with the last day of the one before once
+    more. A key is forgotten two days after it, so the state holds a few days, not the table.
+    """
     work = scratch(spark, "stream-dedupe")
-    rows = kafka_rows(table_stream(spark, sf_dir, "events")).drop("value")
-    again = kafka_rows(table_stream(spark, sf_dir, "events")).drop("value")
+    records = event_records(spark, sf_dir).drop("value")
+    first, last = records.agg(F.min("timestamp"), F.max("timestamp")).first()
+    start = first
+    while start <= last:
+        end = start + timedelta(days=5)
+        part = records.filter(F.col("timestamp").between(start - timedelta(days=1), end))
+        append_files(part.filter(F.col("timestamp") < end), f"{work}/in", 1)
+        start = end
     keys = ["topic", "partition", "offset"]
-    once = dedupe_stream(rows.unionAll(again), keys, delay="400 days")
+    once = dedupe_stream(replay(spark, records, f"{work}/in"), keys, delay="2 days")
     drain(to_files(once, f"{work}/out", f"{work}/cp", trigger=AVAILABLE_NOW))
     return spark.read.parquet(f"{work}/out").withColumns(ntz("timestamp"))
 
 
 @query(MERGED_SQL)
 def stream_merge(spark, sf_dir):
-    """A stream of changes merged batch by batch into a stored state."""
+    """A stream of changes, newest first, merged batch by batch into a stored state."""
     work = scratch(spark, "stream-merge")
     names = ["event_type", "user_id", "ts", "event_id", "value"]
     state = first_state(table(spark, sf_dir, "events"))
     write_target(state, f"{work}/state", "overwrite", ["event_type"])
-    changes = table_stream(spark, sf_dir, "events").select(*names).filter("event_type <> 'error'")
+    changes = table(spark, sf_dir, "events").select(*names).filter("event_type <> 'error'")
+    dates = changes.agg(*[F.percentile_approx(F.col("ts").cast("date").cast("timestamp").cast("long"), p) for p in (0.4, 0.7)])
+    low, high = dates.first()
+    at = F.col("ts").cast("timestamp").cast("long")
+    for part in (at >= high, (at >= low) & (at < high), at < low):
+        append_files(changes.filter(part), f"{work}/in", 1)
+    changes = replay(spark, changes, f"{work}/in")
     drain(
         merge_stream(
             changes,
@@ -204,7 +271,8 @@ FROM events"""
 def stream_untimed(spark, sf_dir):
     """Records whose payload has no readable time are kept apart from the others."""
     work = scratch(spark, "stream-untimed")
-    rows = bad_time_rows(table_stream(spark, sf_dir, "events"))
+    events = replayed(table(spark, sf_dir, "events"), f"{work}/in")
+    rows = bad_time_rows(events)
     untimed = F.col("event_time").isNull()
     drain(to_marked_files(rows, f"{work}/out", f"{work}/cp", untimed, trigger=AVAILABLE_NOW))
     kept = spark.read.parquet(f"{work}/out").withColumns(ntz("event_time"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tristrata.operators.merge import insert_if_absent as absent
-from tristrata.operators.merge import upsert
+from tristrata.operators.merge import newest_per_key, upsert
 from tristrata.plans.registry import query
 from tristrata.plans.tables import table
 from tristrata.scratch import scratch
@@ -26,6 +26,12 @@ WHERE NOT EXISTS (SELECT 1 FROM newest n WHERE n.order_key = o.o_orderkey)"""
 )
 def upsert_merge(spark, sf_dir):
     """Each order's row replaced by that of its line shipped last."""
+    target, changes = orders_and_lines(spark, sf_dir)
+    newest = newest_per_key(changes, ["order_key"], ["changed_at", "line"])
+    return upsert(target, newest, ["order_key"], [])
+
+
+def orders_and_lines(spark, sf_dir):
     target = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_key"),
         F.col("o_orderdate").alias("changed_at"),
@@ -38,6 +44,22 @@ def upsert_merge(spark, sf_dir):
         F.col("l_linenumber").alias("line"),
         F.col("l_extendedprice").alias("amount"),
     )
+    return target, changes
+
+
+@query(
+    """
+SELECT order_key, changed_at, line, amount FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_key
+                               ORDER BY changed_at DESC, line DESC, amount DESC) AS rn
+  FROM (SELECT l_orderkey AS order_key, l_shipdate AS changed_at, l_linenumber AS line,
+               l_extendedprice AS amount FROM lineitem
+        UNION ALL SELECT o_orderkey, o_orderdate, CAST(0 AS INTEGER), o_totalprice FROM orders) u
+) r WHERE rn = 1"""
+)
+def upsert_newer(spark, sf_dir):
+    """Each order's row, or that of its line shipped last where this is newer."""
+    target, changes = orders_and_lines(spark, sf_dir)
     return upsert(target, changes, ["order_key"], ["changed_at", "line"])
 
 
@@ -93,6 +115,30 @@ def merge_partitions(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(
+    """
+SELECT event_type, user_id, ts, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC)
+              AS rn FROM events) e
+WHERE rn = 1"""
+)
+def merge_late_changes(spark, sf_dir):
+    """A first merge makes the table; older changes that come later undo nothing."""
+    path = scratch(spark, "late")
+    names = ["event_type", "user_id", "ts", "event_id", "value"]
+    events = table(spark, sf_dir, "events").select(*names)
+    for part in ("day(ts) > 20", "day(ts) BETWEEN 8 AND 20", "day(ts) < 8"):
+        write_target(
+            events.filter(part),
+            path,
+            "merge",
+            ["event_type"],
+            ["event_type", "user_id"],
+            ["ts", "event_id"],
+        )
+    return spark.read.parquet(path)
+
+
 @query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders")
 def write_modes(spark, sf_dir):
     """Open orders written, written again in their place, and the others appended."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tristrata.sources.files import read_parquet_stream
+
 # What one micro-batch of a backlog may read.
 BATCH_BYTES = 100 * 1024**3
 
@@ -15,10 +17,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a stream of its files. The glob lets it be one file or a directory."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+# Files that a table is replayed from, one to a micro-batch.
+REPLAY_FILES = 4
+
+
+def append_files(rows: DataFrame, path: str, files: int = REPLAY_FILES) -> None:
+    """Add rows to the input of a stream, as several files."""
+    rows.repartition(files).write.mode("append").parquet(path)
+
+
+def replay(spark: SparkSession, rows: DataFrame, path: str, max_files: int = 1) -> DataFrame:
+    """The files of ``append_files`` as a stream of bounded micro-batches."""
+    return read_parquet_stream(spark, path, rows.schema, max_files=max_files)
+
+
+def replayed(rows: DataFrame, path: str) -> DataFrame:
+    """Rows as a stream of several micro-batches."""
+    append_files(rows, path)
+    return replay(rows.sparkSession, rows, path)
 
 
 def iso_time(ts: str = "ts") -> Column:

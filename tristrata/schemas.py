@@ -64,11 +64,6 @@ TEMPERATURE_FIELDS = {
     "day": "day",
 }
 
-SENSOR_REGISTRY = (
-    "sensor_id STRING, sensor_type STRING, location_name STRING, latitude DOUBLE, "
-    "longitude DOUBLE, installed_at TIMESTAMP, last_seen_at TIMESTAMP, status STRING, "
-    "metadata STRING"
-)
 TOPIC_REGISTRY = "topic_name STRING, schema_version STRING, description STRING"
 TOPIC_SEEDS = [
     ("sensors.temperature", "v1", "Temperature and humidity sensor readings"),

@@ -2,48 +2,45 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_, or_
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tristrata.operators.merge import newest_per_key, replace_keys, require_keys
+from tristrata.operators.merge import keep_newer, newest_per_key, require_keys
 from tristrata.scratch import scratch
 from tristrata.sinks.files import gather
 
-# Up to this many directories are named in the scan's filter; more are found by a join.
-MAX_NAMED = 1_000
-
-
-def _touched(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """The target's rows in the directories that the changes fall into."""
-    hit = changes.select(*keys).distinct()
-    named = hit.limit(MAX_NAMED + 1).collect()
-    if len(named) > MAX_NAMED:
-        return target.join(hit, keys, "left_semi").select(*target.columns)
-    if not named:
-        return target.limit(0)
-    return target.filter(
-        reduce(
-            or_,
-            [reduce(and_, [F.col(k) == F.lit(row[k]) for k in keys]) for row in named],
-        )
-    )
+
+def _directories(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """The partition directories below a path, as ``p=1/q=2``: file metadata, as in Spark's own
+    file index."""
+    files, root = _file(spark, path)
+    if not files.exists(root):
+        return []
+    _, pattern = _file(spark, path + "/*=*" * levels)
+    return [
+        "/".join(status.getPath().toString().rsplit("/", levels)[1:])
+        for status in files.globStatus(pattern)
+    ]
 
 
-def _stored(path: str, changes: DataFrame, partition_by: list[str]) -> DataFrame:
-    """The table, its directory names read with the types that the changes have.
+def _stored(path: str, changes: DataFrame, staged: str, partition_by: list[str]) -> DataFrame:
+    """The table's rows in the directories that the staged changes fall into.
 
-    Spark would otherwise guess them, and take ``p=007`` for the number 7.
+    Only those are listed and read, however many they are. Their names are read with the types
+    that the changes have: Spark would otherwise guess them, and take ``p=007`` for the number 7.
     """
     spark = changes.sparkSession
+    names = _directories(spark, staged, len(partition_by))
+    files, _ = _file(spark, path)
+    here = [f"{path}/{name}" for name in names if files.exists(_file(spark, f"{path}/{name}")[1])]
+    if not here:
+        return spark.createDataFrame([], changes.schema)
+    rows = spark.read.option("basePath", path)
     fields = [
         changes.schema[f.name] if f.name in partition_by else f
-        for f in spark.read.parquet(path).schema.fields
+        for f in rows.parquet(here[0]).schema.fields
     ]
-    return spark.read.schema(StructType(fields)).parquet(path)
+    return rows.schema(StructType(fields)).parquet(*here)
 
 
 def _file(spark: SparkSession, path: str) -> tuple:
@@ -74,7 +71,8 @@ def merge_partitions(
 ) -> None:
     """Upsert into a Parquet table, rewriting only the directories the changes fall into.
 
-    The partition columns must belong to the key, so that a row cannot change directory. The
+    The partition columns must belong to the key, so that a row cannot change directory. A
+    stored row that is newer by ``order_by`` stays. A table that is not there yet is made. The
     new content is first written whole under ``work``, by default in the shared scratch
     folder, and moved in from there: no plan reads and overwrites the table at once. A merge
     that was cut short while directories were being replaced is made good when it is run again
@@ -87,10 +85,11 @@ def merge_partitions(
     rows = f"{work}/rows"
     if not _finished(spark, rows):
         once = newest_per_key(require_keys(changes, keys), keys, order_by)
-        once.write.mode("overwrite").parquet(f"{work}/changes")
-        newest = spark.read.parquet(f"{work}/changes")
-        target = _touched(_stored(path, changes, partition_by), newest, partition_by)
-        replace_keys(target, newest, keys).write.mode("overwrite").parquet(rows)
+        by_directory = once.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+        by_directory.mode("overwrite").parquet(f"{work}/changes")
+        newest = spark.read.schema(changes.schema).parquet(f"{work}/changes")
+        target = _stored(path, changes, f"{work}/changes", partition_by)
+        keep_newer(target, newest, keys, order_by).write.mode("overwrite").parquet(rows)
     (
         gather(spark.read.parquet(rows), partition_by)
         .write.mode("overwrite")
@@ -108,14 +107,20 @@ def write_target(
     partition_by: list[str] | None = None,
     keys: list[str] | None = None,
     order_by: list[str] | None = None,
+    work: str | None = None,
 ) -> None:
-    """Write a Parquet table in mode ``append`` (default), ``overwrite`` or ``merge``."""
+    """Write a Parquet table in mode ``append`` (default), ``overwrite`` or ``merge``.
+
+    Name ``work``, a folder of this merge's own, to be able to run a merge again that was cut
+    short; see ``merge_partitions``.
+    """
     kind = mode.lower()
     if kind == "merge":
         if not keys or not order_by or not partition_by:
             raise ValueError("merge needs keys, order_by and partition_by")
-        merge_partitions(path, df, keys, order_by, partition_by)
+        merge_partitions(path, df, keys, order_by, partition_by, work)
     elif kind in ("append", "overwrite"):
-        df.write.mode(kind).partitionBy(*(partition_by or [])).parquet(path)
+        rows = gather(df, partition_by) if partition_by else df
+        rows.write.mode(kind).partitionBy(*(partition_by or [])).parquet(path)
     else:
         raise ValueError(f"Unsupported write mode: {mode}")

@@ -79,11 +79,15 @@ def read_parquet_stream(
     path: str,
     schema: str | StructType,
     max_files: int | None = None,
+    max_bytes: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Stream Parquet files: with the Kafka row shape this replays a topic.
 
-    ``path`` may be a glob that matches single files.
+    ``path`` may be a glob that matches single files. A micro-batch is bounded by ``max_bytes``
+    or ``max_files``.
     """
-    rate = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
+    rate = {"maxBytesPerTrigger": str(max_bytes)} if max_bytes else {}
+    if max_files and not max_bytes:
+        rate = {"maxFilesPerTrigger": str(max_files)}
     return spark.readStream.schema(struct(schema)).options(**rate, **options).parquet(path)

@@ -44,18 +44,16 @@ def topic_schemas(df: DataFrame, topic: str = "topic", value: str = "value") ->
 
 
 def infer_schemas(
-    df: DataFrame, topic: str = "topic", value: str = "value", max_topics: int = 10_000
+    df: DataFrame, topics: list[str], topic: str = "topic", value: str = "value"
 ) -> dict[str, StructType]:
-    """Topic -> schema, for use as fixed schemas on a stream.
+    """Topic -> schema for the topics named, for use as fixed schemas on a stream.
 
-    The driver holds one schema per topic; more topics than ``max_topics`` is an error, as
-    then the topic column is not a topic. Topics whose payloads are not objects are left out.
+    The driver holds one schema for each of them. Topics whose payloads are not objects are left
+    out; ``topic_schemas`` gives the shapes of all topics as rows.
     """
-    rows = topic_schemas(df, topic, value).limit(max_topics + 1).collect()
-    if len(rows) > max_topics:
-        raise ValueError(f"more than {max_topics} topics")
+    named = df.filter(F.col(topic).isin(topics))
     found = {}
-    for row in rows:
+    for row in topic_schemas(named, topic, value).collect():
         if row.shape is None or not row.shape.startswith("OBJECT<"):
             continue
         ddl = _OBJECT.sub(lambda m: "STRUCT<" if m.group() == "OBJECT<" else m.group(), row.shape)

@@ -52,8 +52,8 @@ def read_table_jdbc(
 def write_table_jdbc(
     df: DataFrame,
     options: dict[str, str],
+    connections: int,
     mode: str = "append",
-    connections: int = 16,
     batch_size: int = 10_000,
 ) -> None:
     """Write a table. ``connections`` bounds how many tasks hold a database connection.

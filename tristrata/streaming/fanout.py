@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from tristrata.operators.silver import clean_topic
 from tristrata.schemas import SILVER_KEYS
+from tristrata.sinks.files import gather
 from tristrata.streaming.run import to_files
 
 
@@ -30,7 +31,7 @@ def fan_out(
     for topic, schema in schemas.items():
         rows = source(topic) if callable(source) else source
         queries[topic] = to_files(
-            clean_topic(rows, topic, schema),
+            gather(clean_topic(rows, topic, schema), SILVER_KEYS),
             f"{out}/{topic}",
             f"{checkpoint}/{topic}",
             partition_by=SILVER_KEYS,

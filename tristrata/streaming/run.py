@@ -76,7 +76,13 @@ def to_console(df: DataFrame, trigger: str | None = None) -> StreamingQuery:
 
 
 def drain(*queries: StreamingQuery) -> None:
-    """Wait until every query has stopped. The first failure is raised, whichever query it hits."""
+    """Wait until every query has stopped. The first failure is raised, whichever query it hits,
+    after the other queries have been stopped."""
     running = list(queries)
-    while running:
-        running = [query for query in running if not query.awaitTermination(1)]
+    try:
+        while running:
+            running = [query for query in running if not query.awaitTermination(1)]
+    except Exception:
+        for query in queries:
+            query.stop()
+        raise
