@@ -40,6 +40,8 @@ ACCEPT = 0.5
 BEFORE, AFTER = 40, 20
 NEWTON_STEPS, RIDGE = 8, 1e-2
 EM_STEPS = 60
+#: Right votes that a labeler is credited with for each wrong one before any are counted.
+PRIOR = 4
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -267,9 +269,9 @@ CANDIDATE_TYPE = pa.list_(
 
 
 def candidates(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``found``: all candidates of each text."""
+    """The columns ``keep`` with ``__found``: all candidates of each text."""
     schema = docs.select(keep).schema
-    schema = T.StructType([*schema.fields, T.StructField("found", T.DataType.fromDDL(CANDIDATES))])
+    schema = T.StructType([*schema.fields, T.StructField("__found", T.DataType.fromDDL(CANDIDATES))])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches, text_col):
@@ -290,46 +292,50 @@ def candidates(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                 )
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(out, CANDIDATE_TYPE)],
-                names=[*keep, "found"],
+                names=[*keep, "__found"],
             )
 
     return docs.mapInArrow(search, schema)
 
 
 def reliabilities(counts: dict[int, int]) -> tuple[dict[int, float], np.ndarray]:
-    """Each pattern's probability of personal data, and P(vote | truth) of every labeler.
+    """Each pattern's probability of personal data, and P(yes | truth) of every labeler, for the
+    truths no and yes, among its votes.
 
-    Votes are independent given the truth; each kind has a share of its own. The first guess is
-    the balance of the votes.
+    Votes are independent given the truth, and not voting says nothing; each kind has a share of
+    its own. The first guess is the balance of the votes, and the prior holds labelers to be
+    right rather than wrong.
     """
     if not counts:
-        return {}, np.full((len(LABELERS), 2, 3), 1 / 3)
+        return {}, np.full((len(LABELERS), 2), 0.5)
     codes = np.array(sorted(counts))
     many = np.array([counts[c] for c in codes.tolist()], float)
-    cast, rest = [], codes.copy()
+    cast, kind = [], codes.copy()
     for _ in LABELERS:
-        cast.append(rest % 3)
-        rest = rest // 3
-    cast, kind = np.array(cast[::-1]), rest
-    chance = 1 / (1 + np.exp(-(cast - 1).sum(0)))
+        cast.append(kind % 3 - 1)
+        kind = kind // 3
+    cast = np.array(cast[::-1])
+    yes, no = cast > 0, cast < 0
+    chance = 1 / (1 + np.exp(-cast.sum(0)))
     for _ in range(EM_STEPS):
-        theta = np.zeros((len(LABELERS), 2, 3))
-        for j in range(len(LABELERS)):
-            for truth, mass in ((1, chance), (0, 1 - chance)):
-                theta[j, truth] = np.bincount(cast[j], many * mass, 3) + 0.5
-        theta /= theta.sum(2, keepdims=True)
+        theta = np.zeros((len(LABELERS), 2))
+        for truth, mass in ((1, many * chance), (0, many * (1 - chance))):
+            good, bad = (yes * mass).sum(1), (no * mass).sum(1)
+            up, down = (PRIOR, 1) if truth else (1, PRIOR)
+            theta[:, truth] = (good + up) / (good + bad + up + down)
         total = np.bincount(kind, many, len(KINDS)) + 2
         share = (np.bincount(kind, many * chance, len(KINDS)) + 1) / total
         odds = np.log(share[kind]) - np.log(1 - share[kind])
-        for j in range(len(LABELERS)):
-            odds += np.log(theta[j, 1, cast[j]]) - np.log(theta[j, 0, cast[j]])
+        ratio = np.log(theta[:, 1]) - np.log(theta[:, 0])
+        against = np.log(1 - theta[:, 1]) - np.log(1 - theta[:, 0])
+        odds = odds + ratio @ yes + against @ no
         chance = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return dict(zip(codes.tolist(), chance.tolist())), theta
 
 
 def train(found: DataFrame) -> np.ndarray:
     """Weights of the span classifier, from all candidates of ``found``."""
-    spans = found.select(F.explode("found").alias("s")).select("s.pattern", "s.features")
+    spans = found.select(F.explode("__found").alias("s")).select("s.pattern", "s.features")
     # One row per kind and combination of votes, at most.
     counts = {r["pattern"]: r["count"] for r in spans.groupBy("pattern").count().collect()}
     truth, _ = reliabilities(counts)
@@ -377,7 +383,7 @@ def find(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
     weights = train(found)
     span = F.transform(
         F.filter(
-            "found",
+            "__found",
             lambda s: (s["kind"] < len(BASE))
             | (
                 F.aggregate(
