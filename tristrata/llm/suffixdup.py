@@ -16,8 +16,8 @@ windows have equal anchors at equal places. A stretch is a run of windows that s
    An anchor with over ``CROWD`` different stretches is split up by the content of its windows first.
 3. Marks are gathered by document and applied to its text.
 
-Only documents with marks or shared anchors have their texts moved; a bitmap of fixed size keeps
-the rest in place (it may let some more through, which costs time but no result).
+Only stretches whose anchor occurs again, and documents with marks or shared anchors, are moved;
+bitmaps keep the rest in place (they may let some more through, which costs time but no result).
 
 Defined results: null and empty texts have nothing to remove; a null id comes first; rows that
 repeat an id and its text are one document and get equal results; documents of one id with
@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.llm.arrowtext import buffers, pieces
+from tristrata.llm.bits import bitmap, passing
 from tristrata.llm.common import salt_of, salted
 from tristrata.llm.lyndon import suffix_array
 from tristrata.scratch import staged
@@ -51,11 +52,7 @@ BLOCK = 1 << 16
 #: Bytes of the stretches that one group of anchors has, about.
 GROUP = 4 << 20
 CROWD = 4096
-#: Bits of the bitmap of documents whose texts are needed.
-BITS = 1 << 23
-#: Bits of the bitmaps that Spark builds.
-BUCKET = 1 << 15
-SALTS = 16
+SALTS = 4
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -188,31 +185,9 @@ def all_stretches(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, STRETCH)
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """The bits of the hashes of ``id, tie``; of fixed size for any number of keys."""
-    slot = F.pmod(F.xxhash64("id", "tie"), F.lit(BITS)).alias("slot")
-    bucket = F.floor(F.col("slot") / BUCKET).alias("bucket")
-    bit = F.col("slot") % BUCKET
-    found = keys.select(slot).groupBy(bucket).agg(F.bitmap_construct_agg(bit).alias("bits"))
-    out = np.zeros((BITS // BUCKET, BUCKET // 8), np.uint8)
-    for r in found.collect():
-        out[r.bucket] = np.frombuffer(r.bits, np.uint8)
-    return out.ravel()
-
-
 def only(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows whose key's bit is set: all rows of ``keys``, and few others."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap(keys))
-    slot = F.pmod(F.xxhash64("id", "tie"), F.lit(BITS))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column("slot").to_numpy(zero_copy_only=False)
-            byte = shared.value[at >> 3]
-            yield batch.filter(pa.array(((byte >> (at & 7)) & 1).astype(bool)))
-
-    rows = rows.withColumn("slot", slot)
-    return rows.mapInArrow(pick, rows.schema).drop("slot")
+    """The rows of the documents in ``keys``, and few others."""
+    return passing(rows, bitmap(keys, ["id", "tie"]), ["id", "tie"])
 
 
 def repeated_windows(
@@ -251,6 +226,27 @@ def repeated_windows(
     return list(zip(doc[by][rest].tolist(), at[by][rest].tolist()))
 
 
+def trimmed(data: list[bytes], hashes: Hashes) -> list[tuple[int, int, bytes]]:
+    """``(stretch, start, bytes)`` from the first to the last window of each stretch whose hash
+    another one has; stretches without such a window can share none."""
+    size = np.array([len(d) for d in data])
+    raw = np.frombuffer(b"".join(data), np.uint8)
+    begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+    many = np.maximum(size - LENGTH + 1, 0)
+    owner = np.repeat(np.arange(len(data)), many)
+    place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+    start = begin[owner] + place
+    codes = hashes.parts(hashes.sums(raw), start, start + LENGTH)
+    _, which, times = np.unique(codes, return_inverse=True, return_counts=True)
+    shared = times[which] > 1
+    owner, place = owner[shared], place[shared]
+    out = []
+    for a, b in runs_of(owner):
+        k, first, last = int(owner[a]), int(place[a]), int(place[b - 1])
+        out.append((k, first, data[k][first : last + LENGTH]))
+    return out
+
+
 def shared_windows(cuts: DataFrame, total: int) -> DataFrame:
     """Marks ``id, tie, pos, n`` of windows that anchors' stretches share; ``cuts`` has ``h``, the
     place and the ``bytes``."""
@@ -268,13 +264,18 @@ def shared_windows(cuts: DataFrame, total: int) -> DataFrame:
 
         def flush(held: list[int]) -> None:
             order = sorted(held, key=lambda k: (ids[k], ties[k], pos[k]))
-            data = [own[k].as_py() for k in order]
-            change = (ids[order][1:] != ids[order][:-1]) | (ties[order][1:] != ties[order][:-1])
+            # The hashes only leave out what cannot match; the suffix array decides.
+            kept = trimmed([own[k].as_py() for k in order], hashes)
+            rows = np.array([order[k] for k, _, _ in kept], np.int64)
+            change = (ids[rows][1:] != ids[rows][:-1]) | (ties[rows][1:] != ties[rows][:-1])
             rank = np.concatenate([[0], np.cumsum(change)])
-            for d, at in repeated_windows(data, rank, pos[order]):
-                found.append((order[d], at))
+            starts = np.array([at for _, at, _ in kept], np.int64)
+            if len(kept) > 1:
+                data = [x for _, _, x in kept]
+                for d, at in repeated_windows(data, rank, pos[rows] + starts):
+                    found.append((int(rows[d]), int(starts[d]) + at))
 
-        held, size = [], 0
+        hashes, held, size = Hashes(), [], 0
         for a, b in runs_of(h[by]):
             if size >= BLOCK:
                 flush(held)
@@ -342,9 +343,11 @@ def marks(rows: DataFrame) -> DataFrame:
     busy = fresh.groupBy("h").agg(
         F.count("*").alias("many"), F.min("c").alias("low"), F.max("c").alias("high")
     ).where("many > 1").select("h", (F.col("low") != F.col("high")).alias("varied"))
+    busy = staged(busy, "busy")
     salt = salt_of(SALTS, F.col("c"), F.col("id"))
+    again = passing(fresh, bitmap(busy, ["h"]), ["h"])
     near = staged(
-        fresh.withColumn("salt", salt).join(salted(busy, SALTS), ["h", "salt"]).drop("salt"), "near"
+        again.withColumn("salt", salt).join(salted(busy, SALTS), ["h", "salt"]).drop("salt"), "near"
     )
     first = staged(
         near.groupBy("h", "c", "varied").agg(
@@ -474,11 +477,11 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """``docs`` with the repeated bytes cut out of the texts; a character that is cut in two by
     this becomes a replacement character."""
     lost = removals(docs, id_col, text_col).select(
-        F.col("id").alias("__id"), F.col("tie").alias("__tie"), "kept"
+        F.col("id").alias("__id"), F.col("tie").alias("__tie"), F.col("kept").alias("__kept")
     )
     text = F.coalesce(F.col(text_col), F.lit(""))
     here = F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63)))
     same = (here == F.col("__id")) & (F.xxhash64(text) == F.col("__tie"))
     out = docs.join(lost, same, "left")
-    cut = F.coalesce(F.expr("decode(kept, 'UTF-8')"), F.col(text_col))
+    cut = F.coalesce(F.expr("make_valid_utf8(CAST(__kept AS STRING))"), F.col(text_col))
     return out.withColumn(text_col, cut).select(docs.columns)
