@@ -1,7 +1,7 @@
 import pytest
 
 from tristrata.schemas import BRONZE
-from tristrata.scratch import scratch, staged
+from tristrata.scratch import scratch, staged, sweep
 from tristrata.sources.catalog import create_table, read_table
 from tristrata.sources.files import read_files
 from tristrata.sources.jdbc import jdbc_options, read_table_jdbc
@@ -121,3 +121,17 @@ def test_scratch_is_fresh_and_below_a_shared_folder(spark):
 def test_staged_rows_are_the_same(spark):
     df = spark.range(3).withColumnRenamed("id", "k")
     assert sorted(r.k for r in staged(df, "numbers").collect()) == [0, 1, 2]
+
+
+def test_sweep_deletes_old_folders_only(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        staged(spark.range(3), "mine")
+        assert sweep(spark, 1) == []
+        assert len(sweep(spark, -1)) == 1
+        assert sweep(spark, -1) == []
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+        if before:
+            spark.conf.set("spark.checkpoint.dir", before)
