@@ -124,14 +124,10 @@ def test_staged_rows_are_the_same(spark):
 
 
 def test_sweep_deletes_old_folders_only(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        staged(spark.range(3), "mine")
-        assert sweep(spark, 1) == []
-        assert len(sweep(spark, -1)) == 1
-        assert sweep(spark, -1) == []
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
+    here = Session(**{"spark.checkpoint.dir": str(tmp_path)})
+    here._jvm, here._jsc = spark._jvm, spark._jsc
+    assert sweep(here, 1) == []
+    spark.range(3).write.parquet(scratch(here, "mine"))
+    assert sweep(here, 1) == []
+    assert [name.startswith("mine-") for name in sweep(here, -1)] == [True]
+    assert sweep(here, -1) == []
