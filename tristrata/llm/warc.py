@@ -29,7 +29,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tristrata.llm.bits import bitmap, passing
 from tristrata.llm.common import salt_of, salted
+from tristrata.scratch import staged
 
 #: Smallest payload that can be revisited, in bytes.
 LEAST = 0
@@ -77,7 +79,14 @@ def records(
         .where("copies > 1")
         .select("key", "refers_to")
     )
-    rows = rows.join(salted(groups, SALTS), ["key", "salt"], "left")
+    # Only payloads that are repeated need to meet their group; the others stay where they are.
+    groups = staged(groups, "payloads")
+    bits = bitmap(groups, ["key"])
+    alone = passing(rows, bits, ["key"], wanted=False).withColumn(
+        "refers_to", F.lit(None).cast(rows.schema["page_id"].dataType)
+    )
+    shared = passing(rows, bits, ["key"]).join(salted(groups, SALTS), ["key", "salt"], "left")
+    rows = alone.unionByName(shared)
     revisit = (
         F.col("refers_to").isNotNull()
         & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
