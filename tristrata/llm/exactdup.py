@@ -105,8 +105,15 @@ def refine(
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts: that with the largest id."""
-    found = refine(docs, id_col, text_col, {"__row": F.struct("*")}).where("kept")
-    alone = found.where("group_size = 1")
-    # One row of a group stays unless an id and its text are repeated: then one of those.
-    one = found.where("group_size > 1").dropDuplicates(["full_hash"])
-    return alone.unionByName(one).select("__row.*")
+    found = staged(refine(docs, id_col, text_col).where("group_size > 1"), "repeats")
+    key = [F.col("doc_id").alias("__id"), F.col("full_hash").alias("__hash")]
+    dropped = found.where("NOT kept").select(*key).distinct()
+    rows = docs.withColumn("__key", text_digest(F.col(text_col)))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash"))
+    left = rows.join(dropped, same, "left_anti")
+    # Where an id is repeated with its text, more than one row of a group is left.
+    twice = found.where("kept").groupBy(*key).count().where("count > 1").drop("count")
+    if not twice.isEmpty():
+        one = left.join(twice, same, "left_semi").dropDuplicates([id_col, "__key"])
+        left = left.join(twice, same, "left_anti").unionByName(one)
+    return left.drop("__key")
