@@ -9,13 +9,14 @@ Instead of all pairs of a bucket:
 2. signatures are compared in batches of ``BATCH`` minima; after each batch a pair goes when, by
    the Beta posterior of its similarity, the chance of reaching the threshold is below ``MISS``;
 3. for each class the likeliest surviving pair is confirmed on the full sets, and components are
-   formed. Only what still lies in different components is of interest after that:
-4. in buckets with more than one component, members outside of the largest one meet the members
-   of other components, block by block, again with the Bayesian test; together with the surviving
-   pairs of step 2 they are confirmed on the full sets, and components are formed anew.
-
-A pair that meets in a bucket and is not in one component after step 3 is thus compared; no pair
-is left out by a cap. With 40 bands of 6 a pair of similarity 0.8 meets nowhere with a chance of
+   formed; then the other surviving pairs whose ends lie in different components;
+4. in buckets that still have more than one component, members outside of the largest one meet the
+   members of other components, block by block. The Bayesian test leaves the members that have
+   a plausible partner; these meet again with their full sets, and only links that join two
+   components come out. A pair is looked at in the first band that it shares, and no more.
+
+So every pair that meets in a bucket is compared or already lies in one component; no pair is
+left out by a cap, and none is written out for being in a bucket. With 40 bands of 6 a pair of similarity 0.8 meets nowhere with a chance of
 0.000005, and the Bayesian test loses at most ``MISS`` of those that meet.
 
 Defined results: a null or empty text has no shingles and stays alone; so does a null id's row
@@ -50,6 +51,9 @@ MISS = 1e-6
 #: Members of a bucket that are compared with as many others at once.
 CHUNK = 1024
 SALTS = 16
+#: Bytes of text that a task works on at once, and pairs of sets that it holds.
+PIECE = 2 << 20
+PAIRS = 512
 
 #: Bytes that separate words become spaces, all others stay.
 NOT_SPACE = np.arange(256, dtype=np.uint8)
@@ -159,7 +163,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = family()
-        for batch, texts in pieces(batches, "text"):
+        for batch, texts in pieces(batches, "text", PIECE):
             sets = shingles(texts)
             names = [prints(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -181,7 +185,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def banded(classes: DataFrame) -> DataFrame:
-    """``bucket, node``: a row for every band of every class."""
+    """``bucket, band, node``: a row for every band of every class."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,11 +196,13 @@ def banded(classes: DataFrame) -> DataFrame:
             for k in range(ROWS):
                 key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
             node = np.repeat(batch.column("node").to_numpy(), BANDS)
+            band = np.tile(np.arange(BANDS, dtype=np.int32), len(sig))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().astype(np.int64)), pa.array(node)], names=["bucket", "node"]
+                [pa.array(key.ravel().astype(np.int64)), pa.array(band), pa.array(node)],
+                names=["bucket", "band", "node"],
             )
 
-    return classes.select("sig", "node").mapInArrow(cut, "bucket long, node long")
+    return classes.select("sig", "node").mapInArrow(cut, "bucket long, band int, node long")
 
 
 def near_size(a: str, b: str, threshold: float) -> str:
@@ -229,7 +235,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
     their documents; ``wanted`` has ``node, doc_id, p, q``."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, "text"):
+        for batch, texts in pieces(batches, "text", PIECE):
             sets = shingles(texts)
             asked = zip(batch.column("p").to_pylist(), batch.column("q").to_pylist())
             # An id may be repeated with another text; the print tells which row is meant.
@@ -248,7 +254,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     percent = round(100 * threshold)
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, PAIRS) for b in batches for k in range(0, b.num_rows, PAIRS)):
             good = []
             for x, y in zip(batch.column("own_a").to_pylist(), batch.column("own_b").to_pylist()):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
@@ -258,60 +264,142 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             yield out.filter(pa.array(good, pa.bool_()))
 
     for end in ("a", "b"):
-        own = sets.groupBy("node").agg(F.first("own").alias("own"))
-        pairs = pairs.join(own.selectExpr(f"node AS {end}", f"own AS own_{end}"), end)
+        pairs = pairs.join(sets.selectExpr(f"node AS {end}", f"own AS own_{end}"), end)
     return pairs.select("a", "b", "own_a", "own_b").mapInArrow(confirm, "a long, b long")
 
 
-def across(buckets: DataFrame, classes: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """``a, b``: plausible pairs between components within buckets; ``buckets`` has ``bucket,
-    node, label``, and only members outside of a bucket's largest component meet the others."""
-    least = needed(threshold, miss)
+def unsettled(buckets: DataFrame) -> DataFrame:
+    """Buckets with members of several components; ``buckets`` has ``bucket, node, label``. In a
+    bucket of two, one is the pivot, so the two have met."""
     parts = buckets.groupBy("bucket", "label").count()
-    mode = parts.groupBy("bucket").agg(
-        F.max_by("label", F.struct("count", "label")).alias("major"),
-        F.sum("count").alias("members"),
-        F.max("count").alias("most"),
-        F.count("*").alias("labels"),
+    return (
+        parts.groupBy("bucket")
+        .agg(
+            F.max_by("label", F.struct("count", "label")).alias("major"),
+            F.sum("count").alias("members"),
+            F.max("count").alias("most"),
+            F.count("*").alias("labels"),
+        )
+        .where("labels > 1 AND members > 2")
+        .withColumn("lefts", F.ceil((F.col("members") - F.col("most")) / CHUNK))
+        .withColumn("rights", F.ceil(F.col("members") / CHUNK))
     )
-    # Two members have met already: one of them is the pivot.
-    mode = mode.where("labels > 1 AND members > 2").withColumn(
-        "lefts", F.ceil((F.col("members") - F.col("most")) / CHUNK)
-    ).withColumn("rights", F.ceil(F.col("members") / CHUNK))
-    of = salt_of(SALTS, F.col("node"))
-    rows = buckets.withColumn("salt", of).join(salted(mode, SALTS), ["bucket", "salt"])
+
+
+def met(buckets: DataFrame) -> DataFrame:
+    """Members of unsettled buckets in blocks ``bucket, i, j``: on the left those outside of the
+    bucket's largest component, on the right all; no block has much over ``CHUNK`` of either."""
+    salt = salt_of(SALTS, F.col("node"))
+    rows = buckets.withColumn("salt", salt).join(salted(unsettled(buckets), SALTS), ["bucket", "salt"])
     place = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(1 << 30))
-    i, j = F.expr("sequence(0L, lefts - 1)"), F.expr("sequence(0L, rights - 1)")
+    names = ["bucket", "band", "node", "label"]
     left = rows.where("label != major").select(
-        "bucket", "node", "label", F.lit(True).alias("left"),
-        F.pmod(place, F.col("lefts")).alias("i"), F.explode(j).alias("j"),
+        *names,
+        F.lit(True).alias("left"),
+        F.pmod(place, F.col("lefts")).alias("i"),
+        F.explode(F.expr("sequence(0L, rights - 1)")).alias("j"),
     )
     right = rows.select(
-        "bucket", "node", "label", F.lit(False).alias("left"),
-        F.explode(i).alias("i"), F.pmod(place, F.col("rights")).alias("j"),
+        *names,
+        F.lit(False).alias("left"),
+        F.explode(F.expr("sequence(0L, lefts - 1)")).alias("i"),
+        F.pmod(place, F.col("rights")).alias("j"),
     )
-    both = staged(left.unionByName(right), "blocks")
-    # A task's group is many small blocks or a large one.
-    groups = both.count() // (8 * CHUNK) + 1
-    fields = "a long, b long"
+    return left.unionByName(right)
+
+
+BLOCK = "bucket long, band int, node long, label long, left boolean, i long, j long"
+
+
+def block_rows(table: pa.Table) -> list[np.ndarray]:
+    """Row numbers of each block in a task's group."""
+    keys = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")])
+    order = np.lexsort(keys)
+    keys = keys[:, order]
+    return np.split(order, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1)
+
+
+class Members:
+    """Columns of a group of block members."""
+
+    def __init__(self, table: pa.Table, threshold: float, miss: float):
+        self.node, self.label, self.n, self.band = (
+            table.column(c).to_numpy() for c in ("node", "label", "n", "band")
+        )
+        self.left = table.column("left").to_numpy()
+        self.sig = matrix(table.column("sig"))
+        self.threshold, self.least = threshold, needed(threshold, miss)
+
+    def partners(self, x: int, two: np.ndarray, open_: np.ndarray) -> np.ndarray:
+        """Places in ``two`` of the plausible partners of ``x``, among those that are open, in
+        the first band that the pair shares."""
+        n = self.n[two]
+        y = np.flatnonzero(
+            open_ & (np.minimum(n, self.n[x]) >= self.threshold * np.maximum(n, self.n[x]))
+        )
+        mine = np.broadcast_to(self.sig[x], (len(y), HASHES))
+        y = y[plausible(mine, self.sig[two[y]], self.least) >= 0]
+        equal = (self.sig[two[y]] == self.sig[x]).reshape(-1, BANDS, ROWS).all(2)
+        return y[equal.argmax(1) == self.band[x]] if len(y) else y
+
+
+def grouped(rows: DataFrame) -> DataFrame:
+    """Rows of blocks with ``slot``: a task's group is many small blocks or a large one."""
+    groups = rows.count() // (4 * CHUNK) + 1
+    return rows.withColumn("slot", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(groups)))
+
+
+def hopeful(
+    blocks: DataFrame, classes: DataFrame, threshold: float, miss: float
+) -> DataFrame:
+    """The members of blocks that have a plausible partner there, with size and signature."""
+
+    def test(table: pa.Table) -> pa.Table:
+        own = Members(table, threshold, miss)
+        keep = np.zeros(table.num_rows, bool)
+        for rows in block_rows(table):
+            one, two = rows[own.left[rows]], rows[~own.left[rows]]
+            for x in one.tolist():
+                y = own.partners(x, two, own.label[two] != own.label[x])
+                keep[two[y]] = True
+                keep[x] |= len(y) > 0
+        names = [c for c in table.column_names if c != "slot"]
+        return table.select(names).filter(pa.array(keep))
+
+    rows = grouped(blocks).join(classes.select("node", "n", "sig"), "node")
+    schema = f"{BLOCK}, n long, sig binary"
+    names = [field.split()[0] for field in schema.split(", ")]
+    return rows.select(*names, "slot").groupBy("slot").applyInArrow(test, schema)
+
+
+def across(members: DataFrame, sets: DataFrame, threshold: float, miss: float) -> DataFrame:
+    """``a, b``: confirmed links between components within blocks; one for two components."""
+    percent = round(100 * threshold)
 
     def compare(table: pa.Table) -> pa.Table:
-        keys = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")])
-        order = np.lexsort(keys)
-        keys = keys[:, order]
-        cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-        node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
-        is_left = table.column("left").to_numpy()
-        sig = matrix(table.column("sig"))
+        own = Members(table, threshold, miss)
+        node, n = own.node, own.n
+        full = [np.frombuffer(x, "<u8") for x in table.column("own").to_pylist()]
         found = []
-        for rows in np.split(order, cut):
-            one, two = rows[is_left[rows]], rows[~is_left[rows]]
+        for rows in block_rows(table):
+            one, two = rows[own.left[rows]], rows[~own.left[rows]]
+            now = own.label[two].copy()
             for x in one.tolist():
-                sizes = np.minimum(n[two], n[x]) >= threshold * np.maximum(n[two], n[x])
-                y = two[sizes & (label[two] != label[x])]
-                y = y[plausible(np.broadcast_to(sig[x], (len(y), HASHES)), sig[y], least) >= 0]
-                found += [(min(node[x], k), max(node[x], k)) for k in node[y].tolist()]
-        found = sorted(set(found))
+                mine = now[node[two] == node[x]]
+                mine = mine[0] if len(mine) else own.label[x]
+                y = own.partners(x, two, now != mine)
+                if not len(y):
+                    continue
+                sizes = n[two[y]]
+                flat = np.concatenate([full[k] for k in two[y].tolist()])
+                at = np.minimum(np.searchsorted(full[x], flat), len(full[x]) - 1)
+                ends = np.cumsum(sizes)
+                both = np.concatenate([[0], np.cumsum(full[x][at] == flat)])
+                both = both[ends] - both[ends - sizes]
+                for k in y[100 * both >= percent * (n[x] + sizes - both)].tolist():
+                    if now[k] != mine:
+                        found.append((node[x], node[two[k]]))
+                        now[now == now[k]] = mine
         return pa.table(
             {
                 "a": pa.array([a for a, _ in found], pa.int64()),
@@ -319,14 +407,8 @@ def across(buckets: DataFrame, classes: DataFrame, threshold: float, miss: float
             }
         )
 
-    slot = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(groups))
-    return (
-        both.join(classes.select("node", "n", "sig"), "node")
-        .withColumn("slot", slot)
-        .groupBy("slot")
-        .applyInArrow(compare, fields)
-        .distinct()
-    )
+    rows = grouped(members).join(sets, "node")
+    return rows.groupBy("slot").applyInArrow(compare, "a long, b long")
 
 
 def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -375,34 +457,27 @@ def group(
     first = ends.groupBy("node").agg(F.max(F.struct("matches", "a", "b")).alias("top"))
     first = first.select("top.a", "top.b").distinct()
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = classes.join(nodes, "node", "left_semi").select("node", "doc_id", "p", "q")
-    sets = staged(full_sets(docs, wanted, id_col, text_col), "sets")
+    def sets_of(nodes: DataFrame, name: str) -> DataFrame:
+        asked = classes.join(nodes.select("node").distinct(), "node", "left_semi")
+        asked = staged(asked.select("node", "doc_id", "p", "q"), f"{name}-asked")
+        own = full_sets(docs, asked, id_col, text_col).groupBy("node").agg(F.first("own").alias("own"))
+        return staged(own, name)
+
+    sets = sets_of(ends, "sets")
     links = staged(confirmed(first, sets, threshold), "links")
     labels = staged(components(links), "labels")
-
-    apart = staged(
-        across(labelled(buckets.select("bucket", "node"), labels), classes, threshold, miss), "apart"
-    )
-    of = {
-        end: labels.selectExpr(f"node AS {end}", f"label AS label_{end}") for end in ("a", "b")
-    }
-    rest = pairs.select("a", "b").join(first, ["a", "b"], "left_anti").unionByName(apart).distinct()
+    of = {end: labels.selectExpr(f"node AS {end}", f"label AS label_{end}") for end in ("a", "b")}
+    rest = pairs.select("a", "b").join(first, ["a", "b"], "left_anti")
     rest = rest.join(of["a"], "a", "left").join(of["b"], "b", "left")
-    rest = staged(
-        rest.where("coalesce(label_a, a) != coalesce(label_b, b)").select("a", "b"), "rest"
-    )
-    asked = rest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = asked.join(sets.select("node"), "node", "left_anti")
-    wanted = staged(
-        classes.join(asked, "node", "left_semi").select("node", "doc_id", "p", "q"), "wanted"
-    )
-    if wanted.isEmpty():
-        more = sets
-    else:
-        more = sets.unionByName(full_sets(docs, wanted, id_col, text_col))
-    links = links.unionByName(confirmed(rest, more, threshold))
-    labels = components(links)
+    rest = rest.where("coalesce(label_a, a) != coalesce(label_b, b)").select("a", "b")
+    links = staged(links.unionByName(confirmed(rest, sets, threshold)), "links")
+    labels = staged(components(links), "labels")
+
+    blocks = staged(met(labelled(buckets.select("bucket", "band", "node"), labels)), "blocks")
+    members = staged(hopeful(blocks, classes, threshold, miss), "members")
+    more = sets_of(members.join(sets, "node", "left_anti"), "more-sets")
+    last = across(members, sets.unionByName(more), threshold, miss)
+    labels = components(links.unionByName(last))
 
     named = labelled(classes.select("node", "p", "q", "n", "doc_id"), labels)
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component"))
