@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.llm.arrowtext import pieces, words
+from tristrata.llm.bits import bitmap, passing
 from tristrata.llm.common import salt_of, salted
 from tristrata.llm.components import components
 from tristrata.scratch import staged
@@ -159,7 +160,8 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n, p, q, sig`` of every row: size, print and signature of its set."""
+    """``doc_id, tie, n, p, q, sig`` of every row: a hash of its text, then size, print and
+    signature of its set."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = family()
@@ -169,6 +171,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("tie"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([p for p, _ in names], pa.int64()),
                     pa.array([q for _, q in names], pa.int64()),
@@ -176,12 +179,16 @@ def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         [signature(s, a, b).tobytes() if len(s) else None for s in sets], pa.binary()
                     ),
                 ],
-                names=["doc_id", "n", "p", "q", "sig"],
+                names=["doc_id", "tie", "n", "p", "q", "sig"],
             )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.xxhash64(F.col(text_col)).alias("tie"),
+        F.col(text_col).alias("text"),
+    )
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(measure, f"doc_id {kind}, n long, p long, q long, sig binary")
+    return rows.mapInArrow(measure, f"doc_id {kind}, tie long, n long, p long, q long, sig binary")
 
 
 def banded(classes: DataFrame) -> DataFrame:
@@ -232,7 +239,7 @@ def tested(pairs: DataFrame, classes: DataFrame, threshold: float, miss: float)
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``node, own``: the sorted hashes of the wanted classes' sets, from the whole text of one of
-    their documents; ``wanted`` has ``node, doc_id, p, q``."""
+    their documents; ``wanted`` has ``node, doc_id, tie, p, q``."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches, "text", PIECE):
@@ -244,8 +251,17 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
             out = pa.RecordBatch.from_arrays([batch.column("node"), own], names=["node", "own"])
             yield out.filter(pa.array(right))
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(wanted, texts.id.eqNullSafe(wanted.doc_id)).select("node", "p", "q", "text")
+    texts = docs.select(
+        F.col(id_col).alias("id"),
+        F.xxhash64(F.col(text_col)).alias("tie"),
+        F.col(text_col).alias("text"),
+    )
+    # Only texts that are asked for need to move to their class. Ids may be null or repeated, so
+    # the text's hash is part of the key.
+    wanted = wanted.withColumnRenamed("doc_id", "id")
+    texts = passing(texts, bitmap(wanted, ["id", "tie"]), ["id", "tie"]).alias("t")
+    same = F.col("t.id").eqNullSafe(F.col("w.id")) & (F.col("t.tie") == F.col("w.tie"))
+    rows = texts.join(wanted.alias("w"), same).select("node", "p", "q", "text")
     return rows.mapInArrow(take, "node long, own binary")
 
 
@@ -428,7 +444,12 @@ def group(
     classes = staged(
         rows.where("n > 0")
         .groupBy("p", "q", "n")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.min(F.struct("doc_id", "tie")).alias("one"),
+            F.first("sig").alias("sig"),
+        )
+        .select("p", "q", "n", "doc_id", F.col("one.doc_id").alias("id"), "one.tie", "sig")
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
@@ -459,7 +480,8 @@ def group(
 
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
         asked = classes.join(nodes.select("node").distinct(), "node", "left_semi")
-        asked = staged(asked.select("node", "doc_id", "p", "q"), f"{name}-asked")
+        one = asked.select("node", F.col("id").alias("doc_id"), "tie", "p", "q")
+        asked = staged(one, f"{name}-asked")
         own = full_sets(docs, asked, id_col, text_col).groupBy("node").agg(F.first("own").alias("own"))
         return staged(own, name)
 
@@ -501,4 +523,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with one document of each component: that with the smallest id. Ids must be
     unique; rows without an id stay where their component has no id."""
     gone = group(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__id"))
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+    gone = staged(gone, "gone")
+    bits = bitmap(gone.select(F.col("__id").alias(id_col)), [id_col])
+    same = F.col(id_col).eqNullSafe(F.col("__id"))
+    some = passing(docs, bits, [id_col]).join(gone, same, "left_anti")
+    return passing(docs, bits, [id_col], wanted=False).unionByName(some)
