@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at once; a longer text is a piece by itself.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 3 << 20
 #: Partial sums that one task adds up on the first of the two levels.
 SUM_SLOTS = 64
 
@@ -43,6 +43,8 @@ def pieces(
             end = min(max(end, begin + 1), len(column))
             yield batch.slice(begin, end - begin), column.slice(begin, end - begin)
             begin = end
+        # A worker lives on after its task; what it no longer uses goes back to the machine.
+        pa.default_memory_pool().release_unused()
 
 
 def word_table(keep: Iterable[int]) -> np.ndarray:

@@ -26,3 +26,17 @@ def salted(df: DataFrame, ways: int) -> DataFrame:
 
 def salt_of(ways: int, *columns: Column) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(ways)).cast("int")
+
+
+def apart(docs: DataFrame, text_col: str) -> DataFrame:
+    """``text``, and the other columns as one column ``rest``, where no name of theirs clashes."""
+    others = [F.col(c) for c in docs.columns if c != text_col]
+    rest = F.struct(*others) if others else F.struct(F.lit(0).alias("none"))
+    return docs.select(F.col(text_col).alias("text"), rest.alias("rest"))
+
+
+def together(rows: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """The rows of ``apart`` with the columns of ``docs`` again."""
+    return rows.select(
+        *[F.col("text").alias(c) if c == text_col else F.col(f"rest.{c}") for c in docs.columns]
+    )

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tristrata.llm.arrowtext import pieces, strings, word_table, words
+from tristrata.llm.common import apart, together
 
 WINDOW = 13
 #: Bytes of benchmark text that are broadcast and searched at once.
@@ -307,9 +308,8 @@ def contaminated(n_words: str = "n_words", n_hit: str = "n_hit"):
 
 def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without the contaminated rows."""
-    rows = docs.select(F.col(text_col).alias("text"), F.struct("*").alias("__row"))
-    found = search(rows, benchmark, keep=["__row"])
-    return found.where(~contaminated()).select("__row.*")
+    found = search(apart(docs, text_col), benchmark, keep=["text", "rest"])
+    return together(found.where(~contaminated()), docs, text_col)
 
 
 def longest_matches(

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tristrata.llm.arrowtext import SUMS, partial_sums, pieces, summed, word_table, words
+from tristrata.llm.common import apart, together
 
 #: Slots of each of the three hashed tables.
 SLOTS = 1 << 15
@@ -297,6 +298,5 @@ def held_out(doc_id: Column, mod: int, remainder: int) -> Column:
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text has no language."""
-    rows = docs.select(F.col(text_col).alias("text"), F.struct("*").alias("__row"))
-    found = identify(rows, model, spans=False, keep=["__row"])
-    return found.where("lang_pred != 'und'").select("__row.*")
+    found = identify(apart(docs, text_col), model, spans=False, keep=["text", "rest"])
+    return together(found.where("lang_pred != 'und'"), docs, text_col)
