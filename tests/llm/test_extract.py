@@ -33,6 +33,24 @@ def test_root_is_found_without_an_article_element():
     assert text_of(page).split("\n") == ["Head", LONG, "Short.", LONG]
 
 
+def test_one_part_that_holds_most_of_the_text_is_not_the_whole():
+    big = " ".join([LONG] * 4)
+    parts = {
+        f"<ul><li>{big}</li><li>{LONG}</li></ul>": [big, LONG],
+        f"<ul><li><p>{big}</p></li></ul>": [big],
+        f"<blockquote><p>{big}</p></blockquote>": [big],
+        f"<table><tbody><tr><td>{big}</td></tr></tbody></table>": [big],
+        f"<section><h2>Part</h2><p>{big}</p></section>": ["Part", big],
+    }
+    for part, lines in parts.items():
+        inside = f"<h1>Title</h1><p>{LONG}</p>{part}<p>The end, at last.</p>"
+        for around in ("article", "main", "div", "body"):
+            page = f"<nav><a href=x>Menu</a></nav><{around}>{inside}</{around}>"
+            assert text_of(page).split("\n") == ["Title", LONG, *lines, "The end, at last."]
+    page = f"<body><div>Menu</div><section><article><h1>Title</h1><p>{LONG}</p></article></section></body>"
+    assert text_of(page).split("\n") == ["Title", LONG]
+
+
 def test_broken_markup():
     assert text_of("") == ""
     assert text_of("plain words") == "plain words"

@@ -5,9 +5,9 @@ headers, footers, sidebars, notices, adverts, forms and comments that say so by
 or id are no candidates. For every path of a page the length of text and the number of
 punctuation marks per block are taken, smoothed over neighbouring blocks in page order, and
 fused into one score. Paths whose score reaches a share of the page's mean, weighted by length,
-are content paths. The deepest path that holds most of their text is the content's root, and all
-blocks below it are the main text; only blocks that are nothing but links and whose path is no
-content path are left out.
+are content paths. Their lowest common container is the content's root, but no list, quote, table
+or section, and nothing inside an article or main element. All blocks below the root are the main
+text; only blocks that are nothing but links and whose path is no content path are left out.
 
 Defined results: null or empty html, or html without text, gives an empty text; markup that is
 cut short or badly nested is read as far as it goes; character references that are none stay as
@@ -21,6 +21,7 @@ import html
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,6 @@ from tristrata.llm.arrowtext import pieces
 
 #: A path is content when its score is at least this share of the weighted mean score.
 SCORE_SHARE = 0.25
-#: The content's root holds at least this share of the content paths' text.
-ROOT_SHARE = 0.6
 #: Weights of the block itself and its neighbours on either side.
 SMOOTH = (0.25, 0.5, 0.25)
 LINKS_ONLY = 0.9
@@ -90,6 +89,9 @@ FRAME = frozenset(
     " wrapper".split()
 )
 FRAME_TAGS = frozenset(["html", "body", "main", "article"])
+#: Elements that may be the content's root, and those that nothing inside them replaces.
+CONTAINERS = FRAME_TAGS | {"div", "center"}
+WHOLE = frozenset(["main", "article"])
 
 
 def named_otherwise(name: str, attrs: str) -> bool:
@@ -212,6 +214,17 @@ def path_scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:
     return {path: sum(v) / len(v) for path, v in totals.items()}
 
 
+def root_of(paths: set[str]) -> str:
+    """The outermost article or main around all paths, or else their lowest container."""
+    # The leaf itself is no root: one paragraph is not the whole article.
+    levels = zip(*(p.split("/")[:-1] for p in paths))
+    common = [names[0] for names in takewhile(lambda names: len(set(names)) == 1, levels)]
+    whole = next((k for k, name in enumerate(common) if name in WHOLE), None)
+    if whole is not None:
+        return "/".join(common[: whole + 1])
+    return "/".join(takewhile(CONTAINERS.__contains__, common))
+
+
 def main_blocks(blocks: list[tuple[str, str, int]]) -> list[str]:
     if not blocks:
         return []
@@ -219,15 +232,7 @@ def main_blocks(blocks: list[tuple[str, str, int]]) -> list[str]:
     size = sum(len(t) for _, t, _ in blocks)
     mean = sum(scores[p] * len(t) for p, t, _ in blocks) / size
     content = {p for p, s in scores.items() if s >= SCORE_SHARE * mean}
-    mass: dict[str, int] = defaultdict(int)
-    for path, text, _ in blocks:
-        if path in content:
-            names = path.split("/")
-            # The leaf itself is no root: one paragraph is not the whole article.
-            for k in range(len(names)):
-                mass["/".join(names[:k])] += len(text)
-    enough = ROOT_SHARE * mass[""]
-    root = max((p for p, m in mass.items() if m >= enough), key=lambda p: (p.count("/") + bool(p)))
+    root = root_of(content)
     out = []
     for path, text, linked in blocks:
         inside = not root or path == root or path.startswith(root + "/")
