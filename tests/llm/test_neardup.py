@@ -89,6 +89,16 @@ def test_one_large_group_of_copies_and_of_edited_copies(frame, monkeypatch):
     check(frame, rows)
 
 
+def test_only_the_rows_that_are_copies_go(frame):
+    words = [f"w{k}" for k in range(60)]
+    copy = " ".join([*words[:-1], "changed"])
+    clean = [(None, "a text that nobody else has written"), (None, None), (7, "another one without any copies")]
+    clean += [(None, "two rows without an id share it"), (None, "two rows without an id share it")]
+    df = check(frame, [(1, " ".join(words)), (None, copy), (7, copy), *clean])
+    kept = sorted(((r.doc_id, r.text) for r in neardup.deduplicate(df).collect()), key=repr)
+    assert kept == sorted([(1, " ".join(words)), *clean], key=repr)
+
+
 def test_empty_table(frame):
     df = frame([], SCHEMA)
     assert neardup.group(df).count() == 0

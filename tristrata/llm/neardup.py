@@ -440,6 +440,13 @@ def group(
     miss: float = MISS,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row."""
+    return decided(docs, id_col, text_col, threshold, miss).drop("tie")
+
+
+def decided(
+    docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, miss: float = MISS
+) -> DataFrame:
+    """``group`` with ``tie``, the hash of the row's text, which tells rows of one id apart."""
     rows = staged(measured(docs, id_col, text_col), "signatures")
     classes = staged(
         rows.where("n > 0")
@@ -506,7 +513,7 @@ def group(
     spread = named.withColumn("salt", salt_of(SALTS, F.col("node")))
     named = spread.join(salted(smallest, SALTS), ["label", "salt"]).select("p", "q", "n", "component")
     out = (
-        rows.select("doc_id", "n", "p", "q")
+        rows.select("doc_id", "tie", "n", "p", "q")
         .withColumn("salt", salt_of(SALTS, F.col("doc_id")))
         .join(salted(named, SALTS), ["p", "q", "n", "salt"], "left")
     )
@@ -516,15 +523,19 @@ def group(
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "tie",
     )
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest id. Ids must be
-    unique; rows without an id stay where their component has no id."""
-    gone = group(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__id"))
-    gone = staged(gone, "gone")
-    bits = bitmap(gone.select(F.col("__id").alias(id_col)), [id_col])
-    same = F.col(id_col).eqNullSafe(F.col("__id"))
-    some = passing(docs, bits, [id_col]).join(gone, same, "left_anti")
-    return passing(docs, bits, [id_col], wanted=False).unionByName(some)
+    """``docs`` with one document of each component: that with the smallest id. Rows without an
+    id stay where their component has no id; of an id repeated with another text only the rows
+    go whose own component has a smaller id."""
+    gone = decided(docs, id_col, text_col).where("NOT kept")
+    gone = staged(gone.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__gone")), "gone")
+    rows = docs.withColumn("__tie", F.xxhash64(F.col(text_col)))
+    key = [id_col, "__tie"]
+    bits = bitmap(gone.select(F.col("__id").alias(id_col), F.col("__gone").alias("__tie")), key)
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__tie") == F.col("__gone"))
+    some = passing(rows, bits, key).join(gone, same, "left_anti")
+    return passing(rows, bits, key, wanted=False).unionByName(some).drop("__tie")
