@@ -54,6 +54,20 @@ def test_further_candidates_overlap_nothing():
         assert all(b <= c or a >= d for c, _, d in base)
 
 
+def test_names_are_found_after_any_word():
+    texts = {
+        "Dear Maria Schmidt, hello": ["Maria Schmidt"],
+        "Contact John Smith": ["John Smith"],
+        "By Anna Brown. Yesterday Dr. Peter Weber spoke": ["Anna Brown", "Dr. Peter Weber"],
+        "Ask José García or Señora Núñez": ["José García", "Señora Núñez"],
+        "Señor Ángel Ibáñez": ["Señor Ángel Ibáñez"],
+        "Herr Łukasz Żak and Frau Öztürk": ["Herr Łukasz Żak", "Frau Öztürk"],
+        "Berlin Wall, Anna said; Annabel Lee; xMaria Schmidt; Maria SCHMIDT": [],
+    }
+    for text, names in texts.items():
+        assert [text[a:b] for a, _, b in pii.further_spans(text, [])] == names
+
+
 def test_reliabilities_find_the_good_labelers():
     import numpy as np
 

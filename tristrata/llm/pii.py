@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate
@@ -58,7 +59,6 @@ FURTHER_PATTERNS = {
     "ip6": re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])"),
     "birth": re.compile(r"(?<![\w./-])[0-9]{1,4}([./-])[0-9]{1,2}\1[0-9]{1,4}(?![\w./-])"),
 }
-NAME = re.compile(r"(?<!\w)([A-Z][a-z]+)\.? ([A-Z][a-z]+(?: [A-Z][a-z]+)?)(?!\w)")
 
 # Gazetteers and context words, in four languages.
 TITLES = frozenset("Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Mme Señor Señora Sr Sra".split())
@@ -71,6 +71,13 @@ GIVEN = frozenset(
     " Patricia Paul Peter Philippe Pierre Richard Robert Sandra Sarah Sofia Sophie Stefan Stephen"
     " Susan Thomas Ursula Walter William Wolfgang".split()
 )
+UPPER = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isupper())
+LOWER = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.islower())
+WORD = f"[{re.escape(UPPER)}][{re.escape(LOWER)}]+"
+# Looked up from the listed word, whatever stands before it; matches may overlap.
+NAME = re.compile(
+    rf"(?<!\w)(?=((?:{'|'.join(sorted(TITLES | GIVEN))})\.? {WORD}(?: {WORD})?)(?!\w))"
+)
 TOP_DOMAINS = frozenset("at ch com de edu es eu fr gov info int io it mil net nl org uk us".split())
 WORDS_FOR = {
     "email": "email e-mail mail contact write courriel correo kontakt schreiben",
@@ -142,9 +149,7 @@ def further_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
         for kind, pattern in FURTHER_PATTERNS.items():
             number = KINDS.index(kind)
             found += [(m.start(), number, m.end()) for m in pattern.finditer(text)]
-    for m in NAME.finditer(text):
-        if m[1] in TITLES or m[1] in GIVEN:
-            found.append((m.start(), KINDS.index("name"), m.end()))
+    found += [(m.start(1), KINDS.index("name"), m.end(1)) for m in NAME.finditer(text)]
     begins = [a for a, _, _ in base]
     reach = list(accumulate((b for _, _, b in base), max))
     out, done = [], 0
