@@ -51,6 +51,36 @@ def test_one_part_that_holds_most_of_the_text_is_not_the_whole():
     assert text_of(page).split("\n") == ["Title", LONG]
 
 
+def test_a_word_of_class_or_id_does_not_decide_alone():
+    kept = [
+        '<section id="discussion">%</section>', '<section id="commentary">%</section>',
+        '<section id="cookies">%</section>', '<div class="cookie-recipe">%</div>',
+        '<h2 id="related-work">%</h2>', '<h2 id="search">%</h2>', '<h2 id="header-files">%</h2>',
+        '<p class="share-price">%</p>', '<div class="share-price">%</div>',
+        '<h2><span class="headline" id="Comments">%</span></h2>',
+    ]
+    for part in kept:
+        for end in ("", "<p>The end, at last.</p>"):
+            if "cookies" in part and not end:
+                continue
+            page = f"<article><p>{LONG}</p>{part.replace('%', 'Own words, and more.')}{end}</article>"
+            assert "Own words, and more." in text_of(page).split("\n"), page
+    dropped = [
+        '<div class="ad">Buy this, now.</div>', '<div class="cookie-banner">We use cookies.</div>',
+        '<div class="related-posts"><h3>More</h3><a href=x>A linked title</a></div>',
+        '<div id="sidebar-left">Some words, here.</div>', '<section class="comments">I like it.</section>',
+    ]
+    for part in dropped:
+        page = f"<article><p>{LONG}</p>{part}<p>The end, at last.</p></article>"
+        assert text_of(page).split("\n") == [LONG, "The end, at last."], page
+
+
+def test_empty_elements_hold_nothing():
+    for tag in ("<svg/>", "<object data='x'/>", '<div class="ad" />', "<canvas />", "<iframe src='x' />"):
+        assert text_of(f"<article><p>{LONG}</p>{tag}<p>The end.</p></article>").split("\n") == [LONG, "The end."]
+    assert text_of(f"<article><p>{LONG}</p><svg><path/></svg><p>The end.</p></article>").endswith("The end.")
+
+
 def test_broken_markup():
     assert text_of("") == ""
     assert text_of("plain words") == "plain words"

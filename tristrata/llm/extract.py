@@ -2,7 +2,10 @@
 
 A page is read into blocks of text, each with its root-to-leaf path of block-level tags. Menus,
 headers, footers, sidebars, notices, adverts, forms and comments that say so by tag, role, class
-or id are no candidates. For every path of a page the length of text and the number of
+or id are no candidates. What only a word of its class or id marks is one where the word may name a
+chapter or product (inside an article or main: wherever other words stand beside it), unless most of
+its text is links; a section whose id is such a word alone must also be followed by more text.
+Headings and paragraphs are text whatever their class or id. For every path of a page the length of text and the number of
 punctuation marks per block are taken, smoothed over neighbouring blocks in page order, and
 fused into one score. Paths whose score reaches a share of the page's mean, weighted by length,
 are content paths. Their lowest common container is the content's root, but no list, quote, table
@@ -35,6 +38,8 @@ SCORE_SHARE = 0.25
 #: Weights of the block itself and its neighbours on either side.
 SMOOTH = (0.25, 0.5, 0.25)
 LINKS_ONLY = 0.9
+#: What a class or id may take for frame is frame when this share of its text is links.
+LINKS_MOST = 0.5
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$(?![\s\S]))"
@@ -45,6 +50,7 @@ TOKEN = re.compile(
     re.S,
 )
 ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'<>]+))?")
+UNQUOTED = re.compile(r"=\s*[^\s\"'=]+$")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 # Element kinds of the HTML standard.
@@ -88,14 +94,33 @@ FRAME = frozenset(
     "article body container content entry has layout main no page post site with without wrap"
     " wrapper".split()
 )
+#: Words that also name chapters; by themselves they mark nothing inside an article or main.
+UNSURE = frozenset(
+    "alert banner consent disclaimer discussion footer header hidden login menu modal navigation"
+    " notice notices notification overlay pagination promotion recommended related replies reply"
+    " respond reviews search share sharing signup social toolbar".split()
+)
+#: Words that leave the meaning of a mark as it is.
+PLAIN = frozenset(
+    "area bar block bottom box button buttons form google icons info inline inner item items js law"
+    " left link links list middle nav outer panel post posts right section side slot text thread"
+    " title top unit wp".split()
+)
+#: What a class or id says: nothing; frame if mostly links; so, or if no article text follows; frame.
+NONE, LINKED, LAST, FRAMED = range(4)
+#: Headings and paragraphs are text, whatever their class or id.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXT_TAGS = HEADINGS | {"p"}
 FRAME_TAGS = frozenset(["html", "body", "main", "article"])
 #: Elements that may be the content's root, and those that nothing inside them replaces.
 CONTAINERS = FRAME_TAGS | {"div", "center"}
 WHOLE = frozenset(["main", "article"])
 
+Owner = tuple[int, int, str]
+
 
 def named_otherwise(name: str, attrs: str) -> bool:
-    """Whether a start tag says that its element is not part of the article."""
+    """Whether a start tag says by itself that its element is not part of the article."""
     if name in NOT_CONTENT:
         return True
     if not attrs.strip() or name in FRAME_TAGS:
@@ -108,19 +133,44 @@ def named_otherwise(name: str, attrs: str) -> bool:
             return True
         if key == "role" and value in ROLES:
             return True
-        if key in ("class", "id"):
-            for one in value.split():
-                parts = [p for p in re.split(r"[^a-z]+", one) if p]
-                marked = any(p in WORDS or p.startswith(STEMS) for p in parts)
-                if marked and not FRAME.intersection(parts):
-                    return True
+        if key == "class" and "hidden" in value.split():
+            return True
     return False
 
 
+def word_mark(name: str, attrs: str, inside: bool) -> int:
+    """What the words of class and id say of an element, ``inside`` an article or main or not."""
+    if not attrs.strip() or name in FRAME_TAGS or name in TEXT_TAGS:
+        return NONE
+    mark = NONE
+    for key, value in ATTR.findall(attrs):
+        # Ids of inline elements are anchors.
+        if key.lower() != "class" and (key.lower() != "id" or name not in BLOCKS | NOT_CONTENT):
+            continue
+        for one in value.strip("\"'").lower().split():
+            parts = [p for p in re.split(r"[^a-z]+", one) if p]
+            stems = [p for p in parts if p.startswith(STEMS) and not p.startswith("commentar")]
+            marked = WORDS.intersection(parts).union(stems)
+            if not marked or FRAME.intersection(parts):
+                continue
+            alone = marked.union(PLAIN).issuperset(parts)
+            sure = not UNSURE.issuperset(marked)
+            # A chapter's id is made from its heading.
+            if name == "section" and key.lower() == "id":
+                mark = max(mark, LAST if sure and alone else LINKED)
+            else:
+                framed = sure and alone if inside else sure or alone
+                mark = max(mark, FRAMED if framed else LINKED)
+    return mark
+
+
 def blocks_of(page: str) -> list[tuple[str, str, int]]:
     """``(path, text, characters inside links)`` of each block of candidate text, in order."""
     out: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, bool]] = []  # open block elements, and whether they are left out
+    # Open block elements, whether they are left out, and the marked element that they belong to
+    # by its number, mark and parent's path.
+    stack: list[tuple[str, bool, Owner | None]] = []
+    owners: list[Owner | None] = []
     parts: list[str] = []
     links = [0, 0]  # open links, and characters in links of this block
     off = 0  # open elements that are left out
@@ -130,13 +180,14 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(("/".join(name for name, _ in stack), text, links[1]))
+                out.append(("/".join(name for name, _, _ in stack), text, links[1]))
+                owners.append(stack[-1][2] if stack else None)
             parts.clear()
         links[1] = 0
 
     def pop_to(at: int) -> None:
         nonlocal off
-        for _, bad in stack[at:]:
+        for _, bad, _ in stack[at:]:
             off -= bad
         del stack[at:]
 
@@ -161,7 +212,7 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
                 links[0] = 0
             if name in inline_off:
                 del inline_off[inline_off.index(name) :]
-            if name in BLOCKS or any(name == n for n, _ in stack):
+            if name in BLOCKS or any(name == n for n, _, _ in stack):
                 flush()
                 place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
                 if place is not None:
@@ -169,15 +220,26 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
                     links[0], inline_off = 0, []
             continue
         attrs = found["attrs"] or ""
+        empty = attrs.endswith("/") and not UNQUOTED.search(attrs)
         if name in RAW:
             shut = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
-            at = shut.start() if shut else end
+            if shut or not empty:
+                at = shut.start() if shut else end
             continue
         if name in BREAKS:
             flush()
         if name in VOID:
             continue
         bad = named_otherwise(name, attrs)
+        inner = stack[-1][0] if stack else ""
+        inside = any(n in WHOLE for n, _, _ in stack)
+        if name in BLOCKS or inner not in HEADINGS:
+            mark = word_mark(name, attrs, inside)
+        else:
+            mark = NONE
+        bad = bad or mark == FRAMED
+        if empty and (bad or mark or name not in BLOCKS):
+            continue
         if name in BLOCKS or name in NOT_CONTENT:
             flush()
             kinds, bounds = CLOSES.get(name, ({"p"}, {"td", "th", "li", "div", "article", "section"}))
@@ -188,14 +250,41 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
                 if stack[k][0] in bounds or (stack[k][0] == "p" and name not in BLOCKS):
                     break
             links[0], inline_off = 0, []
-            stack.append((name, bad))
+            owner = stack[-1][2] if stack else None
+            if mark > (owner[1] if owner else NONE):
+                owner = (at, mark, "/".join(n for n, _, _ in stack))
+            stack.append((name, bad, owner))
             off += bad
         elif bad:
             inline_off.append(name)
         elif name == "a":
             links[0] = 1
     flush()
-    return out
+    return without_frame(out, owners)
+
+
+def without_frame(
+    blocks: list[tuple[str, str, int]], owners: list[Owner | None]
+) -> list[tuple[str, str, int]]:
+    """The blocks that belong to no marked element, or to one that its links and place clear."""
+    sums: dict[Owner, list[int]] = defaultdict(lambda: [0, 0, 0])
+    for k, ((_, text, linked), owner) in enumerate(zip(blocks, owners)):
+        if owner:
+            own = sums[owner]
+            own[0], own[1], own[2] = own[0] + linked, own[1] + len("".join(text.split())), k
+    ends: dict[str, int] = {}  # the last unmarked text below each path
+    if any(mark == LAST for _, mark, _ in sums):
+        for k, ((path, text, linked), owner) in enumerate(zip(blocks, owners)):
+            if owner is None and linked < LINKS_MOST * len("".join(text.split())):
+                names = path.split("/") if path else []
+                for depth in range(len(names) + 1):
+                    ends["/".join(names[:depth])] = k
+    cleared = {None}
+    for owner, (linked, size, last) in sums.items():
+        _, mark, parent = owner
+        if linked < LINKS_MOST * size and (mark == LINKED or ends.get(parent, -1) > last):
+            cleared.add(owner)
+    return [block for block, owner in zip(blocks, owners) if owner in cleared]
 
 
 def path_scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:
