@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tristrata.llm import (
+    convtrie,
     decontaminate,
     exactdup,
     extract,
@@ -220,6 +221,73 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, spans=False, keep=["doc_id", "held_out"])
 
 
+#: Expressions for crc32, which DuckDB lacks: its table, and the sum of a text.
+CRC_TABLE = """
+    k(i, j, c) AS (
+      SELECT i::BIGINT, 0, i::BIGINT FROM range(256) t(i)
+      UNION ALL
+      SELECT i, j + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END
+      FROM k WHERE j < 8),
+    crc AS (SELECT list(c ORDER BY i) AS t FROM k WHERE j = 8)"""
+
+
+def crc_of(text: str) -> str:
+    """The unsigned crc32 of a text column; ``crc`` must be joined."""
+    code = f"hex(encode({text}))"
+    codes = f"""list_transform(range(1, length({code}), 2),
+               lambda p: ('0x' || substr({code}, p, 2))::BIGINT)"""
+    step = "lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])"
+    return f"xor(list_reduce({codes}, {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+@query(
+    rf"""
+    WITH RECURSIVE {CRC_TABLE},
+    turns AS (
+      SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '')
+                          || coalesce(text, '')) AS id,
+             len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+      FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (
+      SELECT conv_id, conv_id - conv_id % 20 AS base, {crc_of("conv_id::VARCHAR")} % 4 AS h
+      FROM (SELECT DISTINCT conv_id FROM turns), crc),
+    rebuilt AS (
+      SELECT c.conv_id, p, id, words FROM c JOIN turns t ON t.conv_id = c.base AND p <= h
+      UNION ALL
+      SELECT c.conv_id, p, id, words FROM c JOIN turns t ON t.conv_id = c.conv_id AND p > h),
+    m AS (
+      SELECT conv_id, row_number() OVER w AS d, string_agg(id, '') OVER w AS key, words
+      FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+      UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+    n AS (
+      SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words
+      FROM m GROUP BY d, key),
+    kids AS (
+      SELECT d - 1 AS d, left(key, 32 * (d - 1)) AS key, count(*) AS n_children
+      FROM n WHERE d > 0 GROUP BY ALL),
+    own AS (
+      SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (d, key)),
+    sub AS (
+      SELECT a AS d, left(key, 32 * a) AS key, count(*) FILTER (n_children = 0) AS n_leaves,
+             sum((n_convs - 1) * words) AS saved_tokens
+      FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own) GROUP BY ALL),
+    ends AS (
+      SELECT d, key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+      FROM (SELECT conv_id, max(d) AS d, max_by(key, d) AS key FROM m GROUP BY conv_id)
+      GROUP BY d, key)
+    SELECT own.conv_id, own.d AS depth, up.conv_id AS parent_conv_id, own.n_convs,
+           own.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+           sha256(coalesce(ids, '')) AS ends_sha256
+    FROM own JOIN sub USING (d, key) LEFT JOIN ends USING (d, key)
+    LEFT JOIN n up ON up.d = own.d - 1 AND up.key = left(own.key, 32 * (own.d - 1))
+    """
+)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return convtrie.nodes_of(table(spark, sf_dir, "conversations"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
