@@ -17,6 +17,7 @@ from tristrata.llm import (
     pii,
     quality,
     suffixdup,
+    toxicity,
     warc,
 )
 from tristrata.llm.common import table
@@ -246,7 +247,8 @@ def crc_of(text: str) -> str:
     turns AS (
       SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '')
                           || coalesce(text, '')) AS id,
-             len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words,
+             len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS words,
              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
       FROM conversations WHERE conv_id IS NOT NULL),
     c AS (
@@ -288,6 +290,16 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convtrie.nodes_of(table(spark, sf_dir, "conversations"))
 
 
+@query()
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from labels of the rows that are not held out."""
+    return toxicity.classify(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        langid.held_out(F.col("doc_id"), 3, 1),
+    )
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
