@@ -18,6 +18,7 @@ from tristrata.llm import (
     quality,
     suffixdup,
     toxicity,
+    variants,
     warc,
 )
 from tristrata.llm.common import table
@@ -241,6 +242,50 @@ def crc_of(text: str) -> str:
     return f"xor(list_reduce({codes}, {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
 
 
+@query(
+    rf"""
+    WITH RECURSIVE {CRC_TABLE},
+    runs AS (
+      SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS own, run, count(*) AS many
+      FROM (SELECT doc_id, unnest(regexp_extract_all({LOWER}, '[a-zÀ-ÿ]+')) AS run
+            FROM documents) GROUP BY ALL),
+    coded AS (SELECT run, many, {crc_of("own")} AS h FROM runs, crc),
+    v AS (
+      SELECT w, sum(many)::BIGINT AS n
+      FROM (SELECT many, CASE WHEN h % 97 = 0
+                   THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                   ELSE run END AS w FROM coded)
+      WHERE length(w) >= 5 GROUP BY w HAVING sum(many) >= 3),
+    cut AS (
+      SELECT w, i, left(w, i - 1) AS x, substr(w, i + 1) AS y
+      FROM (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM v)),
+    near AS (
+      SELECT a.w AS a, b.w AS b FROM cut a JOIN cut b ON a.i = b.i AND a.x = b.x AND a.y = b.y
+      WHERE a.w <> b.w
+      UNION SELECT cut.w, v.w FROM cut JOIN v ON v.w = x || y
+      UNION SELECT v.w, cut.w FROM cut JOIN v ON v.w = x || y),
+    best AS (
+      SELECT a AS w, count(*) AS n_near, min_by(b, (-n, b)) AS form, max(n) AS form_n
+      FROM near JOIN v ON v.w = b GROUP BY a),
+    forms AS (
+      SELECT v.w, v.n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN form_n >= 2 * n THEN form END AS form,
+             CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+      FROM v LEFT JOIN best USING (w)),
+    path AS (
+      SELECT w, w AS here, 0 AS hops FROM forms
+      UNION ALL
+      SELECT path.w, forms.form, hops + 1 FROM path JOIN forms ON forms.w = here
+      WHERE forms.form IS NOT NULL)
+    SELECT w AS word, form, root, n, n_near, form_n
+    FROM forms JOIN (SELECT w, max_by(here, hops) AS root FROM path GROUP BY w) USING (w)
+    """
+)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart and the forms they are spellings of."""
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
 @query(
     rf"""
     WITH RECURSIVE {CRC_TABLE},
