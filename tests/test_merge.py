@@ -262,10 +262,10 @@ def test_more_than_a_thousand_directories_are_named_and_no_others_read(spark, pl
     many.coalesce(1).write.partitionBy("p").parquet(path)
     changes = many.filter("p < 1100").withColumn("at", F.lit(1))
     changes.coalesce(1).write.partitionBy("p").parquet(staged)
-    stored = sink._stored(path, changes, staged, ["p"])
+    stored = sink.stored_rows(path, changes, staged, ["p"])
     assert len(stored.inputFiles()) == 1100
     assert stored.schema.simpleString() == spark.createDataFrame([], schema).select("k", "at", "v", "p").schema.simpleString()
-    few = sink._stored(path, changes, f"{tmp_path}/none", ["p"])
+    few = sink.stored_rows(path, changes, f"{tmp_path}/none", ["p"])
     assert few.count() == 0
     assert stored.agg(F.min("p"), F.max("p")).first() == (0, 1099)
 
@@ -274,7 +274,7 @@ def test_write_target_is_made_good_with_its_own_folder(spark, stored, tmp_path,
     changes = spark.createDataFrame(CHANGES, PARTED)
     work = f"{tmp_path}/own"
     with monkeypatch.context() as broken:
-        broken.setattr(sink, "_discard", lambda *a: (_ for _ in ()).throw(OSError("driver lost")))
+        broken.setattr(sink, "discard", lambda *a: (_ for _ in ()).throw(OSError("driver lost")))
         with pytest.raises(OSError):
             write_target(changes, stored, "merge", ["p"], ["p", "k"], ["at"], work)
     write_target(changes, stored, "merge", ["p"], ["p", "k"], ["at"], work)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
@@ -12,6 +12,12 @@ from tristrata.functions.timefns import truncate_ntz
 UNITS = {"hourly": "hour", "daily": "day", "monthly": "month"}
 
 
+def period_of(df: DataFrame, ts: str, unit: str) -> Column:
+    """The start of the period that a row's time lies in; a wall-clock time stays one."""
+    wall_clock = isinstance(df.schema[ts].dataType, TimestampNTZType)
+    return truncate_ntz(ts, unit) if wall_clock else F.date_trunc(unit, F.col(ts))
+
+
 def period_rollup(
     df: DataFrame,
     kind: str = "daily",
@@ -26,9 +32,7 @@ def period_rollup(
     shuffle and by period only after that, so one period holding most of the rows is spread
     over all customers' tasks.
     """
-    unit = UNITS.get(kind, "day")
-    wall_clock = isinstance(df.schema[ts].dataType, TimestampNTZType)
-    period = truncate_ntz(ts, unit) if wall_clock else F.date_trunc(unit, F.col(ts))
+    period = period_of(df, ts, UNITS.get(kind, "day"))
     totals = df.groupBy(period.alias("period")).agg(
         F.count(F.lit(1)).alias("total_records"),
         F.sum(amount).alias("total_amount"),

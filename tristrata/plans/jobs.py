@@ -14,6 +14,7 @@ from tristrata.operators.quality import DataQualityError, any_null
 from tristrata.operators.silver import to_silver
 from tristrata.schemas import BRONZE, BRONZE_KEYS, INGEST_TOPICS, SILVER_KEYS
 from tristrata.sinks.files import gather, write_cleansed, write_parquet, write_rollup
+from tristrata.sinks.rollups import apply_increment, read_rollup
 from tristrata.sources.catalog import create_table
 from tristrata.sources.files import read_files, read_json_stream, read_topic_stream
 from tristrata.sources.kafka import read_kafka_stream
@@ -75,6 +76,22 @@ def aggregate(
     )
 
 
+def aggregate_increment(
+    spark: SparkSession,
+    input_path: str,
+    increment: str,
+    state_path: str = "data/rollups/",
+    output_path: str = "data/aggregated/",
+    kind: str = "daily",
+) -> bool:
+    """Merge one increment's rows into the stored rollup and write the rollup out; earlier rows
+    are not read. An increment of that name that was merged before changes nothing."""
+    path = f"{state_path.rstrip('/')}/{kind}"
+    merged = apply_increment(path, spark.read.parquet(input_path), increment, kind)
+    write_rollup(read_rollup(spark, path, kind), output_path, kind)
+    return merged
+
+
 def kafka_to_bronze(
     spark: SparkSession,
     servers: str,

@@ -23,22 +23,24 @@ def _directories(spark: SparkSession, path: str, levels: int) -> list[str]:
     ]
 
 
-def _stored(path: str, changes: DataFrame, staged: str, partition_by: list[str]) -> DataFrame:
+def stored_rows(
+    path: str, changes: DataFrame, staged: str, partition_by: list[str]
+) -> DataFrame:
     """The table's rows in the directories that the staged changes fall into.
 
-    Only those are listed and read, however many they are. Their names are read with the types
-    that the changes have: Spark would otherwise guess them, and take ``p=007`` for the number 7.
+    Only those are read, however many they are; both sides are listed once. Columns that only some
+    directories have are kept. The directories' names are read with the types that the changes
+    have: Spark would otherwise guess them, and take ``p=007`` for the number 7.
     """
     spark = changes.sparkSession
-    names = _directories(spark, staged, len(partition_by))
-    files, _ = _file(spark, path)
-    here = [f"{path}/{name}" for name in names if files.exists(_file(spark, f"{path}/{name}")[1])]
+    touched = set(_directories(spark, staged, len(partition_by)))
+    here = [f"{path}/{d}" for d in _directories(spark, path, len(partition_by)) if d in touched]
     if not here:
         return spark.createDataFrame([], changes.schema)
     rows = spark.read.option("basePath", path)
     fields = [
         changes.schema[f.name] if f.name in partition_by else f
-        for f in rows.parquet(here[0]).schema.fields
+        for f in rows.option("mergeSchema", True).parquet(*here).schema.fields
     ]
     return rows.schema(StructType(fields)).parquet(*here)
 
@@ -49,12 +51,12 @@ def _file(spark: SparkSession, path: str) -> tuple:
     return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
 
 
-def _finished(spark: SparkSession, path: str) -> bool:
+def finished(spark: SparkSession, path: str) -> bool:
     files, marker = _file(spark, f"{path}/_SUCCESS")
     return files.exists(marker)
 
 
-def _discard(spark: SparkSession, rows: str, work: str) -> None:
+def discard(spark: SparkSession, rows: str, work: str) -> None:
     """Delete the marker first: rows that are half deleted must not look finished."""
     for path in (f"{rows}/_SUCCESS", work):
         files, name = _file(spark, path)
@@ -83,12 +85,12 @@ def merge_partitions(
     spark = changes.sparkSession
     work = work or scratch(spark, "merge")
     rows = f"{work}/rows"
-    if not _finished(spark, rows):
+    if not finished(spark, rows):
         once = newest_per_key(require_keys(changes, keys), keys, order_by)
         by_directory = once.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
         by_directory.mode("overwrite").parquet(f"{work}/changes")
         newest = spark.read.schema(changes.schema).parquet(f"{work}/changes")
-        target = _stored(path, changes, f"{work}/changes", partition_by)
+        target = stored_rows(path, changes, f"{work}/changes", partition_by)
         keep_newer(target, newest, keys, order_by).write.mode("overwrite").parquet(rows)
     (
         gather(spark.read.parquet(rows), partition_by)
@@ -97,7 +99,7 @@ def merge_partitions(
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    _discard(spark, rows, work)
+    discard(spark, rows, work)
 
 
 def write_target(
