@@ -1,12 +1,15 @@
 """Keyed merge and insert-if-absent."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tristrata.operators.merge import insert_if_absent as absent
 from tristrata.operators.merge import newest_per_key, upsert
-from tristrata.plans.registry import query
+from tristrata.plans.registry import ORACLES, query
 from tristrata.plans.tables import table
 from tristrata.scratch import scratch
+from tristrata.sinks import bucketed
 from tristrata.sinks.merge import write_target
 
 
@@ -80,6 +83,53 @@ def insert_if_absent(spark, sf_dir):
     return absent(returned, sold.drop("l_returnflag"), ["part_key", "supplier_key"])
 
 
+UPSERT_NEWER_SQL = ORACLES["upsert_newer"]
+
+
+def own_table(name):
+    """A table name of this run's own."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+@query(UPSERT_NEWER_SQL)
+def upsert_bucketed(spark, sf_dir):
+    """Orders bucketed by key, their lines merged in two parts; the orders are not shuffled."""
+    name, keys = own_table("orders_by_key"), ["order_key"]
+    target, changes = orders_and_lines(spark, sf_dir)
+    bucketed.write_bucketed(target, name, keys, 16)
+    for part in (F.col("line") % 2 == 0, F.col("line") % 2 == 1):
+        bucketed.upsert_bucketed(spark, name, changes.filter(part), keys, ["changed_at", "line", "amount"])
+    return spark.table(name)
+
+
+@query(UPSERT_NEWER_SQL)
+def upsert_bucketed_changes(spark, sf_dir):
+    """The same where the changes are bucketed too, in another number of buckets."""
+    name, news, keys = own_table("orders_by_key"), own_table("lines_by_key"), ["order_key"]
+    target, changes = orders_and_lines(spark, sf_dir)
+    bucketed.write_bucketed(target, name, keys, 8)
+    bucketed.write_bucketed(changes, news, keys, 24)
+    order = ["changed_at", "line", "amount"]
+    bucketed.upsert_bucketed(spark, name, spark.table(news), keys, order)
+    return spark.table(name)
+
+
+@query(
+    """
+SELECT DISTINCT l_partkey AS part_key, l_suppkey AS supplier_key FROM lineitem"""
+)
+def insert_absent_bucketed(spark, sf_dir):
+    """Pairs of part and supplier, first those that came back, then twice all that were sold."""
+    name, keys = own_table("sold"), ["part_key", "supplier_key"]
+    lines = table(spark, sf_dir, "lineitem")
+    sold = lines.select(F.col("l_partkey").alias("part_key"), F.col("l_suppkey").alias("supplier_key"), "l_returnflag")
+    returned = sold.filter("l_returnflag = 'R'").drop("l_returnflag").distinct()
+    bucketed.write_bucketed(returned, name, keys, 16)
+    for _ in range(2):
+        bucketed.insert_absent_bucketed(spark, name, sold.drop("l_returnflag"), keys)
+    return spark.table(name)
+
+
 MERGED_SQL = """
 SELECT event_type, user_id, ts, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC)
