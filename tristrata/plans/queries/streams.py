@@ -28,6 +28,7 @@ from tristrata.sources.files import read_files, read_json_stream, read_topic_str
 from tristrata.sources.inference import infer_schemas
 from tristrata.sinks.files import gather
 from tristrata.sinks.merge import write_target
+from tristrata.streaming.changes import change_feed, rocksdb_state
 from tristrata.streaming.dedupe import dedupe_stream
 from tristrata.streaming.fanout import fan_out
 from tristrata.streaming.merge import merge_stream
@@ -260,6 +261,40 @@ def stream_merge(spark, sf_dir):
     return spark.read.parquet(f"{work}/state")
 
 
+@query(
+    """
+WITH parts AS (
+  SELECT *, CASE WHEN event_id % 7 = 0 THEN 1 WHEN day(ts) > 20 THEN 0
+                 WHEN day(ts) >= 8 THEN 1 ELSE 2 END AS part FROM events),
+newest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_type, user_id, part
+                                 ORDER BY ts DESC, event_id DESC) AS rn FROM parts) p
+  WHERE rn = 1),
+seen AS (
+  SELECT *, max((ts, event_id)) OVER (PARTITION BY event_type, user_id ORDER BY part
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM newest)
+SELECT CASE WHEN before IS NULL THEN 'insert' WHEN (ts, event_id) >= before THEN 'update'
+            ELSE 'late' END AS change, event_type, user_id, ts, event_id, value
+FROM seen"""
+)
+def stream_changes(spark, sf_dir):
+    """A stream's changes of the newest row per key, over three batches, the newest days first; the
+    state lies in RocksDB from run to run."""
+    work = scratch(spark, "stream-changes")
+    events = table(spark, sf_dir, "events").select("event_type", "user_id", "ts", "event_id", "value")
+    day = F.day("ts")
+    part = F.when(F.col("event_id") % 7 == 0, 1).when(day > 20, 0).when(day >= 8, 1).otherwise(2)
+    for number in range(3):
+        events.filter(part == number).write.mode("append").parquet(f"{work}/in")
+        rows = spark.readStream.schema(events.schema).parquet(f"{work}/in")
+        feed = change_feed(rows, ["event_type", "user_id"], ["ts", "event_id"])
+        with rocksdb_state(spark):
+            run = to_files(feed, f"{work}/out", f"{work}/cp", trigger=AVAILABLE_NOW)
+        drain(run)
+    return spark.read.parquet(f"{work}/out")
+
+
 @query(
     """
 SELECT 'sensors.' || event_type AS topic, event_id AS "offset",
