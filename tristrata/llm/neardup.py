@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tristrata.llm.arrowtext import pieces, words
 from tristrata.llm.bits import bitmap, passing
-from tristrata.llm.common import salt_of, salted
+from tristrata.llm.common import apart, salt_of, salted, together
 from tristrata.llm.components import components
 from tristrata.scratch import staged
 
@@ -51,6 +51,8 @@ BATCH = 48
 MISS = 1e-6
 #: Members of a bucket that are compared with as many others at once.
 CHUNK = 1024
+#: Bytes of full sets in a block, and in what a task compares at once.
+BLOCK_BYTES = 32 << 20
 SALTS = 16
 #: Bytes of text that a task works on at once, and pairs of sets that it holds.
 PIECE = 2 << 20
@@ -192,7 +194,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def banded(classes: DataFrame) -> DataFrame:
-    """``bucket, band, node``: a row for every band of every class."""
+    """``bucket, band, node, n``: a row for every band of every class."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,13 +205,16 @@ def banded(classes: DataFrame) -> DataFrame:
             for k in range(ROWS):
                 key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
             node = np.repeat(batch.column("node").to_numpy(), BANDS)
+            size = np.repeat(batch.column("n").to_numpy(), BANDS)
             band = np.tile(np.arange(BANDS, dtype=np.int32), len(sig))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().astype(np.int64)), pa.array(band), pa.array(node)],
-                names=["bucket", "band", "node"],
+                [pa.array(key.ravel().astype(np.int64)), pa.array(band), pa.array(node), pa.array(size)],
+                names=["bucket", "band", "node", "n"],
             )
 
-    return classes.select("sig", "node").mapInArrow(cut, "bucket long, band int, node long")
+    return classes.select("sig", "node", "n").mapInArrow(
+        cut, "bucket long, band int, node long, n long"
+    )
 
 
 def near_size(a: str, b: str, threshold: float) -> str:
@@ -285,20 +290,28 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def unsettled(buckets: DataFrame) -> DataFrame:
-    """Buckets with members of several components; ``buckets`` has ``bucket, node, label``. In a
+    """Buckets with members of several components; ``buckets`` has ``bucket, node, n, label``. In a
     bucket of two, one is the pivot, so the two have met."""
-    parts = buckets.groupBy("bucket", "label").count()
+    parts = buckets.groupBy("bucket", "label").agg(F.count("*").alias("count"), F.sum("n").alias("n"))
+
+    def blocks(members, shingles):
+        return F.ceil(F.greatest(members / CHUNK, shingles * 8 / BLOCK_BYTES))
+
     return (
         parts.groupBy("bucket")
         .agg(
-            F.max_by("label", F.struct("count", "label")).alias("major"),
+            F.max(F.struct("count", "label", "n")).alias("top"),
             F.sum("count").alias("members"),
-            F.max("count").alias("most"),
+            F.sum("n").alias("n"),
             F.count("*").alias("labels"),
         )
         .where("labels > 1 AND members > 2")
-        .withColumn("lefts", F.ceil((F.col("members") - F.col("most")) / CHUNK))
-        .withColumn("rights", F.ceil(F.col("members") / CHUNK))
+        .select(
+            "bucket",
+            F.col("top.label").alias("major"),
+            blocks(F.col("members") - F.col("top.count"), F.col("n") - F.col("top.n")).alias("lefts"),
+            blocks(F.col("members"), F.col("n")).alias("rights"),
+        )
     )
 
 
@@ -308,7 +321,7 @@ def met(buckets: DataFrame) -> DataFrame:
     salt = salt_of(SALTS, F.col("node"))
     rows = buckets.withColumn("salt", salt).join(salted(unsettled(buckets), SALTS), ["bucket", "salt"])
     place = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(1 << 30))
-    names = ["bucket", "band", "node", "label"]
+    names = ["bucket", "band", "node", "label", "n"]
     left = rows.where("label != major").select(
         *names,
         F.lit(True).alias("left"),
@@ -324,7 +337,7 @@ def met(buckets: DataFrame) -> DataFrame:
     return left.unionByName(right)
 
 
-BLOCK = "bucket long, band int, node long, label long, left boolean, i long, j long"
+BLOCK = "bucket long, band int, node long, label long, n long, left boolean, i long, j long"
 
 
 def block_rows(table: pa.Table) -> list[np.ndarray]:
@@ -360,8 +373,10 @@ class Members:
 
 
 def grouped(rows: DataFrame) -> DataFrame:
-    """Rows of blocks with ``slot``: a task's group is many small blocks or a large one."""
-    groups = rows.count() // (4 * CHUNK) + 1
+    """Rows of blocks with ``slot``: a task's group is many small blocks or a large one, and is
+    bounded by rows and by the bytes of their sets."""
+    many, shingles = rows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    groups = max(many // (4 * CHUNK), shingles * 8 // (2 * BLOCK_BYTES)) + 1
     return rows.withColumn("slot", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(groups)))
 
 
@@ -382,8 +397,8 @@ def hopeful(
         names = [c for c in table.column_names if c != "slot"]
         return table.select(names).filter(pa.array(keep))
 
-    rows = grouped(blocks).join(classes.select("node", "n", "sig"), "node")
-    schema = f"{BLOCK}, n long, sig binary"
+    rows = grouped(blocks).join(classes.select("node", "sig"), "node")
+    schema = f"{BLOCK}, sig binary"
     names = [field.split()[0] for field in schema.split(", ")]
     return rows.select(*names, "slot").groupBy("slot").applyInArrow(test, schema)
 
@@ -502,7 +517,7 @@ def decided(
     links = staged(links.unionByName(confirmed(rest, sets, threshold)), "links")
     labels = staged(components(links), "labels")
 
-    blocks = staged(met(labelled(buckets.select("bucket", "band", "node"), labels)), "blocks")
+    blocks = staged(met(labelled(buckets.select("bucket", "band", "node", "n"), labels)), "blocks")
     members = staged(hopeful(blocks, classes, threshold, miss), "members")
     more = sets_of(members.join(sets, "node", "left_anti"), "more-sets")
     last = across(members, sets.unionByName(more), threshold, miss)
@@ -532,10 +547,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     id stay where their component has no id; of an id repeated with another text only the rows
     go whose own component has a smaller id."""
     gone = decided(docs, id_col, text_col).where("NOT kept")
-    gone = staged(gone.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__gone")), "gone")
-    rows = docs.withColumn("__tie", F.xxhash64(F.col(text_col)))
-    key = [id_col, "__tie"]
-    bits = bitmap(gone.select(F.col("__id").alias(id_col), F.col("__gone").alias("__tie")), key)
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__tie") == F.col("__gone"))
-    some = passing(rows, bits, key).join(gone, same, "left_anti")
-    return passing(rows, bits, key, wanted=False).unionByName(some).drop("__tie")
+    gone = staged(gone.select("doc_id", "tie").distinct(), "gone")
+    rows = apart(docs, text_col).withColumn("tie", F.xxhash64("text")).alias("r")
+    # The texts stay in the JVM; where the keys are too many for a broadcast they are shuffled once.
+    own = F.col("r.text") if id_col == text_col else F.col(f"r.rest.{id_col}")
+    same = own.eqNullSafe(F.col("g.doc_id")) & (F.col("r.tie") == F.col("g.tie"))
+    return together(rows.join(gone.alias("g"), same, "left_anti"), docs, text_col)
