@@ -48,3 +48,14 @@ def test_only_survivors_have_their_text_hashed(spark):
     df = spark.createDataFrame([(1, "a"), (2, "bb"), (3, "cc"), (4, "dd"), (5, "dd")], "doc_id long, text string")
     hashed = exactdup.refine(df).where(F.col("full_hash").isNotNull()).select("doc_id").collect()
     assert sorted(r.doc_id for r in hashed) == [4, 5]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["__id", "__hash", "__key", "hashes", "size", "head", "rest", "tie"]
+    rows = [(1, "a"), (2, "A"), (2, "b"), (3, "b"), (4, "c"), (4, "c"), (None, "d"), (None, "D"), (5, None)]
+    df = spark.createDataFrame([(*r, *range(8)) for r in rows], ["doc_id", "text", *names])
+    kept = exactdup.deduplicate(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, lowered(r.text)) for r in kept.collect()), key=repr)
+    assert got == sorted([(2, "a"), (3, "b"), (4, "c"), (None, "d"), (5, "")], key=repr)
+    assert all(tuple(r)[2:] == tuple(range(8)) for r in kept.collect())

@@ -133,3 +133,29 @@ def test_components_match_brute_force(spark):
     got = components(spark.createDataFrame([*edges, (None, 4)], "a long, b long")).collect()
     assert {r.node: r.label for r in got} == want and len(got) == len(want)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_columns_of_any_name_are_kept(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(2, text), (1, text + " end"), (None, "alone"), (3, None)]
+    names = ["__id", "__gone", "__tie", "tie", "rest", "node"]
+    df = spark.createDataFrame([(*r, *range(6)) for r in rows], ["doc_id", "text", *names])
+    kept = neardup.deduplicate(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 3, None]
+    assert all(tuple(r)[2:] == tuple(range(6)) for r in kept.collect())
+
+
+@pytest.mark.parametrize("task_edges", [3, 10, 1000])
+def test_components_over_many_parts(spark, task_edges):
+    rng = random.Random(task_edges)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(100 + k, 101 + k) for k in range(25)]
+    edges += [(5, 5), (None, 3), (7, None)]
+    label = {n: n for e in edges for n in e}
+    for _ in range(100):
+        for a, b in edges:
+            if a is not None and b is not None:
+                label[a] = label[b] = min(label[a], label[b])
+    df = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    got = {r.node: r.label for r in components(df, task_edges).collect()}
+    assert got == {n: label[n] for a, b in edges if a is not None and b is not None and a != b for n in (a, b)}

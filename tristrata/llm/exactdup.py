@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tristrata.llm.common import lower_ascii, salt_of, salted
+from tristrata.llm.common import apart, lower_ascii, salt_of, salted, together
 from tristrata.scratch import staged
 
 #: Characters of the prefix that is hashed for every row whose length is shared.
@@ -33,6 +33,16 @@ def text_digest(text: Column) -> Column:
     return F.sha2(lower_ascii(text).cast("binary"), 256)
 
 
+def text_length(text: Column) -> Column:
+    """Bytes of the text: A-Z and a-z have one byte each, so those of its normal form."""
+    return F.octet_length(F.coalesce(text, F.lit("")))
+
+
+def prefix_hash(text: Column) -> Column:
+    """A hash of the first characters of the normalised text."""
+    return F.xxhash64(lower_ascii(F.substring(F.coalesce(text, F.lit("")), 1, PREFIX_CHARS)))
+
+
 def refine(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -46,9 +56,7 @@ def refine(
     """
     carry = carry or {}
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # A-Z and a-z have one byte each, so the length of the text is that of its normal form.
-    length = F.octet_length(text)
-    prefix = F.xxhash64(lower_ascii(F.substring(text, 1, PREFIX_CHARS)))
+    length, prefix = text_length(text), prefix_hash(text)
     salt = salt_of(SALTS, F.col(id_col))
 
     lengths = docs.groupBy(length.alias("len")).count().where("count > 1").select("len")
@@ -104,16 +112,26 @@ def refine(
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts: that with the largest id."""
-    found = staged(refine(docs, id_col, text_col).where("group_size > 1"), "repeats")
-    key = [F.col("doc_id").alias("__id"), F.col("full_hash").alias("__hash")]
-    dropped = found.where("NOT kept").select(*key).distinct()
-    rows = docs.withColumn("__key", text_digest(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash"))
-    left = rows.join(dropped, same, "left_anti")
+    """``docs`` with one row of each group of equal texts: that with the largest id. Only rows
+    whose id, length and prefix are those of a dropped row have their whole text hashed again."""
+    rows = apart(docs, text_col)
+    own = F.col("text") if id_col == text_col else F.col(f"rest.{id_col}")
+    rows = rows.withColumns({"id": own, "size": text_length(F.col("text")), "head": prefix_hash(F.col("text"))})
+    carry = {"size": text_length(F.col(text_col)), "head": prefix_hash(F.col(text_col))}
+    found = staged(refine(docs, id_col, text_col, carry).where("group_size > 1"), "repeats")
+    keys = ["doc_id", "size", "head"]
+    dropped = found.where("NOT kept").groupBy(*keys).agg(F.collect_set("full_hash").alias("hashes"))
+    same = F.col("r.id").eqNullSafe(F.col("g.doc_id"))
+    same &= (F.col("r.size") == F.col("g.size")) & (F.col("r.head") == F.col("g.head"))
+    met = rows.alias("r").join(dropped.alias("g"), same, "left").select("r.*", "hashes")
+    gone = F.array_contains("hashes", text_digest(F.col("text")))
+    left = met.where(F.col("hashes").isNull() | ~gone).drop("hashes")
     # Where an id is repeated with its text, more than one row of a group is left.
-    twice = found.where("kept").groupBy(*key).count().where("count > 1").drop("count")
+    twice = found.where("kept").groupBy(*keys, "full_hash").count().where("count > 1").drop("count")
     if not twice.isEmpty():
-        one = left.join(twice, same, "left_semi").dropDuplicates([id_col, "__key"])
-        left = left.join(twice, same, "left_anti").unionByName(one)
-    return left.drop("__key")
+        same &= text_digest(F.col("r.text")) == F.col("g.full_hash")
+        one = left.alias("r").join(twice.alias("g"), same, "left_semi")
+        one = one.withColumn("hash", text_digest(F.col("text"))).dropDuplicates(["id", "hash"])
+        rest = left.alias("r").join(twice.alias("g"), same, "left_anti")
+        left = rest.unionByName(one.drop("hash"))
+    return together(left, docs, text_col)
