@@ -3,6 +3,7 @@
 from datetime import timedelta
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.operators.bronze import to_bronze
@@ -27,10 +28,11 @@ from tristrata.scratch import scratch
 from tristrata.sources.files import read_files, read_json_stream, read_topic_stream
 from tristrata.sources.inference import infer_schemas
 from tristrata.sinks.files import gather
-from tristrata.sinks.merge import write_target
+from tristrata.sinks.merge import any_files, write_target
 from tristrata.streaming.changes import change_feed, rocksdb_state
 from tristrata.streaming.dedupe import dedupe_stream
 from tristrata.streaming.fanout import fan_out
+from tristrata.streaming.gate import gate_stream, read_ledger
 from tristrata.streaming.merge import merge_stream
 from tristrata.streaming.quarantine import (
     batch_files,
@@ -261,6 +263,42 @@ def stream_merge(spark, sf_dir):
     return spark.read.parquet(f"{work}/state")
 
 
+@query(
+    """
+WITH parts AS (
+  SELECT *, event_id % 3 AS part,
+         (event_id % 3 = 0 AND event_type = 'error') OR event_id % 25 = 0 AS bad FROM events),
+rates AS (SELECT part, count(*) AS n, count(*) FILTER (bad) AS errors FROM parts GROUP BY part)
+SELECT event_id, event_type, value, n AS batch_records, errors AS batch_errors,
+       CASE WHEN errors / n <= 0.05 THEN 'admitted' ELSE 'quarantined' END AS decision
+FROM parts JOIN rates USING (part)"""
+)
+def stream_gate(spark, sf_dir):
+    """Three batches, admitted or refused by their error rate, with the ledger's figures."""
+    work = scratch(spark, "stream-gate")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    bad = (F.col("event_id") % 3 == 0) & (F.col("event_type") == "error")
+    bad |= F.col("event_id") % 25 == 0
+    for number in range(3):
+        events.filter(F.col("event_id") % 3 == number).write.mode("append").parquet(f"{work}/in")
+        rows = spark.readStream.schema(events.schema).parquet(f"{work}/in")
+        places = [f"{work}/{name}" for name in ("admitted", "quarantined", "ledger", "cp")]
+        drain(gate_stream(rows, bad, *places, trigger=AVAILABLE_NOW))
+    ledger = read_ledger(spark, f"{work}/ledger").select(
+        "batch_id",
+        F.col("total_records").alias("batch_records"),
+        F.col("records_in_error").alias("batch_errors"),
+    )
+    # Where no batch was refused, or all were, there is no directory of that name.
+    kept = spark.read.schema("event_id BIGINT, event_type STRING, value DOUBLE, batch_id BIGINT")
+    parts = [
+        kept.option("basePath", f"{work}/{name}").parquet(f"{work}/{name}/*").withColumn("decision", F.lit(name))
+        for name in ("admitted", "quarantined")
+        if any_files(spark, f"{work}/{name}")
+    ]
+    return reduce(DataFrame.unionByName, parts).join(ledger, "batch_id").drop("batch_id")
+
+
 @query(
     """
 WITH parts AS (

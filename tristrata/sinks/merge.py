@@ -13,10 +13,10 @@ from tristrata.sinks.files import gather
 def _directories(spark: SparkSession, path: str, levels: int) -> list[str]:
     """The partition directories below a path, as ``p=1/q=2``: file metadata, as in Spark's own
     file index."""
-    files, root = _file(spark, path)
+    files, root = file_at(spark, path)
     if not files.exists(root):
         return []
-    _, pattern = _file(spark, path + "/*=*" * levels)
+    _, pattern = file_at(spark, path + "/*=*" * levels)
     return [
         "/".join(status.getPath().toString().rsplit("/", levels)[1:])
         for status in files.globStatus(pattern)
@@ -45,21 +45,26 @@ def stored_rows(
     return rows.schema(StructType(fields)).parquet(*here)
 
 
-def _file(spark: SparkSession, path: str) -> tuple:
+def file_at(spark: SparkSession, path: str) -> tuple:
     """The file system of a path, and the path, as Hadoop has them."""
     name = spark._jvm.org.apache.hadoop.fs.Path(path)
     return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
 
 
+def any_files(spark: SparkSession, path: str) -> bool:
+    files, name = file_at(spark, path)
+    return files.exists(name)
+
+
 def finished(spark: SparkSession, path: str) -> bool:
-    files, marker = _file(spark, f"{path}/_SUCCESS")
+    files, marker = file_at(spark, f"{path}/_SUCCESS")
     return files.exists(marker)
 
 
 def discard(spark: SparkSession, rows: str, work: str) -> None:
     """Delete the marker first: rows that are half deleted must not look finished."""
     for path in (f"{rows}/_SUCCESS", work):
-        files, name = _file(spark, path)
+        files, name = file_at(spark, path)
         files.delete(name, True)
 
 
