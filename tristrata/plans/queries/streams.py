@@ -3,6 +3,7 @@
 from datetime import timedelta
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from tristrata.sources.files import read_files, read_json_stream, read_topic_str
 from tristrata.sources.inference import infer_schemas
 from tristrata.sinks.files import gather
 from tristrata.sinks.merge import any_files, write_target
+from tristrata.streaming.audit import END, StreamAudit, read_records
 from tristrata.streaming.changes import change_feed, rocksdb_state
 from tristrata.streaming.dedupe import dedupe_stream
 from tristrata.streaming.fanout import fan_out
@@ -263,6 +265,49 @@ def stream_merge(spark, sf_dir):
     return spark.read.parquet(f"{work}/state")
 
 
+@query(
+    """
+SELECT 'copy' AS job_name, 'Success' AS status, kind, count(*) AS records, FALSE AS has_error
+FROM events, (VALUES ('batch'), ('end')) k(kind) GROUP BY kind
+UNION ALL
+SELECT 'broken', 'Success', 'batch', count(*), FALSE FROM events
+WHERE event_type <> 'error' HAVING count(*) > 0
+UNION ALL SELECT 'broken', 'Success', 'end', count(*), FALSE FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'broken', 'Failed', 'end', 0, TRUE"""
+)
+def stream_audit(spark, sf_dir):
+    """The records of a run of several batches, and of a query whose second run fails on its rows."""
+    work = scratch(spark, "stream-audit")
+    audit = StreamAudit(spark, f"{work}/runs")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    spark.streams.addListener(audit)
+    try:
+        rows = replayed(events, f"{work}/in")
+        run = to_files(rows, f"{work}/out", f"{work}/cp", trigger=AVAILABLE_NOW, name="copy")
+        drain(run)
+        runs = [run]
+        failing = F.when(F.col("event_type") == "error", F.raise_error(F.lit("bad row")))
+        for part in (F.col("event_type") != "error", F.col("event_type") == "error"):
+            events.filter(part).write.mode("append").parquet(f"{work}/more")
+            rows = spark.readStream.schema(events.schema).parquet(f"{work}/more")
+            rows = rows.withColumn("checked", failing.cast("string"))
+            places = (f"{work}/bad", f"{work}/cp-bad")
+            runs.append(to_files(rows, *places, trigger=AVAILABLE_NOW, name="broken"))
+            try:
+                drain(runs[-1])
+            except StreamingQueryException:
+                pass
+        audit.wait(*runs)
+    finally:
+        spark.streams.removeListener(audit)
+    kind = F.when(F.col("batch_id") == END, "end").otherwise("batch")
+    return (
+        read_records(spark, f"{work}/runs")
+        .groupBy("job_name", "status", kind.alias("kind"), F.col("error_message").isNotNull().alias("has_error"))
+        .agg(F.sum("records_processed").alias("records"))
+    )
+
+
 @query(
     """
 WITH parts AS (
