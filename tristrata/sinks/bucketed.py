@@ -33,9 +33,14 @@ def write_bucketed(
 
 def bucket_count(spark: SparkSession, table: str, keys: list[str]) -> int:
     """Into how many buckets by these keys the table is cut; another table is an error."""
-    lines = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    count = int(lines.get("Num Buckets", "0") or 0)
-    columns = lines.get("Bucket Columns", "[]").strip("[]").replace("`", "")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+
+    def line(name: str, otherwise: str) -> str:
+        found = described.where(F.col("col_name") == name).first()
+        return found.data_type if found else otherwise
+
+    count = int(line("Num Buckets", "0"))
+    columns = line("Bucket Columns", "[]").strip("[]").replace("`", "")
     if not count or [c.strip() for c in columns.split(",")] != keys:
         raise ValueError(f"{table} is not bucketed by {', '.join(keys)}")
     return count
