@@ -52,8 +52,8 @@ class QualityPolicy:
         flat: dict = {}
         for key, value in (settings or {}).items():
             flat.update(value if isinstance(value, Mapping) else {key: value})
-        named = {k.replace("-", "_"): v for k, v in flat.items()}
-        return cls(**{k: v for k, v in named.items() if k in cls.__dataclass_fields__})
+        settings = {k.replace("-", "_"): v for k, v in flat.items()}
+        return cls(**{k: v for k, v in settings.items() if k in cls.__dataclass_fields__})
 
 
 def any_null(df: DataFrame, columns: list[str] | None = None) -> Column:
@@ -61,10 +61,10 @@ def any_null(df: DataFrame, columns: list[str] | None = None) -> Column:
     names = df.columns if columns is None else columns
     if not names:
         raise ValueError("no columns to test for nulls")
-    return reduce(or_, [_named(c).isNull() for c in names])
+    return reduce(or_, [named(c).isNull() for c in names])
 
 
-def _named(column: str) -> Column:
+def named(column: str) -> Column:
     """The column of exactly this name, also when it has a dot in it."""
     return F.col("`" + column.replace("`", "``") + "`")
 
@@ -74,7 +74,7 @@ def _holds(rule: Column) -> Column:
     return F.coalesce(rule, F.lit(False))
 
 
-def _rows(*structs: Column) -> Column:
+def as_rows(*structs: Column) -> Column:
     return F.inline(F.array(*structs))
 
 
@@ -101,13 +101,13 @@ def completeness(
     names = df.columns if columns is None else columns
     counts = df.agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.count(_named(c)).alias(f"_{i}") for i, c in enumerate(names)],
+        *[F.count(named(c)).alias(f"_{i}") for i, c in enumerate(names)],
     )
     filled = [F.col(f"_{i}") for i in range(len(names))]
     lines = [(c, F.col("_n"), n) for c, n in zip(names, filled)]
     lines.append(("*", F.col("_n") * len(names), reduce(lambda a, b: a + b, filled)))
     report = counts.select(
-        _rows(
+        as_rows(
             *[
                 F.struct(
                     F.lit(name).alias("column_name"),
@@ -143,7 +143,7 @@ def uniqueness(
         df.agg(
             F.lit(",".join(g)).alias("column_name"),
             F.count(F.lit(1)).alias("total_rows"),
-            F.count_distinct(*[_named(c) for c in g]).alias("distinct_values"),
+            F.count_distinct(*[named(c) for c in g]).alias("distinct_values"),
         )
         for g in groups
     ]
@@ -168,7 +168,7 @@ def rule_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
         ],
     )
     return counts.select(
-        _rows(
+        as_rows(
             *[
                 F.struct(
                     F.lit(name).alias("rule"),
@@ -254,7 +254,7 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     measures = {"_n": F.count(F.lit(1))}
     lines = []
     for i, f in enumerate(fields):
-        value = _named(f.name)
+        value = named(f.name)
         mine = {"filled": F.count(value)}
         if orderable(f.dataType):
             distinct = F.approx_count_distinct(value)
@@ -262,15 +262,15 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
         if isinstance(f.dataType, NumericType):
             mine["avg"] = F.avg(value)
         measures |= {f"_{part}{i}": agg for part, agg in mine.items()}
-        lines.append(_profile_line(f, F.col("_n"), {part: F.col(f"_{part}{i}") for part in mine}))
+        lines.append(profile_line(f, F.col("_n"), {part: F.col(f"_{part}{i}") for part in mine}))
     totals = df.agg(*[agg.alias(name) for name, agg in measures.items()])
-    return totals.select(_rows(*lines))
+    return totals.select(as_rows(*lines))
 
 
 def _exact_profile(df: DataFrame, field: StructField) -> DataFrame:
     if not orderable(field.dataType):
-        return profile(df.select(_named(field.name)))
-    values = df.groupBy(_named(field.name).alias("_v")).agg(F.count(F.lit(1)).alias("_times"))
+        return profile(df.select(named(field.name)))
+    values = df.groupBy(named(field.name).alias("_v")).agg(F.count(F.lit(1)).alias("_times"))
     value, times = F.col("_v"), F.col("_times")
     mine = {
         "filled": F.coalesce(F.sum(F.when(value.isNotNull(), times)), F.lit(0)),
@@ -286,10 +286,10 @@ def _exact_profile(df: DataFrame, field: StructField) -> DataFrame:
     parts = {k: F.col(k) for k in mine}
     if "sum" in parts:
         parts["avg"] = F.try_divide(parts.pop("sum"), parts["filled"])
-    return totals.select(_rows(_profile_line(field, F.col("_n"), parts)))
+    return totals.select(as_rows(profile_line(field, F.col("_n"), parts)))
 
 
-def _profile_line(field: StructField, rows: Column, parts: dict[str, Column]) -> Column:
+def profile_line(field: StructField, rows: Column, parts: dict[str, Column]) -> Column:
     nothing = F.lit(None)
     return F.struct(
         F.lit(field.name).alias("column_name"),
@@ -374,21 +374,21 @@ def apply_policy(
     rows = F.col("_n").cast("double")
     lines = [_line("error_rate", F.try_divide("_bad", rows), policy.error_rate, at_least=False)]
     if policy.null_check:
-        aggregates["_filled"] = reduce(lambda a, b: a + b, [F.count(_named(c)) for c in df.columns])
+        aggregates["_filled"] = reduce(lambda a, b: a + b, [F.count(named(c)) for c in df.columns])
         share = F.try_divide("_filled", rows * len(df.columns))
         lines.append(_line("completeness", share, policy.completeness))
-    report = df.agg(*[agg.alias(name) for name, agg in aggregates.items()]).select(_rows(*lines))
+    report = df.agg(*[agg.alias(name) for name, agg in aggregates.items()]).select(as_rows(*lines))
     if policy.uniqueness_check and unique:
         share = F.col("uniqueness")
         distinct = uniqueness(df, [tuple(unique)], policy.uniqueness)
         report = report.unionAll(
-            distinct.select(_rows(_line("uniqueness", share, policy.uniqueness)))
+            distinct.select(as_rows(_line("uniqueness", share, policy.uniqueness)))
         )
     if policy.schema_validation and schema is not None:
         share = F.col("schema_compliance")
         good = schema_compliance(df, schema, payload, policy.schema_compliance)
         report = report.unionAll(
-            good.select(_rows(_line("schema_compliance", share, policy.schema_compliance)))
+            good.select(as_rows(_line("schema_compliance", share, policy.schema_compliance)))
         )
     if policy.fail_on_error:
         measured = report.collect()  # at most four lines

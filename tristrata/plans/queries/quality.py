@@ -7,6 +7,17 @@ from tristrata.operators import quality as q
 from tristrata.plans.queries.silver import contacts
 from tristrata.plans.registry import query
 from tristrata.plans.tables import table
+from tristrata.scratch import scratch
+from tristrata.sinks.profiles import (
+    DISTINCT_ERROR,
+    OVERLAP_ERROR,
+    RANK_ERROR,
+    add_profiles,
+    compact_profiles,
+    key_overlap,
+    profile_of,
+    read_profiles,
+)
 
 
 def holey_events(spark, sf_dir):
@@ -254,3 +265,113 @@ FROM {table_name}"""
 def dq_profile(spark, sf_dir):
     report = q.profile(table(spark, sf_dir, "customer"), exact=True)
     return report.withColumn("avg_value", F.round("avg_value", 6))
+
+
+def profiled_events(spark, sf_dir):
+    """Events with holes in two columns and their day, as three increments would bring them."""
+    error = F.col("event_type") == "error"
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(~error, F.col("user_id")).alias("user_id"),
+        "event_type",
+        F.when(F.col("event_type") != "view", F.round(F.col("value") * 100).cast("bigint")).alias("cents"),
+        F.to_date("ts").alias("day"),
+    )
+
+
+def stored_profiles(spark, sf_dir, name):
+    """The events' states by day, from increments whose rows fall into the same days."""
+    path = scratch(spark, name)
+    events = profiled_events(spark, sf_dir)
+    for number in range(3):
+        part = events.filter(F.col("event_id") % 3 == number)
+        add_profiles(path, part, f"part-{number}", ["day"], keys=["user_id", "event_id"])
+    add_profiles(path, events, "part-2", ["day"])  # a name counts once
+    compact_profiles(spark, path, f"{path}-by-day", ["day"])
+    return read_profiles(spark, f"{path}-by-day")
+
+
+PROFILED_SQL = """(SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS user_id, event_type,
+       CASE WHEN event_type <> 'view' THEN CAST(round(value * 100) AS BIGINT) END AS cents
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-24') e"""
+
+
+@query(
+    "SELECT * EXCLUDE (distinct_values), TRUE AS distinct_within, TRUE AS quantiles_within FROM ("
+    + _profile_sql(
+        PROFILED_SQL,
+        [
+            ("event_id", "bigint", True),
+            ("user_id", "bigint", True),
+            ("event_type", "string", False),
+            ("cents", "bigint", True),
+        ],
+    )
+    + ") p"
+)
+def profile_range(spark, sf_dir):
+    """Twenty days profiled from the stored states of days; the sketched parts are held against
+    the exact ones of the rows, which the profile itself does not read."""
+    days = F.col("day").between("2024-01-05", "2024-01-24")
+    cuts = (0.25, 0.5, 0.75)
+    report = profile_of(stored_profiles(spark, sf_dir, "profile-range").filter(days), cuts)
+    rows = profiled_events(spark, sf_dir).filter(days).drop("day")
+    sketched = {r.column_name: r for r in report.collect()}  # a line for each column
+    checks = []
+    for name in rows.columns:
+        got, value = sketched[name], F.col(name)
+        distinct, filled = F.count_distinct(value), F.count(value)
+        near = F.abs(F.lit(got.distinct_values) - distinct) <= DISTINCT_ERROR * distinct
+        ranks = [
+            (F.count_if(value < cut) <= (q + RANK_ERROR) * filled)
+            & (F.count_if(value <= cut) >= (q - RANK_ERROR) * filled)
+            for q, cut in zip(cuts, got.quantiles or [])
+        ]
+        within = F.lit(True)
+        for rank in ranks:
+            within &= rank
+        held = rows.agg(near.alias("distinct_within"), within.alias("quantiles_within"))
+        checks.append(held.withColumn("column_name", F.lit(name)))
+    exact = checks[0]
+    for check in checks[1:]:
+        exact = exact.unionByName(check)
+    report = report.drop("distinct_values", "quantiles").withColumn("avg_value", F.round("avg_value", 6))
+    return report.join(exact, "column_name")
+
+
+@query(
+    """
+SELECT key, TRUE AS left_within, TRUE AS right_within, TRUE AS shared_within
+FROM (VALUES ('user_id'), ('event_id')) k(key)"""
+)
+def profile_overlap(spark, sf_dir):
+    """Keys that two ranges of days share, from the states' theta sketches, held against a join."""
+    states = stored_profiles(spark, sf_dir, "profile-overlap")
+    early, late = F.col("day") <= "2024-01-20", F.col("day") >= "2024-01-10"
+    events = profiled_events(spark, sf_dir)
+    out = []
+    for key in ("user_id", "event_id"):
+        got = key_overlap(states.filter(early), states.filter(late), key)
+        sides = events.filter(F.col(key).isNotNull()).groupBy(key).agg(
+            F.max(early).alias("a"), F.max(late).alias("b")
+        )
+        exact = sides.agg(
+            F.count_if("a").alias("a"),
+            F.count_if("b").alias("b"),
+            F.count_if(F.col("a") & F.col("b")).alias("ab"),
+            F.count(F.lit(1)).alias("any"),
+        )
+        both = got.withColumn("key", F.lit(key)).join(exact.withColumn("key", F.lit(key)), "key")
+
+        def near(estimate, truth):
+            return F.abs(F.col(estimate) - F.col(truth)) <= OVERLAP_ERROR * F.col("any")
+
+        out.append(
+            both.select(
+                "key",
+                near("left_keys", "a").alias("left_within"),
+                near("right_keys", "b").alias("right_within"),
+                near("shared_keys", "ab").alias("shared_within"),
+            )
+        )
+    return out[0].unionByName(out[1])
