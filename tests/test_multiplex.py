@@ -1,0 +1,173 @@
+import json
+import random
+from functools import reduce
+from itertools import permutations
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, NullType, StringType, StructType
+
+from tristrata.functions.lattice import ddl, join_structs, join_types, settled
+from tristrata.streaming import multiplex as m
+from tristrata.streaming.run import AVAILABLE_NOW, drain
+
+SCHEMA = "topic string, value string, year int, month int, day int, offset bigint"
+
+
+def record(topic, payload, offset=0, day=1):
+    text = payload if isinstance(payload, str) or payload is None else json.dumps(payload)
+    return (topic, text, 2024, 2, day, offset)
+
+
+def feed(spark, tmp_path, batch):
+    spark.createDataFrame(batch, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+
+def start(spark, tmp_path, trigger=AVAILABLE_NOW):
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+    return m.multiplex(stream, f"{tmp_path}/out", f"{tmp_path}/cp", trigger, keep=["offset"])
+
+
+def run(spark, tmp_path, *batches):
+    for batch in batches:
+        feed(spark, tmp_path, batch)
+        drain(start(spark, tmp_path))
+
+
+def typed(spark, tmp_path, topic, version=None):
+    _, schema = m.topic_types(spark, f"{tmp_path}/out", version)[topic]
+    stored = m.stored_topics(spark, f"{tmp_path}/out", "offset bigint")
+    return m.read_topic(stored, topic, schema)
+
+
+def kinds(spark, tmp_path, version=None):
+    found = m.topic_types(spark, f"{tmp_path}/out", version)
+    return {topic: (n, schema.simpleString()) for topic, (n, schema) in found.items()}
+
+
+def test_fields_widen_and_all_rows_come_under_the_last_version(spark, rows, tmp_path):
+    run(
+        spark,
+        tmp_path,
+        [record("a", {"x": 1, "y": None}, 1), record("b", {"x": 1}, 2)],
+        [record("a", {"x": 2.5, "z": {"p": 1}}, 3), record("b", {"x": 7}, 4)],
+        [record("a", {"x": 3, "z": {"q": "t"}, "l": [1, None]}, 5)],
+        [record("a", {"x": "many", "z": {"p": 2}, "l": [0.5]}, 6)],
+    )
+    assert kinds(spark, tmp_path) == {
+        "a": (4, "struct<l:array<double>,x:string,y:string,z:struct<p:bigint,q:string>>"),
+        "b": (1, "struct<x:bigint>"),
+    }
+    assert kinds(spark, tmp_path, 2)["a"] == (2, "struct<x:double,y:string,z:struct<p:bigint>>")
+    got = typed(spark, tmp_path, "a").select("offset", "x", "z.p", "z.q", "l")
+    assert rows(got) == [
+        (1, "1", None, None, None),
+        (3, "2.5", 1, None, None),
+        (5, "3", None, "t", [1.0, None]),
+        (6, "many", 2, None, [0.5]),
+    ]
+    assert rows(typed(spark, tmp_path, "a", 2), "offset", "x") == [(1, 1.0), (3, 2.5), (5, 3.0), (6, None)]
+
+
+def test_a_topic_first_seen_by_a_running_query(spark, rows, tmp_path):
+    feed(spark, tmp_path, [record("a", {"x": 1})])
+    query = start(spark, tmp_path, trigger=None)
+    try:
+        query.processAllAvailable()
+        assert set(kinds(spark, tmp_path)) == {"a"}
+        feed(spark, tmp_path, [record("new: one/two", {"n": "v"}, 9)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(typed(spark, tmp_path, "new: one/two"), "topic", "offset", "n") == [("new: one/two", 9, "v")]
+
+
+def test_hundreds_of_topics_in_one_batch(spark, tmp_path):
+    run(spark, tmp_path, [record(f"t{n}", {"x": n, f"f{n}": 1}, n) for n in range(300)])
+    found = m.topic_types(spark, f"{tmp_path}/out")
+    assert len(found) == 300 and found["t17"][1].names == ["f17", "x"]
+
+
+def test_what_is_no_object_is_kept_with_its_text(spark, rows, tmp_path):
+    bad = ["{bad", "3", "null", "[1]", "", None]
+    run(spark, tmp_path, [record("a", text, n) for n, text in enumerate(bad)] + [record("a", {"x": 1}, 9)])
+    assert kinds(spark, tmp_path) == {"a": (1, "struct<x:bigint>")}
+    assert rows(typed(spark, tmp_path, "a"), "offset", "x") == [(9, 1)]
+    corrupt = m.read_corrupt(m.stored_topics(spark, f"{tmp_path}/out", "offset bigint"))
+    assert sorted((r.offset, r._corrupt_record) for r in corrupt.collect()) == list(enumerate(bad))
+
+
+def test_keys_clashing_names_and_a_null_topic(spark, rows, tmp_path):
+    run(
+        spark,
+        tmp_path,
+        [
+            record("a", {"device_id": "d", "timestamp": "2024-02-01T00:00:00+00:00", "year": 7}, 1),
+            record("a", {"device_id": None, "timestamp": "2024-02-01T00:00:00+00:00"}, 2),
+            record(None, {"x": 1}, 3),
+        ],
+    )
+    got = typed(spark, tmp_path, "a")
+    assert [(r.offset, r.year, str(r.partition_date)) for r in got.collect()] == [(1, 7, "2024-02-01")]
+    assert m.stored_topics(spark, f"{tmp_path}/out").filter("topic IS NULL").count() == 1
+
+
+def test_a_batch_that_failed_half_way_is_taken_once(spark, rows, tmp_path, monkeypatch):
+    run(spark, tmp_path, [record("a", {"x": 1}, 1)])
+    feed(spark, tmp_path, [record("a", {"x": 0.5}, 2)])
+    for step in ("widen", "writer"):
+        with monkeypatch.context() as patch:
+            if step == "widen":
+
+                def lost(*args):
+                    raise RuntimeError("lost")
+
+                patch.setattr(m, "widen", lost)
+            else:
+                inner = m.widen
+
+                def late(*args):
+                    inner(*args)
+                    raise RuntimeError("lost")
+
+                patch.setattr(m, "widen", late)
+            with pytest.raises(Exception, match="lost"):
+                drain(start(spark, tmp_path))
+    drain(start(spark, tmp_path))
+    assert rows(typed(spark, tmp_path, "a"), "offset", "x") == [(1, 1.0), (2, 0.5)]
+    assert rows(m.schema_log(spark, f"{tmp_path}/out"), "topic", "version", "batch_id") == [("a", 1, 0), ("a", 2, 1)]
+
+
+def test_one_topic_reads_its_own_directories(spark, plan, tmp_path):
+    run(spark, tmp_path, [record("a", {"x": 1}), record("b", {"x": 1})])
+    text = plan(typed(spark, tmp_path, "a"))
+    assert "topic#" in text[text.index("PartitionFilters") :].split("]")[0]
+
+
+def some_type(rng, depth=3):
+    leaves = ["void", "int", "bigint", "double", "string", "boolean", "date"]
+    kind = rng.randrange(4 if depth else 2)
+    if kind < 2:
+        return rng.choice(leaves)
+    if kind == 2:
+        return f"array<{some_type(rng, depth - 1)}>"
+    names = rng.sample("abc", rng.randrange(1, 4))
+    return "struct<" + ",".join(f"{n}:{some_type(rng, depth - 1)}" for n in names) + ">"
+
+
+def test_the_join_is_a_lattice_join(spark):
+    rng = random.Random(5)
+    for _ in range(40):
+        three = [StructType.fromDDL(f"t {some_type(rng)}")[0].dataType for _ in range(3)]
+        joined = {reduce(join_types, order).json() for order in permutations(three)}
+        assert len(joined) == 1
+        top = reduce(join_types, three)
+        assert all(join_types(top, kind) == top for kind in three)
+        stored = StructType().add("t", top).json()
+        assert StructType.fromJson(json.loads(stored))[0].dataType == top
+
+
+def test_names_and_unsettled_types(spark):
+    kind = join_structs(StructType().add("a b`c", LongType()), StructType().add("n", ArrayType(NullType())))
+    assert StructType.fromDDL("t " + ddl(settled(kind)))[0].dataType == settled(kind)
+    assert settled(kind)["n"].dataType == ArrayType(StringType())

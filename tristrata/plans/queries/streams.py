@@ -36,6 +36,13 @@ from tristrata.streaming.dedupe import dedupe_stream
 from tristrata.streaming.fanout import fan_out
 from tristrata.streaming.gate import gate_stream, read_ledger
 from tristrata.streaming.merge import merge_stream
+from tristrata.streaming.multiplex import (
+    multiplex,
+    read_topic,
+    schema_log,
+    stored_topics,
+    topic_types,
+)
 from tristrata.streaming.quarantine import (
     batch_files,
     mark_invalid,
@@ -123,15 +130,16 @@ def stream_parquet(spark, sf_dir):
     return spark.read.parquet(f"{work}/out")
 
 
-@query(
-    """
+FANOUT_SQL = """
 SELECT 'sensors.' || event_type AS topic, CAST(user_id AS VARCHAR) AS device_id,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
        'city_' || user_id AS city, value AS temperature, CAST(ts AS DATE) AS partition_date,
        CAST(year(ts) AS INTEGER) AS "year", CAST(month(ts) AS INTEGER) AS "month",
        CAST(day(ts) AS INTEGER) AS "day"
 FROM events"""
-)
+
+
+@query(FANOUT_SQL)
 def stream_fanout(spark, sf_dir):
     """A query for each topic that the stored rows have, with the schema its payloads show, its
     own directory to read, output and checkpoint."""
@@ -141,11 +149,16 @@ def stream_fanout(spark, sf_dir):
         spark.read.parquet(f"{work}/out/{topic}")
         for topic in fan_out_stored(spark, f"{work}/bronze", f"{work}/out", f"{work}/cp")
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), outputs).select(
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), outputs).select(*reading())
+
+
+def reading():
+    """The columns that the checks of topics compare."""
+    return [
         "topic", "device_id", "timestamp", F.col("location.city").alias("city"),
         F.col("temperature").cast("double").alias("temperature"),
         "partition_date", "year", "month", "day",
-    )
+    ]
 
 
 def fan_out_stored(spark, bronze, out, checkpoint):
@@ -161,6 +174,90 @@ def fan_out_stored(spark, bronze, out, checkpoint):
     return list(schemas)
 
 
+def multiplexed(records, parts, work, keep=()):
+    """Kafka-shaped records through one multiplexing query, a batch for each part."""
+    spark = records.sparkSession
+    for part in parts:
+        records.filter(part).write.mode("append").parquet(f"{work}/in")
+        rows = to_bronze(spark.readStream.schema(records.schema).parquet(f"{work}/in"))
+        drain(multiplex(rows, f"{work}/out", f"{work}/cp", AVAILABLE_NOW, keep))
+
+
+@query(
+    f"""
+SELECT f.*, CAST(CASE WHEN topic = 'sensors.purchase' THEN 2 ELSE 0 END AS BIGINT) AS first_batch
+FROM ({FANOUT_SQL}) f"""
+)
+def stream_topics(spark, sf_dir):
+    """All topics by one query; one of them is first seen in the third batch."""
+    work = scratch(spark, "stream-topics")
+    late = F.col("topic") == "sensors.purchase"
+    even = F.col("offset") % 2 == 0
+    multiplexed(event_records(spark, sf_dir), (even & ~late, ~even & ~late, late), work)
+    stored = stored_topics(spark, f"{work}/out")
+    outputs = [
+        read_topic(stored, topic, schema)
+        for topic, (_, schema) in topic_types(spark, f"{work}/out").items()
+    ]
+    first = schema_log(spark, f"{work}/out").groupBy("topic").agg(F.min("batch_id").alias("first_batch"))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), outputs)
+    return rows.select(*reading()).join(F.broadcast(first), "topic")
+
+
+@query(
+    """
+SELECT topic, CASE WHEN topic = 'sensors.error' THEN 3 ELSE 2 END AS version,
+       CASE WHEN topic = 'sensors.error' THEN 'string' ELSE 'double' END AS v_type, id,
+       CASE WHEN part = 0 AND topic = 'sensors.error' THEN CAST(id AS VARCHAR)
+            WHEN part = 0 THEN CAST(CAST(id AS DOUBLE) AS VARCHAR)
+            WHEN part = 1 THEN CAST(id + 0.5 AS VARCHAR) ELSE 'no. ' || id END AS v,
+       CASE WHEN part > 0 THEN user_id END AS extra_user,
+       CASE WHEN part = 2 THEN 'late' END AS extra_note
+FROM (SELECT 'sensors.' || event_type AS topic, event_id AS id, user_id,
+             CASE WHEN event_id % 3 = 2 AND event_type <> 'error' THEN 1 ELSE event_id % 3 END AS part
+      FROM events) e"""
+)
+def stream_widening(spark, sf_dir):
+    """Payloads that gain fields and widen while the query runs: all rows under the last version."""
+    work = scratch(spark, "stream-widening")
+    part = F.when((F.col("event_id") % 3 == 2) & (F.col("event_type") != "error"), 1)
+    part = part.otherwise(F.col("event_id") % 3)
+    number = F.col("event_id")
+    fields = [
+        [number.alias("v")],
+        [(number + 0.5).alias("v"), F.struct(F.col("user_id").alias("user")).alias("extra")],
+        [
+            F.concat(F.lit("no. "), number.cast("string")).alias("v"),
+            F.struct(F.col("user_id").alias("user"), F.lit("late").alias("note")).alias("extra"),
+        ],
+    ]
+    payload = F.coalesce(
+        *[
+            F.when(part == n, F.to_json(F.struct(number.alias("id"), *more)))
+            for n, more in enumerate(fields)
+        ]
+    )
+    records = kafka_rows(table(spark, sf_dir, "events"), payload)
+    third, wide = F.col("offset") % 3, F.col("topic") == "sensors.error"
+    multiplexed(records, (third == 0, (third == 1) | (third == 2) & ~wide, (third == 2) & wide), work)
+    stored = stored_topics(spark, f"{work}/out")
+    outputs = []
+    for topic, (version, schema) in topic_types(spark, f"{work}/out").items():
+        extra = schema["extra"].dataType.names
+        outputs.append(
+            read_topic(stored, topic, schema).select(
+                "topic",
+                F.lit(version).alias("version"),
+                F.lit(schema["v"].dataType.simpleString()).alias("v_type"),
+                "id",
+                F.col("v").cast("string").alias("v"),
+                F.col("extra.user").alias("extra_user"),
+                (F.col("extra.note") if "note" in extra else F.lit(None)).cast("string").alias("extra_note"),
+            )
+        )
+    return reduce(DataFrame.unionByName, outputs)
+
+
 def untidy_lines(spark, sf_dir, path):
     """Events as lines of JSON, broken where the type is ``error``."""
     line = F.when(

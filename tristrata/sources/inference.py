@@ -43,6 +43,14 @@ def topic_schemas(df: DataFrame, topic: str = "topic", value: str = "value") ->
     return df.groupBy(F.col(topic).alias("topic")).agg(shape.alias("shape"))
 
 
+def shape_type(shape: str | None) -> StructType | None:
+    """The type that a shape of ``schema_of_variant_agg`` names; none if it is no object's."""
+    if shape is None or not shape.startswith("OBJECT<"):
+        return None
+    ddl = _OBJECT.sub(lambda m: "STRUCT<" if m.group() == "OBJECT<" else m.group(), shape)
+    return StructType.fromDDL(f"payload {ddl}")[0].dataType
+
+
 def infer_schemas(
     df: DataFrame, topics: list[str], topic: str = "topic", value: str = "value"
 ) -> dict[str, StructType]:
@@ -54,8 +62,7 @@ def infer_schemas(
     named = df.filter(F.col(topic).isin(topics))
     found = {}
     for row in topic_schemas(named, topic, value).collect():
-        if row.shape is None or not row.shape.startswith("OBJECT<"):
-            continue
-        ddl = _OBJECT.sub(lambda m: "STRUCT<" if m.group() == "OBJECT<" else m.group(), row.shape)
-        found[row.topic] = _as_json_type(StructType.fromDDL(f"payload {ddl}")[0].dataType)
+        kind = shape_type(row.shape)
+        if kind is not None:
+            found[row.topic] = _as_json_type(kind)
     return found
