@@ -1,6 +1,5 @@
 """Structured Streaming: each query runs to the end of its input and gives what it wrote."""
 
-from datetime import timedelta
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
@@ -26,7 +25,12 @@ from tristrata.plans.tables import (
 )
 from tristrata.schemas import BRONZE, BRONZE_KEYS, SILVER_KEYS
 from tristrata.scratch import scratch
-from tristrata.sources.files import read_files, read_json_stream, read_topic_stream
+from tristrata.sources.files import (
+    read_files,
+    read_json_stream,
+    read_parquet_stream,
+    read_topic_stream,
+)
 from tristrata.sources.inference import infer_schemas
 from tristrata.sinks.files import gather
 from tristrata.sinks.merge import any_files, write_target
@@ -74,7 +78,7 @@ def stream_restart(spark, sf_dir):
     late = F.col("offset") % 3 == 0
     for news in (records.filter(~late), records.filter(late), None):
         if news is not None:
-            append_files(news, f"{work}/in", 2)
+            append_files(news, f"{work}/in")
         rows = gather(to_bronze(replay(spark, records, f"{work}/in")), BRONZE_KEYS)
         drain(to_files(rows, f"{work}/out", f"{work}/cp", "json", BRONZE_KEYS, AVAILABLE_NOW))
     return bronze_compared(read_bronze(spark, f"{work}/out"))
@@ -86,11 +90,11 @@ SELECT 3 AS batches, count(*) AS records, count(DISTINCT event_id) AS offsets,
        max(event_id) AS last_offset FROM events"""
 )
 def stream_rate_limit(spark, sf_dir):
-    """Six files, two to a micro-batch: three batches that hold each record once."""
+    """A third of the files to a micro-batch: three batches that hold each record once."""
     work = scratch(spark, "stream-rate-limit")
     records = event_records(spark, sf_dir)
-    append_files(records, f"{work}/in", 6)
-    rows = replay(spark, records, f"{work}/in", max_files=2)
+    append_files(records, f"{work}/in")
+    rows = replay(spark, records, f"{work}/in", batches=3)
     run = to_files(rows, f"{work}/out", f"{work}/cp", trigger=AVAILABLE_NOW)
     drain(run)
     batches = sum(1 for progress in run.recentProgress if progress["numInputRows"])
@@ -316,21 +320,23 @@ FROM events"""
 def stream_dedupe(spark, sf_dir):
     """Records that come twice on a stream, kept once.
 
-    The days come in order, five to a file, each file with the last day of the one before once
+    The days come in order, five to a directory, each with the last day of the one before once
     more. A key is forgotten two days after it, so the state holds a few days, not the table.
     """
     work = scratch(spark, "stream-dedupe")
     records = event_records(spark, sf_dir).drop("value")
-    first, last = records.agg(F.min("timestamp"), F.max("timestamp")).first()
-    start = first
-    while start <= last:
-        end = start + timedelta(days=5)
-        part = records.filter(F.col("timestamp").between(start - timedelta(days=1), end))
-        append_files(part.filter(F.col("timestamp") < end), f"{work}/in", 1)
-        start = end
+    day = F.unix_date(F.to_date("timestamp"))
+    fifth = F.floor(day / 5)
+    again = F.when(day % 5 == 4, fifth + 1)
+    parts = F.explode(F.array_compact(F.array(fifth, again))).alias("part")
+    records.select("*", parts).write.partitionBy("part").parquet(f"{work}/in")
+    written = spark.read.parquet(f"{work}/in")
+    numbers = sorted(row.part for row in written.select("part").distinct().collect())
     keys = ["topic", "partition", "offset"]
-    once = dedupe_stream(replay(spark, records, f"{work}/in"), keys, delay="2 days")
-    drain(to_files(once, f"{work}/out", f"{work}/cp", trigger=AVAILABLE_NOW))
+    for number in numbers:  # one run of the query for each directory, in the days' order
+        rows = read_parquet_stream(spark, f"{work}/in/part={number}", records.schema)
+        once = dedupe_stream(rows, keys, delay="2 days")
+        drain(to_files(once, f"{work}/out", f"{work}/cp", trigger=AVAILABLE_NOW))
     return spark.read.parquet(f"{work}/out").withColumns(ntz("timestamp"))
 
 
@@ -342,23 +348,23 @@ def stream_merge(spark, sf_dir):
     state = first_state(table(spark, sf_dir, "events"))
     write_target(state, f"{work}/state", "overwrite", ["event_type"])
     changes = table(spark, sf_dir, "events").select(*names).filter("event_type <> 'error'")
-    dates = changes.agg(*[F.percentile_approx(F.col("ts").cast("date").cast("timestamp").cast("long"), p) for p in (0.4, 0.7)])
-    low, high = dates.first()
     at = F.col("ts").cast("timestamp").cast("long")
+    midnight = F.col("ts").cast("date").cast("timestamp").cast("long")
+    low, high = changes.agg(*[F.percentile_approx(midnight, p) for p in (0.4, 0.7)]).first()
     for part in (at >= high, (at >= low) & (at < high), at < low):
-        append_files(changes.filter(part), f"{work}/in", 1)
-    changes = replay(spark, changes, f"{work}/in")
-    drain(
-        merge_stream(
-            changes,
-            f"{work}/state",
-            ["event_type", "user_id"],
-            ["ts", "event_id"],
-            ["event_type"],
-            f"{work}/cp",
-            AVAILABLE_NOW,
+        changes.filter(part).write.mode("append").parquet(f"{work}/in")
+        rows = read_parquet_stream(spark, f"{work}/in", changes.schema)
+        drain(
+            merge_stream(
+                rows,
+                f"{work}/state",
+                ["event_type", "user_id"],
+                ["ts", "event_id"],
+                ["event_type"],
+                f"{work}/cp",
+                AVAILABLE_NOW,
+            )
         )
-    )
     return spark.read.parquet(f"{work}/state")
 
 

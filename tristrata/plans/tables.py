@@ -17,18 +17,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Files that a table is replayed from, one to a micro-batch.
-REPLAY_FILES = 4
-
-
-def append_files(rows: DataFrame, path: str, files: int = REPLAY_FILES) -> None:
-    """Add rows to the input of a stream, as several files."""
-    rows.repartition(files).write.mode("append").parquet(path)
-
-
-def replay(spark: SparkSession, rows: DataFrame, path: str, max_files: int = 1) -> DataFrame:
-    """The files of ``append_files`` as a stream of bounded micro-batches."""
-    return read_parquet_stream(spark, path, rows.schema, max_files=max_files)
+# Micro-batches that a table is replayed in, and directories that its files are dealt out to.
+BATCHES = 4
+SLOTS = 8
+
+
+def append_files(rows: DataFrame, path: str, slots: int = SLOTS) -> None:
+    """Add rows to the input of a stream. Every task writes a file to each slot, so there are
+    several files however few tasks there are, and as many tasks as the rows have."""
+    slot = F.pmod(F.xxhash64(*rows.columns), F.lit(slots))
+    rows.withColumn("slot", slot).write.mode("append").partitionBy("slot").parquet(path)
+
+
+def replay(
+    spark: SparkSession, rows: DataFrame, path: str, batches: int | None = BATCHES
+) -> DataFrame:
+    """The files of ``append_files`` as a stream of so many micro-batches of equally many files."""
+    # Slots are no columns: files are looked for in all directories below.
+    options = {"recursiveFileLookup": "true"}
+    files = len(spark.read.options(**options).schema(rows.schema).parquet(path).inputFiles())
+    return read_parquet_stream(
+        spark, path, rows.schema, max_files=batches and -(-files // batches), **options
+    )
 
 
 def replayed(rows: DataFrame, path: str) -> DataFrame:
