@@ -86,6 +86,35 @@ def test_salvage_of_plain_and_compressed_archives():
     assert summary(records[0].replace(b"Length: ", b"Length: 1", 1) + records[1]) == ["gap", 1]
 
 
+def test_a_cut_at_any_byte_is_a_gap_and_nothing_else_is_lost():
+    records = [record(k, b"payload %d " % k * 3) for k in range(3)]
+    for pack in (bytes, gzip.compress):
+        parts = [pack(r) for r in records]
+        for cut in range(1, len(parts[1])):
+            found = list(warc.salvage(parts[0] + parts[1][:cut] + parts[2]))
+            assert [(f[0], f[1], f[2]) for f in found] == [
+                ("record", 0, len(parts[0])),
+                ("gap", len(parts[0]), cut),
+                ("record", len(parts[0]) + cut, len(parts[2])),
+            ]
+            assert found[2][3]["x-page-id"] == "2"
+
+
+def test_a_value_may_end_as_a_version_line():
+    good = record(1, b"x").replace(b"X-Page-Id", b"WARC-Target-URI: http://a/WARC/1.1\r\nX-Page-Id")
+    assert summary(good + record(2, b"y")) == [1, 2]
+
+
+def test_ids_of_text(spark):
+    df = spark.createDataFrame([("a", "u", "x"), ("b", "u", "x"), (None, "u", "")], "page_id string, url string, html string")
+    path = scratch(spark, "warc-test")
+    warc.write(df, path)
+    back = warc.read(spark, path)
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.pages_of(back, "string").collect()}
+    assert got == {"a": ("revisit", "b"), "b": ("response", None), None: ("response", None)}
+    assert {r.page_id for r in warc.pages_of(back).collect()} == {None}
+
+
 def test_random_damage_never_raises():
     rng = random.Random(3)
     data = b"".join(gzip.compress(record(k, b"x" * 40)) if k % 2 else record(k, b"y" * 40) for k in range(10))

@@ -142,6 +142,7 @@ VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
 #: Bytes that a gzip member is fed at once.
 FEED = 1 << 16
+INNER = re.compile(rb"WARC/1\.[01]$")
 HEADER_END = re.compile(rb"\r?\n\r?\n")
 
 
@@ -161,12 +162,19 @@ def plain_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     end = HEADER_END.search(data, version.end() - 2)
     if not end:
         raise Bad("header without end")
-    header = {}
+    header, before = {}, frozenset()
     for raw in data[version.end() : end.start()].splitlines():
         name, colon, value = raw.partition(b":")
         if not colon:
             raise Bad("broken header line")
-        header[name.strip().decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
+        field = name.strip().decode("latin-1").lower()
+        if field in before:
+            raise Bad("version line inside the header")
+        header[field] = value.strip().decode("utf-8", "replace")
+        # A value may end as a version line does; what comes behind one of the next record repeats
+        # the fields in front of it.
+        if INNER.search(raw):
+            before = frozenset(header)
     length = header.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         raise Bad("no content length")
@@ -284,23 +292,24 @@ def gaps(read_back: DataFrame) -> DataFrame:
     return read_back.where("kind = 'gap'").select("file", "offset", "length", "reason")
 
 
-def pages_of(read_back: DataFrame) -> DataFrame:
+def pages_of(read_back: DataFrame, id_type: str = "long") -> DataFrame:
     """``page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload``.
 
-    A revisit holds no payload; its size and digest are those its header states.
+    A revisit holds no payload; its size and digest are those its header states. Ids are given as
+    ``id_type``, and as null where they are none of that type; ``string`` takes all.
     """
     header = F.col("header")
     revisit = header["warc-type"] == "revisit"
     stated = F.regexp_replace(header["warc-payload-digest"], "^[Ss][Hh][Aa]1:", "")
     return read_back.where("kind = 'record'").select(
-        header["x-page-id"].cast("long").alias("page_id"),
+        header["x-page-id"].try_cast(id_type).alias("page_id"),
         header["warc-target-uri"].alias("url"),
         header["warc-type"].alias("record_type"),
-        F.when(revisit, header["x-payload-bytes"].cast("long"))
+        F.when(revisit, header["x-payload-bytes"].try_cast("long"))
         .otherwise(F.col("payload_bytes"))
         .alias("payload_bytes"),
         F.when(revisit, stated).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        F.when(revisit, F.regexp_extract(header["warc-refers-to"], r"<urn:x-page:(-?\d+)>", 1).try_cast("long"))
+        F.when(revisit, F.regexp_extract(header["warc-refers-to"], r"<urn:x-page:(.*)>", 1).try_cast(id_type))
         .alias("refers_to"),
         "payload",
     )
