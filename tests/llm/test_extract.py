@@ -75,6 +75,50 @@ def test_a_word_of_class_or_id_does_not_decide_alone():
         assert text_of(page).split("\n") == [LONG, "The end, at last."], page
 
 
+STORY = f"<h2>Title</h2><p>{LONG} {LONG}</p><p>Short.</p><p>{LONG}</p>"
+SMALL = "<h3>More</h3><p>Some words</p><p>Few words, here</p>"
+
+
+def test_scores_choose_where_no_word_is_known(monkeypatch):
+    """Frame and content differ by class only, and the classes say nothing."""
+    links = "<ul><li><a href=x>One linked title</a> 3 min</li><li><a href=y>Other</a> 5 min</li></ul>"
+    for frame in (SMALL, links, "<p>Part of the Example network</p>", "<p>Printed 12 times</p><p>Issue 7</p>"):
+        for page in (
+            f"<body><div class=x1>{frame}</div><div class=x2>{STORY}</div><div class=x3>{frame}</div></body>",
+            f"<body><div><div class=x1>{frame}</div></div><div><div class=x2>{STORY}</div></div></body>",
+            f"<body><div class=x1>{frame}{frame}</div><article class=x2>{STORY}</article></body>",
+        ):
+            assert text_of(page).split("\n") == ["Title", f"{LONG} {LONG}", "Short.", LONG], page
+            with monkeypatch.context() as patch:
+                patch.setattr(extract, "SCORE_SHARE", 0.0)
+                assert text_of(page).split("\n") != ["Title", f"{LONG} {LONG}", "Short.", LONG]
+
+
+def test_names_of_classes_do_not_make_the_result():
+    page = f"""<body><div class="%0"><p>Some words</p></div><div class="%1"><div class="%2">{STORY}</div>
+    <div class="%2"><p>{LONG}</p></div></div><div class="%3"><a href=x>Next</a> <a href=y>Last</a></div></body>"""
+
+    def under(*names):
+        text = page
+        for k, name in enumerate(names):
+            text = text.replace(f"%{k}", name)
+        return text_of(text)
+
+    want = under("notice", "content", "story", "pager")
+    assert want.split("\n") == ["Title", f"{LONG} {LONG}", "Short.", LONG, LONG]
+    assert under("x1", "x2", "x3", "x4") == under("colophon", "a", "b", "c") == want
+
+
+def test_two_columns_of_text_both_stay():
+    page = f"<body><div class=a><p>{LONG}</p><p>One.</p></div><div class=b><p>{LONG}</p><p>Two.</p></div></body>"
+    assert text_of(page).split("\n") == [LONG, "One.", LONG, "Two."]
+
+
+def test_frame_alone_is_no_article():
+    assert text_of(f'<body><div class="ad">{LONG}</div><article></article></body>') == ""
+    assert text_of('<body><div class="pager"><a href=x>Next</a></div></body>') == ""
+
+
 def test_empty_elements_hold_nothing():
     for tag in ("<svg/>", "<object data='x'/>", '<div class="ad" />', "<canvas />", "<iframe src='x' />"):
         assert text_of(f"<article><p>{LONG}</p>{tag}<p>The end.</p></article>").split("\n") == [LONG, "The end."]

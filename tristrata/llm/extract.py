@@ -1,16 +1,19 @@
 """Main text of HTML pages by tag-path ratios.
 
-A page is read into blocks of text, each with its root-to-leaf path of block-level tags. Menus,
-headers, footers, sidebars, notices, adverts, forms and comments that say so by tag, role, class
-or id are no candidates. What only a word of its class or id marks is one where the word may name a
-chapter or product (inside an article or main: wherever other words stand beside it), unless most of
-its text is links; a section whose id is such a word alone must also be followed by more text.
-Headings and paragraphs are text whatever their class or id. For every path of a page the length of text and the number of
-punctuation marks per block are taken, smoothed over neighbouring blocks in page order, and
-fused into one score. Paths whose score reaches a share of the page's mean, weighted by length,
-are content paths. Their lowest common container is the content's root, but no list, quote, table
-or section, and nothing inside an article or main element. All blocks below the root are the main
-text; only blocks that are nothing but links and whose path is no content path are left out.
+A page is read into blocks of text, each with its root-to-leaf path of block-level tags and their
+classes. Elements that the markup itself sets apart (menus, headers, footers, sidebars, forms, what
+is hidden) are no candidates. For every path the length of text and the number of punctuation marks
+per block are taken, smoothed over neighbouring blocks of one container, and fused into one score with
+three votes: the share of text that is no link, whether words of class or id speak of frame, and
+whether the page has an article or main element that the path is not in. Paths whose score reaches a
+share of the page's mean are content paths.
+
+A word of class or id is a vote where it cannot name a chapter or product (inside an article or
+main: wherever no other words stand beside it), or most of its element's text is links; a section
+whose id is such a word alone must also be the last. Headings and paragraphs have no such votes.
+The main text is the blocks on content paths, and with them those that share their container (an
+article or main element as a whole) and have no vote against them, unless they are nothing but
+links; a heading goes with the block that it stands over.
 
 Defined results: null or empty html, or html without text, gives an empty text; markup that is
 cut short or badly nested is read as far as it goes; character references that are none stay as
@@ -38,6 +41,9 @@ SCORE_SHARE = 0.25
 #: Weights of the block itself and its neighbours on either side.
 SMOOTH = (0.25, 0.5, 0.25)
 LINKS_ONLY = 0.9
+#: What a word of class or id leaves of a path's score, and what a place outside the page's article.
+WORD_VOTE = 0.05
+PLACE_VOTE = 0.2
 #: What a class or id may take for frame is frame when this share of its text is links.
 LINKS_MOST = 0.5
 
@@ -112,11 +118,13 @@ NONE, LINKED, LAST, FRAMED = range(4)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TEXT_TAGS = HEADINGS | {"p"}
 FRAME_TAGS = frozenset(["html", "body", "main", "article"])
-#: Elements that may be the content's root, and those that nothing inside them replaces.
+#: Elements that hold content together, and those that do so whatever is inside them.
 CONTAINERS = FRAME_TAGS | {"div", "center"}
 WHOLE = frozenset(["main", "article"])
+PAGE = frozenset(["html", "body"])
 
 Owner = tuple[int, int, str]
+Block = tuple[str, str, int, float]
 
 
 def named_otherwise(name: str, attrs: str) -> bool:
@@ -164,12 +172,23 @@ def word_mark(name: str, attrs: str, inside: bool) -> int:
     return mark
 
 
-def blocks_of(page: str) -> list[tuple[str, str, int]]:
-    """``(path, text, characters inside links)`` of each block of candidate text, in order."""
+def class_of(attrs: str) -> str:
+    """The class as a part of a path's element."""
+    for key, value in ATTR.findall(attrs):
+        if key.lower() == "class":
+            words = value.strip("\"'").lower().replace("/", "_").split()
+            return "".join(f".{word}" for word in words)
+    return ""
+
+
+def blocks_of(page: str) -> list[Block]:
+    """``(path, text, characters inside links, vote of words)`` of each block of candidate text, in
+    order."""
     out: list[tuple[str, str, int]] = []
     # Open block elements, whether they are left out, and the marked element that they belong to
     # by its number, mark and parent's path.
     stack: list[tuple[str, bool, Owner | None]] = []
+    path: list[str] = []
     owners: list[Owner | None] = []
     parts: list[str] = []
     links = [0, 0]  # open links, and characters in links of this block
@@ -180,7 +199,7 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(("/".join(name for name, _, _ in stack), text, links[1]))
+                out.append(("/".join(path), text, links[1]))
                 owners.append(stack[-1][2] if stack else None)
             parts.clear()
         links[1] = 0
@@ -189,7 +208,7 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
         nonlocal off
         for _, bad, _ in stack[at:]:
             off -= bad
-        del stack[at:]
+        del stack[at:], path[at:]
 
     at, end = 0, len(page)
     while at < end:
@@ -237,7 +256,6 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
             mark = word_mark(name, attrs, inside)
         else:
             mark = NONE
-        bad = bad or mark == FRAMED
         if empty and (bad or mark or name not in BLOCKS):
             continue
         if name in BLOCKS or name in NOT_CONTENT:
@@ -252,21 +270,22 @@ def blocks_of(page: str) -> list[tuple[str, str, int]]:
             links[0], inline_off = 0, []
             owner = stack[-1][2] if stack else None
             if mark > (owner[1] if owner else NONE):
-                owner = (at, mark, "/".join(n for n, _, _ in stack))
+                owner = (at, mark, "/".join(path))
             stack.append((name, bad, owner))
+            path.append(name + class_of(attrs))
             off += bad
-        elif bad:
+        elif bad or mark == FRAMED:
+            # Inline elements have no path to score.
             inline_off.append(name)
         elif name == "a":
             links[0] = 1
     flush()
-    return without_frame(out, owners)
+    votes = word_votes(out, owners)
+    return [(*block, vote) for block, vote in zip(out, votes)]
 
 
-def without_frame(
-    blocks: list[tuple[str, str, int]], owners: list[Owner | None]
-) -> list[tuple[str, str, int]]:
-    """The blocks that belong to no marked element, or to one that its links and place clear."""
+def word_votes(blocks: list[tuple[str, str, int]], owners: list[Owner | None]) -> list[float]:
+    """1 for a block that belongs to no marked element, or to one that its links and place clear."""
     sums: dict[Owner, list[int]] = defaultdict(lambda: [0, 0, 0])
     for k, ((_, text, linked), owner) in enumerate(zip(blocks, owners)):
         if owner:
@@ -282,53 +301,94 @@ def without_frame(
     cleared = {None}
     for owner, (linked, size, last) in sums.items():
         _, mark, parent = owner
-        if linked < LINKS_MOST * size and (mark == LINKED or ends.get(parent, -1) > last):
+        followed = mark == LAST and ends.get(parent, -1) > last
+        if linked < LINKS_MOST * size and (mark == LINKED or followed):
             cleared.add(owner)
-    return [block for block, owner in zip(blocks, owners) if owner in cleared]
-
-
-def path_scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:
-    """Each path's fused ratio: text length times punctuation per block, both smoothed."""
-    paths = [p for p, _, _ in blocks]
-    sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(3))
-    for path, text, _ in blocks:
-        sums[path] += (1, len(text), len(PUNCTUATION.findall(text)))
-    ratio = np.array([sums[p][1:] / sums[p][0] for p in paths])
-    padded = np.concatenate([ratio[:1], ratio, ratio[-1:]])
-    smooth = SMOOTH[0] * padded[:-2] + SMOOTH[1] * padded[1:-1] + SMOOTH[2] * padded[2:]
-    fused = np.sqrt(smooth[:, 0] * (smooth[:, 1] + 0.1))
-    totals: dict[str, list[float]] = defaultdict(list)
-    for path, score in zip(paths, fused.tolist()):
-        totals[path].append(score)
-    return {path: sum(v) / len(v) for path, v in totals.items()}
+    return [1.0 if owner in cleared else WORD_VOTE for owner in owners]
+
+
+def tag(name: str) -> str:
+    """A path's element without its class."""
+    return name.split(".", 1)[0]
+
 
+def whole_of(path: str) -> str | None:
+    """The outermost article or main element of a path."""
+    names = path.split("/")
+    at = next((k for k, name in enumerate(names) if tag(name) in WHOLE), None)
+    return None if at is None else "/".join(names[: at + 1])
 
-def root_of(paths: set[str]) -> str:
-    """The outermost article or main around all paths, or else their lowest container."""
-    # The leaf itself is no root: one paragraph is not the whole article.
-    levels = zip(*(p.split("/")[:-1] for p in paths))
-    common = [names[0] for names in takewhile(lambda names: len(set(names)) == 1, levels)]
-    whole = next((k for k, name in enumerate(common) if name in WHOLE), None)
-    if whole is not None:
-        return "/".join(common[: whole + 1])
-    return "/".join(takewhile(CONTAINERS.__contains__, common))
 
+def container_of(path: str) -> str:
+    return "/".join(takewhile(lambda name: tag(name) in CONTAINERS, path.split("/")))
 
-def main_blocks(blocks: list[tuple[str, str, int]]) -> list[str]:
+
+def path_scores(blocks: list[Block]) -> tuple[dict[tuple[str, float], float], float]:
+    """The fused score of each path (and vote of words), and the page's mean score. The mean
+    weighs a path by its length of text times its votes, so that frame does not lower the bar."""
+    keys = [(path, vote) for path, _, _, vote in blocks]
+    sums: dict[tuple[str, float], np.ndarray] = defaultdict(lambda: np.zeros(5))
+    for key, (_, text, linked, _) in zip(keys, blocks):
+        filled = len("".join(text.split()))
+        sums[key] += (1, len(text), len(PUNCTUATION.findall(text)), linked, filled)
+    ratio = np.array([sums[k][1:3] / sums[k][0] for k in keys])
+    # Only neighbours in one container lend to each other.
+    homes = [container_of(path) for path, _ in keys]
+    same = np.array([a == b for a, b in zip(homes, homes[1:])], dtype=bool)[:, None]
+    before, after = ratio.copy(), ratio.copy()
+    before[1:] = np.where(same, ratio[:-1], ratio[1:])
+    after[:-1] = np.where(same, ratio[1:], ratio[:-1])
+    smooth = SMOOTH[0] * before + SMOOTH[1] * ratio + SMOOTH[2] * after
+    fused = np.sqrt(smooth[:, 0] * (smooth[:, 1] + 0.1))
+    totals: dict[tuple[str, float], float] = defaultdict(float)
+    for key, score in zip(keys, fused.tolist()):
+        totals[key] += score
+    has_whole = any(whole_of(path) is not None for path, _ in sums)
+    scores, mean, weights = {}, 0.0, 0.0
+    for key, (count, length, _, linked, filled) in sums.items():
+        path, vote = key
+        vote *= max(1 - linked / filled, 0.0)
+        if has_whole and whole_of(path) is None:
+            vote *= PLACE_VOTE
+        scores[key] = totals[key] / count * vote
+        mean += scores[key] * length * vote
+        weights += length * vote
+    return scores, mean / weights if weights else 0.0
+
+
+def main_blocks(blocks: list[Block]) -> list[str]:
     if not blocks:
         return []
-    scores = path_scores(blocks)
-    size = sum(len(t) for _, t, _ in blocks)
-    mean = sum(scores[p] * len(t) for p, t, _ in blocks) / size
-    content = {p for p, s in scores.items() if s >= SCORE_SHARE * mean}
-    root = root_of(content)
-    out = []
-    for path, text, linked in blocks:
-        inside = not root or path == root or path.startswith(root + "/")
+    scores, mean = path_scores(blocks)
+    content = {key for key, score in scores.items() if score >= SCORE_SHARE * mean}
+    # Where words speak against all that has a score, the page has no article.
+    if all(vote < 1.0 or not scores[path, vote] for path, vote in content):
+        content = {(path, vote) for path, vote in content if vote == 1.0}
+    homes: set[str] = set()
+    for path, vote in content:
+        if vote == 1.0 and tag(path.rsplit("/", 1)[-1]) not in HEADINGS:
+            homes |= {container_of(path), whole_of(path) or ""}
+
+    def at_home(path: str) -> bool:
+        home = container_of(path)
+        if home in homes and (home or not path or path in TEXT_TAGS):
+            return True
+        names = home.split("/")
+        above = ("/".join(names[:k]) for k in range(len(names), 0, -1))
+        return any(h in homes and tag(h.rsplit("/", 1)[-1]) not in PAGE for h in above)
+
+    kept = []
+    for path, text, linked, vote in blocks:
         only_links = linked >= LINKS_ONLY * len("".join(text.split()))
-        if inside and (path in content or not only_links):
-            out.append(text)
-    return out
+        kept.append((path, vote) in content or (vote == 1.0 and not only_links and at_home(path)))
+    below = False
+    for k in range(len(blocks) - 1, -1, -1):
+        path, _, _, vote = blocks[k]
+        if tag(path.rsplit("/", 1)[-1]) in HEADINGS and vote == 1.0:
+            kept[k] = kept[k] or below
+        else:
+            below = kept[k]
+    return [block[1] for block, keep in zip(blocks, kept) if keep]
 
 
 def extract(
