@@ -361,7 +361,9 @@ def profile_overlap(spark, sf_dir):
             F.count_if(F.col("a") & F.col("b")).alias("ab"),
             F.count(F.lit(1)).alias("any"),
         )
-        both = got.withColumn("key", F.lit(key)).join(exact.withColumn("key", F.lit(key)), "key")
+        # Both sides are one row: the rows are put together without a join.
+        pair = got.unionByName(exact, allowMissingColumns=True)
+        both = pair.agg(F.lit(key).alias("key"), *[F.max(c).alias(c) for c in pair.columns])
 
         def near(estimate, truth):
             return F.abs(F.col(estimate) - F.col(truth)) <= OVERLAP_ERROR * F.col("any")
