@@ -50,6 +50,45 @@ def test_small_payloads_are_not_revisited(spark):
     assert got == {1: "response", 2: "response", 3: "revisit", 4: "response"}
 
 
+def test_files_are_cut_by_bytes(spark, tmp_path):
+    sizes = [10, 40_000, 10, 90_000, 10, 10, 200_000, 10] * 5
+    rows = [(k, "u", f"{k}:" + "x" * n) for k, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write(df, str(tmp_path / "cut"), file_bytes=100_000)
+    files = sorted((tmp_path / "cut").rglob("part-*"))
+    assert len(files) > 10
+    assert max(f.stat().st_size for f in files) < 100_000 + 200_000 + 2_000
+    back = warc.read(spark, str(tmp_path / "cut"))
+    assert warc.gaps(back).count() == 0
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.pages_of(back).collect()}
+    assert got == {k: html for k, _, html in rows}
+
+
+def test_damaged_copy_of_an_archive(spark, tmp_path):
+    """A stated part of the records is damaged: all others come back, and gaps hold every byte cut."""
+    rows = [(k, f"u{k}", f"<p>page {k} " + "word " * (k % 50)) for k in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    warc.write(df, str(tmp_path / "whole"))
+    damaged, bad = tmp_path / "damaged", set()
+    damaged.mkdir()
+    lost = 0
+    for number, f in enumerate(sorted((tmp_path / "whole").rglob("part-*"))):
+        out = b""
+        for kind, at, size, header, block in warc.salvage(f.read_bytes()):
+            record, page = f.read_bytes()[at : at + size], int(header["x-page-id"])
+            if page % 7 == 0:
+                bad.add(page)
+                middle = len(record) - len(block) // 2 - 4
+                record = record[:middle] + b"#" + record[middle + 1 :] if page % 2 else record[:middle]
+                lost += len(record)
+            out += record
+        (damaged / f"{number}.warc").write_bytes(out)
+    back = warc.read(spark, str(damaged))
+    got = {r.page_id for r in warc.pages_of(back).collect()}
+    assert bad and got == {k for k, _, _ in rows} - bad
+    assert warc.gaps(back).agg(F.sum("length")).first()[0] == lost
+
+
 def test_empty_table(spark):
     path = scratch(spark, "warc-test")
     warc.write(spark.createDataFrame([], SCHEMA), path)

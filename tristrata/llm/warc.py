@@ -25,6 +25,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,8 @@ from tristrata.scratch import staged
 #: Smallest payload that can be revisited, in bytes.
 LEAST = 0
 SALTS = 16
-#: Records of one file.
-RECORDS = 5_000
+#: A file ends with the record that reaches this many bytes.
+FILE_BYTES = 64 << 20
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 #: Digits of base 32 as ``conv`` writes them, and as RFC 4648 does.
@@ -131,10 +132,27 @@ def records(
     return rows.select(F.concat(header, F.col("block"), F.lit(CRLF)).alias("record"))
 
 
-def write(pages: DataFrame, path: str, **columns) -> None:
-    """Write the pages' records below ``path``."""
-    rows = records(pages, **columns)
-    rows.write.option("lineSep", CRLF).option("maxRecordsPerFile", RECORDS).text(path)
+def file_number(file_bytes: int):
+    """For sizes of records, the number of the file within the task, by their running sum."""
+
+    def number(sizes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        done = 0
+        for own in sizes:
+            ends = own.cumsum() + done
+            yield (ends - own) // file_bytes
+            done = int(ends.iloc[-1]) if len(ends) else done
+
+    return F.pandas_udf(number, "long").asNondeterministic()
+
+
+def write(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, **columns) -> None:
+    """Write the pages' records below ``path``, in files of ``file_bytes`` and one record at most.
+
+    Only the sizes of the records go through Python; the records stay in their tasks.
+    """
+    size = F.octet_length("record").cast("long") + len(CRLF)
+    rows = records(pages, **columns).withColumn("file", file_number(file_bytes)(size))
+    rows.write.partitionBy("file").option("lineSep", CRLF).text(path)
 
 
 VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
