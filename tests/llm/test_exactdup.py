@@ -38,6 +38,15 @@ def test_groups_match_brute_force(spark):
     assert sorted(left) == sorted({lowered(b) for _, b in rows})
 
 
+def test_many_groups_are_joined_by_salt(spark, monkeypatch):
+    rows = [(k, f"text {k % 40}") for k in range(100)] + [(200 + k, "hot") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keep = ["doc_id", "keep_id", "group_size", "kept"]
+    few = sorted(tuple(r) for r in exactdup.refine(df).select(keep).collect())
+    monkeypatch.setattr(exactdup, "BROADCAST_KEYS", 0)
+    assert sorted(tuple(r) for r in exactdup.refine(df).select(keep).collect()) == few == sorted(brute(rows))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert exactdup.refine(df).count() == 0

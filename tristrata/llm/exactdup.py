@@ -4,8 +4,12 @@ Rows are grouped by the length of their text, then by a hash of its first charac
 rows whose (length, prefix) group has more than one row have their whole text hashed (SHA-256).
 Texts are equal when they are identical after A-Z are lower-cased; null counts as empty.
 
+Only the narrow keys of the rows are refined. Texts are read again for the surviving groups
+alone: where the groups are few enough to be broadcast (counted, ``BROADCAST_KEYS``) no text
+moves; beyond that the texts meet the groups in a salted join.
+
 A hot group (a third of all rows may be copies of one text) is never gathered: counts are
-combined inside the tasks before they are shuffled, and every join back to the rows has a salt,
+combined inside the tasks before they are shuffled, and every join that shuffles rows has a salt,
 so that the rows of a hot key spread over several tasks.
 
 Defined results: an empty table gives an empty result; a null id is smaller than every other id
@@ -26,6 +30,8 @@ from tristrata.scratch import staged
 PREFIX_CHARS = 256
 #: Tasks that one hot key is spread over in joins.
 SALTS = 32
+#: Most surviving groups (12 bytes each) that are sent to all tasks.
+BROADCAST_KEYS = 500_000
 
 
 def text_digest(text: Column) -> Column:
@@ -68,7 +74,11 @@ def refine(
         .where("count > 1")
         .select("len", "pre")
     )
-    survivors = salted(prefixes, SALTS).withColumn("survives", F.lit(True))
+    prefixes = staged(prefixes.withColumn("survives", F.lit(True)), "prefixes")
+    if prefixes.count() <= BROADCAST_KEYS:
+        survivors, keys = F.broadcast(prefixes), ["len", "pre"]
+    else:
+        survivors, keys = salted(prefixes, SALTS), ["len", "pre", "salt"]
     rows = staged(
         docs.select(
             F.col(id_col).alias("doc_id"),
@@ -78,7 +88,7 @@ def refine(
             salt.alias("salt"),
             *[column.alias(name) for name, column in carry.items()],
         )
-        .join(survivors, ["len", "pre", "salt"], "left")
+        .join(survivors, keys, "left")
         .select(
             "doc_id",
             "len",
