@@ -54,6 +54,25 @@ def test_texts_and_edge_cases(frame):
     assert kept.columns == df.columns and kept.count() == 6
 
 
+def test_more_languages_than_a_block(frame, monkeypatch):
+    monkeypatch.setattr(langid, "BLOCK", 2)
+    few = learned(frame)
+    assert [b.value.shape[0] for b in few.logs] == [2, 1]
+    df = frame([(k, texts(lang, 30, 90 + k)) for k, lang in enumerate(PARTS)], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.identify(df, few).orderBy("doc_id").collect()] == list(PARTS)
+
+
+def test_hundreds_of_languages(frame):
+    rng = random.Random(7)
+    parts = {f"l{k:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(12)] for k in range(300)}
+    rows = [(k, " ".join(rng.choices(w, k=60)), lang) for k, (lang, w) in enumerate(parts.items())]
+    model = langid.train(frame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == sorted(parts) and len(model.logs) == 5
+    asked = frame([(lang, " ".join(rng.choices(w, k=30))) for lang, w in parts.items()], "name string, text string")
+    got = langid.identify(asked, model, spans=False).collect()
+    assert len(got) == 300 and all(r.lang_pred == r.name for r in got)
+
+
 def test_nothing_to_learn_from(frame):
     empty = frame([], "doc_id long, text string, lang string")
     model = langid.train(empty)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,23 +98,31 @@ def partial_sums(sums: dict[str, np.ndarray]) -> pa.RecordBatch:
 SUMS = "key string, part long, vec binary"
 
 
+def added(rows: pa.Table) -> pa.Table:
+    """The sum of the rows of one key, as such a row."""
+    total = None
+    for v in rows.column("vec").to_pylist():
+        v = np.frombuffer(v, "<f8")
+        total = v.copy() if total is None else total + v
+    return pa.table(
+        {
+            "key": pa.array([rows.column("key")[0].as_py()], pa.string()),
+            "part": pa.array([0], pa.int64()),
+            "vec": pa.array([total.tobytes()], pa.binary()),
+        }
+    )
+
+
+def sums_by_key(
+    partials: DataFrame, finish: Callable[[pa.Table], pa.Table] = added, schema: str = SUMS
+) -> DataFrame:
+    """What ``finish`` makes of each key's rows. Tasks' sums are added on executors on two levels
+    before, so that what one task gets does not grow with the partitions times the keys."""
+    first = partials.groupBy("key", F.pmod("part", F.lit(SUM_SLOTS))).applyInArrow(added, SUMS)
+    return first.groupBy("key").applyInArrow(finish, schema)
+
+
 def summed(partials: DataFrame) -> dict[str, np.ndarray]:
-    """The sum for each key. Tasks' sums are added on executors on two levels, so that what
-    one task or the driver gets does not grow with the number of partitions times the keys."""
-
-    def add(rows: pa.Table) -> pa.Table:
-        total = None
-        for v in rows.column("vec").to_pylist():
-            v = np.frombuffer(v, "<f8")
-            total = v.copy() if total is None else total + v
-        return pa.table(
-            {
-                "key": pa.array([rows.column("key")[0].as_py()], pa.string()),
-                "part": pa.array([0], pa.int64()),
-                "vec": pa.array([total.tobytes()], pa.binary()),
-            }
-        )
-
-    first = partials.groupBy("key", F.pmod("part", F.lit(SUM_SLOTS))).applyInArrow(add, SUMS)
-    whole = first.groupBy("key").applyInArrow(add, SUMS)
-    return {r.key: np.frombuffer(r.vec, "<f8") for r in whole.select("key", "vec").collect()}
+    """The sum for each key, on the driver; for a fixed number of keys."""
+    whole = sums_by_key(partials).select("key", "vec")
+    return {r.key: np.frombuffer(r.vec, "<f8") for r in whole.collect()}

@@ -11,7 +11,9 @@ and its share of the letters is the score.
 Defined results: a null text and one without a letter are ``und`` with score 0 and no spans; an
 empty table gives an empty result; with nothing to learn from everything is ``und``; ties go to
 the language that sorts first. Rows are handled one by one, so repeated rows get equal results.
-Each text must fit into a task; memory is bounded by pieces of texts, not by partitions.
+Each text must fit into a task; memory is bounded by pieces of texts, not by partitions. The
+number of languages is not limited: their tables are rows that executors make, and the driver and
+the tasks hold a block of ``BLOCK`` languages at a time.
 """
 
 from __future__ import annotations
@@ -22,12 +24,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tristrata.llm.arrowtext import SUMS, partial_sums, pieces, summed, word_table, words
+from tristrata.llm.arrowtext import (
+    PIECE_BYTES,
+    SUMS,
+    added,
+    partial_sums,
+    pieces,
+    sums_by_key,
+    word_table,
+    words,
+)
 from tristrata.llm.common import apart, together
+from tristrata.scratch import staged
 
 #: Slots of each of the three hashed tables.
 SLOTS = 1 << 15
@@ -37,8 +50,10 @@ SWITCH = 9.0
 WORD_LIMIT = 6.0
 #: A language uses a script that makes up this share of its words at least.
 SCRIPT_SHARE = 0.001
-#: The model has a table for each language; more labels than this are refused.
-MAX_LANGUAGES = 256
+#: Languages whose tables are in memory at once (25 MB).
+BLOCK = 64
+#: Slots of a row of a language's tables.
+CUT = 1 << 10
 
 #: First code points of ranges and their script (Unicode blocks; fixed values).
 SCRIPTS = [
@@ -78,8 +93,8 @@ WIDTH = 3 * SLOTS + len(SCRIPT_NAMES)
 @dataclass
 class Model:
     langs: list[str]
-    #: languages x 3 tables of log likelihoods
-    logs: np.ndarray
+    #: For each ``BLOCK`` languages: languages x 3 tables of log likelihoods.
+    logs: list[Broadcast]
     #: languages x scripts, whether the language uses the script
     scripts: np.ndarray
     prior: np.ndarray
@@ -156,21 +171,43 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
                 use = np.bincount(scripts, weights=seen, minlength=len(SCRIPT_NAMES))
                 one = np.concatenate([grams, use])
                 sums[lang] = sums[lang] + one if lang in sums else one
+            if len(sums) >= BLOCK:
+                yield partial_sums(sums)
+                sums = {}
         yield partial_sums(sums)
 
+    def likelihoods(sums: pa.Table) -> pa.Table:
+        """The tables of one language in rows of ``CUT`` slots, and its words by script."""
+        whole = added(sums)
+        counts = np.frombuffer(whole.column("vec")[0].as_py(), "<f8")
+        grams = counts[: 3 * SLOTS].reshape(3, SLOTS) + 0.2
+        logs = np.log(grams / grams.sum(1, keepdims=True)).astype("<f4").reshape(-1, CUT)
+        n = len(logs)
+        use = [counts[3 * SLOTS :].tolist()] + [None] * (n - 1)
+        return pa.table(
+            {
+                "lang": pa.array(whole.column("key").to_pylist() * n, pa.string()),
+                "part": pa.array(range(n), pa.int32()),
+                "logs": pa.array([row.tobytes() for row in logs], pa.binary()),
+                "use": pa.array(use, pa.list_(pa.float64())),
+            }
+        )
+
     picked = rows.select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where("lang IS NOT NULL")
-    known = summed(picked.mapInArrow(count, SUMS))
-    if len(known) > MAX_LANGUAGES:
-        raise ValueError(f"{len(known)} languages; at most {MAX_LANGUAGES} are supported")
-    langs = sorted(known)
-    counts = np.array([known[x] for x in langs]).reshape(len(langs), WIDTH)
-    logs = np.zeros((len(langs), 3 * SLOTS), np.float32)
-    for table in range(3):
-        part = counts[:, table * SLOTS : (table + 1) * SLOTS] + 0.2
-        logs[:, table * SLOTS : (table + 1) * SLOTS] = np.log(part / part.sum(1, keepdims=True))
-    use = counts[:, 3 * SLOTS :]
+    table = "lang string, part int, logs binary, use array<double>"
+    known = staged(sums_by_key(picked.mapInArrow(count, SUMS), likelihoods, table), "langs")
+    uses = {r.lang: r.use for r in known.where("part = 0").select("lang", "use").collect()}
+    langs = sorted(uses)
+    logs = []
+    for k in range(0, len(langs), BLOCK):
+        own = langs[k : k + BLOCK]
+        block = np.zeros((len(own), 3 * SLOTS), "<f4")
+        for r in known.where(F.col("lang").isin(own)).drop("use").collect():
+            block[own.index(r.lang), r.part * CUT : (r.part + 1) * CUT] = np.frombuffer(r.logs, "<f4")
+        logs.append(rows.sparkSession.sparkContext.broadcast(block))
+    use = np.array([uses[x] for x in langs]).reshape(len(langs), len(SCRIPT_NAMES))
     total = np.maximum(use.sum(1, keepdims=True), 1)
     prior = np.log((use.sum(1) + 1) / (use.sum() + len(langs))) if langs else np.zeros(0)
     return Model(langs, logs, use / total >= SCRIPT_SHARE, prior)
@@ -180,9 +217,14 @@ def word_scores(model: Model, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndar
     """Words x languages: nats by which the language is likelier than the mean; and letters."""
     letters, scripts, slots, owners = word_facts(vocabulary)
     n, k = len(letters), len(model.langs)
-    out = np.zeros((n, k))
-    for j in range(k):
-        out[:, j] = np.bincount(owners, weights=model.logs[j][slots], minlength=n)
+    out, j = np.zeros((n, k)), 0
+    for block in model.logs:
+        for logs in block.value:
+            out[:, j] = np.bincount(owners, weights=logs[slots], minlength=n)
+            j += 1
+        if len(model.logs) > 1:
+            # Read again for the next piece; one block is in memory at a time.
+            del block._value
     # n-grams overlap, so their sum counts every letter several times.
     out = np.clip((out - out.mean(1, keepdims=True)) / 3, -WORD_LIMIT, WORD_LIMIT)
     fits = model.scripts[:, scripts].T
@@ -230,7 +272,6 @@ def identify(
 ) -> DataFrame:
     """The columns ``keep`` (all by default) and ``lang_pred``, ``score`` and, if asked for,
     ``spans``. Columns that have one of these names are replaced."""
-    broadcast = docs.sparkSession.sparkContext.broadcast(model)
     mine = ["lang_pred", "score", "spans"][: 3 if spans else 2]
     rest = docs.drop(*[c for c in mine if c != text_col])
     names = [c for c in keep or rest.columns if c not in mine]
@@ -251,9 +292,11 @@ def identify(
     )
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = broadcast.value
+        m = model
         k = len(m.langs)
-        for batch, texts in pieces(batches, text_col):
+        # Scores are words x languages, so pieces shrink where there are many languages.
+        most = PIECE_BYTES * BLOCK // max(k, BLOCK)
+        for batch, texts in pieces(batches, text_col, most):
             ids, at, vocabulary = words(texts, LETTERS)
             n = len(texts)
             share = np.zeros((n, max(k, 1)))
