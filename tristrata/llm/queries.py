@@ -292,8 +292,7 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns AS (
       SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '')
                           || coalesce(text, '')) AS id,
-             len(regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+')) AS words,
+             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
       FROM conversations WHERE conv_id IS NOT NULL),
     c AS (
