@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from tristrata.llm.arrowtext import pieces, strings, word_table, words
 from tristrata.llm.common import apart, together
+from tristrata.scratch import staged
 
 WINDOW = 13
 #: Bytes of benchmark text that are broadcast and searched at once.
@@ -39,6 +40,8 @@ STRIDE = 16
 #: Stands after the last word of a benchmark item.
 END = -2
 
+#: A word as an expression, and as bytes.
+WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD_BYTES = word_table([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
 
 
@@ -53,16 +56,21 @@ class Block:
 
 
 def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[Broadcast]:
-    """The benchmark in broadcast blocks of about ``BLOCK_BYTES``."""
+    """The benchmark in broadcast blocks of about ``BLOCK_BYTES``.
+
+    Repeated items count once. Spark deals them out to blocks, whatever they hold, so copies of a
+    text under many ids spread as well; the driver holds one block at a time.
+    """
     rows = benchmark.select(
         F.col(item_col).cast("string").alias("item_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-    )
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = size // BLOCK_BYTES + 1
+    ).dropDuplicates()
+    size = F.octet_length("text").cast("long")
+    rows = staged(rows.withColumn("nth", F.xxhash64(F.monotonically_increasing_id())), "benchmark")
+    n = (rows.agg(F.sum(size)).first()[0] or 0) // BLOCK_BYTES + 1
     out = []
     for k in range(n):
-        block = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).toArrow()
+        block = rows.where(F.pmod("nth", F.lit(n)) == k).toArrow()
         texts = strings(block.column("text").combine_chunks())
         tokens, at, vocabulary = words(texts, WORD_BYTES)
         items = block.column("item_id").to_pylist()
@@ -71,9 +79,9 @@ def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "tex
     return out
 
 
-def depth_of(known: list[Broadcast]) -> int:
+def depth_of(benchmark: DataFrame, text_col: str = "text") -> int:
     """Words of the longest item."""
-    return max([int(np.diff(b.value.at).max(initial=0)) for b in known], default=0)
+    return benchmark.agg(F.max(F.regexp_count(F.col(text_col), F.lit(WORDS)))).first()[0] or 0
 
 
 def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -244,8 +252,7 @@ def search(
     """The columns ``keep`` (all by default) with ``n_words``, ``n_hit`` (words inside any
     occurrence of a window), ``items`` (ids with occurring windows, sorted as strings) and
     ``matches`` (longest runs of matching words). Columns of those names are replaced."""
-    known = blocks(benchmark)
-    depth = depth_of(known)
+    known, depth = blocks(benchmark), depth_of(benchmark)
     rest = docs.drop(*[c for c in MINE if c != text_col])
     names = [c for c in keep or rest.columns if c not in MINE]
     schema = T.StructType(
@@ -322,8 +329,7 @@ def longest_matches(
     """For every benchmark suffix the longest verbatim match in any shard and one place of it:
     ``item_id, item_word, n_words, doc_id, doc_word``; shorter ones than ``min_words`` are left
     out. Ties go to the largest document id, then the last word."""
-    known = blocks(benchmark)
-    depth = depth_of(known)
+    known, depth = blocks(benchmark), depth_of(benchmark)
     id_type = docs.schema[id_col].dataType
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
