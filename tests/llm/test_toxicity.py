@@ -114,3 +114,85 @@ def test_curve_follows_the_shares():
     beta = toxicity.curve(raw, n, np.full(4, 100.0), np.array([2.0, 1.0, 90.0, 99.0]))
     p = 1 / (1 + np.exp(-toxicity.features(raw, n) @ beta))
     assert np.abs(p - [0.02, 0.01, 0.9, 0.99]).max() < 0.05
+
+
+def neighbours(rows):
+    """Pairs of neighbouring words of every text, the start of a text as None."""
+    for text, y in rows:
+        words = (text or "").lower().replace("!", "").split()
+        yield y, list(zip([None, *words], words))
+
+
+@pytest.mark.parametrize("held, slots", [(1 << 21, 8), (50, 24)])
+def test_continuation_and_pair_counts_against_plain_python(spark, monkeypatch, held, slots):
+    monkeypatch.setattr(toxicity, "PAIRS", held)
+    rows = [(r[1], int(r[0] % 3 == 0)) for r in corpus(size=90)] + [(None, 0), ("", 1), ("Word1 word1", 1)]
+    docs = spark.createDataFrame(rows, "text string, y int").repartition(3)
+    preceding, own, total = {}, Counter(), Counter()
+    for y, pairs in neighbours(rows):
+        for v, w in pairs:
+            preceding.setdefault(w, set()).add(v)
+        own.update((v, w, y) for v, w in set(pairs))
+    names = sorted(preceding)
+    code = dict(zip([None, *names], [toxicity.START, *toxicity.codes(pa.array(names)).tolist()]))
+    got = toxicity.continued(docs, slots).groupBy("word").agg(F.sum("docs")).collect()
+    assert {r[0]: r[1] for r in got} == {code[w]: len(v) for w, v in preceding.items()}
+
+    # With nothing asked of chance all pairs come back, beside the sums of their contexts.
+    got = toxicity.class_pairs(docs, slots, 1 / 3, -1.0).collect()
+    pairs = [r for r in got if r.word is not None]
+    assert len(pairs) == len({(v, w) for v, w, _ in own})
+    assert {(r.before, r.word): (r.toxic, r.ordinary) for r in pairs} == {
+        (code[v], code[w]): (own[v, w, 1], own[v, w, 0]) for v, w, _ in own
+    }
+    sums = Counter()
+    for r in got:
+        if r.word is None:
+            for c in ("toxic", "ordinary", *toxicity.CONTEXT):
+                sums[r.before, c] += r[c]
+    for (v, _, y), n in own.items():
+        c = "toxic" if y else "ordinary"
+        total[code[v], c] += n
+        total[code[v], f"kinds_{c}"] += 1
+        total[code[v], f"once_{c}"] += n == 1
+        total[code[v], f"twice_{c}"] += n == 2
+    assert +sums == +total
+
+
+def test_words_that_are_toxic_in_one_order_only(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(900):
+        text = [f"word{rng.randrange(60)}" for _ in range(rng.randrange(30, 50))]
+        for at in sorted(rng.sample(range(len(text)), 3), reverse=True):
+            text[at:at] = ["Filthy", "beast"] if k % 3 == 0 else ["beast", "filthy"]
+        rows.append((k, " ".join(text), "x", "s", 1))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    held = langid.held_out(F.col("doc_id"), 3, 1)
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    got = [r for r in toxicity.classify(docs, labels, held).collect() if r.held_out]
+    assert sum(bool(r.predicted) == (r.doc_id % 3 == 0) for r in got) / len(got) > 0.95
+
+
+def test_weights_of_pairs(spark):
+    rows = [("a b " * 3 + f"c{k}", 1) for k in range(30)] + [(f"b a d{k % 7}", 0) for k in range(60)]
+    docs = spark.createDataFrame(rows, "text string, y int")
+    every = toxicity.continued(docs, 8)
+    counts = toxicity.counted(docs).unionByName(every).groupBy("word")
+    counts = counts.agg(*[F.sum(c).alias(c) for c in ("toxic", "ordinary", "docs")])
+    a, b = toxicity.codes(pa.array(["a", "b"]))
+    p = {r.word: (r.toxic, r.ordinary) for r in toxicity.levels(counts).collect()}
+    own = {0: Counter(), 1: Counter()}
+    for y, pairs in neighbours(rows):
+        own[y].update(set(pairs))
+    want = []
+    for y, base in ((1, p[b][0]), (0, p[b][1])):
+        by = Counter(own[y].values())
+        d = toxicity.discount(by)
+        after = [n for (v, _), n in own[y].items() if v == "a"]
+        left = max(own[y]["a", "b"] - d, 0) + d * len(after) * base
+        want.append(left / sum(after))
+    found = toxicity.weighted_pairs(docs, counts, 8).collect()
+    gram = int(toxicity.pair_codes(np.array([a]), np.array([b]))[0])
+    weight = {r.word: r.weight for r in found}[gram]
+    assert abs(weight - (math.log(want[0] / want[1]) - math.log(p[b][0] / p[b][1]))) < 1e-9
